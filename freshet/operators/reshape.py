@@ -69,7 +69,7 @@ def year_month_matrix(
 
 def split_list(df: DataFrame, column: str, out: str, separator: str = ",") -> DataFrame:
     """One row per element of a separated list; blanks and ``NA`` are dropped."""
-    parts = F.transform(F.split(F.col(column), separator), F.trim)
+    parts = F.transform(F.split(F.col(column), separator), lambda c: F.trim(c))
     return df.withColumn(out, F.explode(parts)).filter((F.col(out) != "") & (F.col(out) != "NA"))
 
 
