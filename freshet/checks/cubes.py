@@ -61,11 +61,11 @@ def supplier_cube(spark, sf):
     return C.table_cube(flows, places, V.SCENARIOS, FIRST, LAST, 0.0, "flow_cfs")
 
 
-@check(f"""SELECT s.scenario, n.n_name AS place, CAST(m.month AS INTEGER) AS month, CAST(y.year AS INTEGER) AS year
-FROM (SELECT DISTINCT l_returnflag AS scenario FROM lineitem) s, nation n, range(1, 13) m(month),
+@check(f"""SELECT s.scenario, n.s_suppkey AS place, CAST(m.month AS INTEGER) AS month, CAST(y.year AS INTEGER) AS year
+FROM (SELECT DISTINCT l_returnflag AS scenario FROM lineitem) s, supplier n, range(1, 13) m(month),
      range({FIRST}, {LAST + 1}) y(year)""")
 def dense_grid(spark, sf):
-    places = V.table(spark, sf, "nation").select(F.col("n_name").alias("place"))
+    places = V.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("place"))
     return C.grid(places, V.SCENARIOS, FIRST, LAST)
 
 

@@ -16,8 +16,6 @@ from freshet.plans.flows import junction_ratio, propagate_delta
 KEYS = ["scenario", "date"]
 FIRST, LAST = V.YEARS
 IN_WINDOW = f"year(date) BETWEEN {FIRST} AND {LAST}"
-URGENT_DRY = """(SELECT year FROM year_types WHERE location = '1-URGENT'
-  AND year_type NOT IN ('Wet', 'Above Normal'))"""
 
 
 @check(V.query("""SELECT place, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
@@ -159,14 +157,16 @@ _REACHES = ["NATION_11", "NATION_13", "NATION_19"]
   WHEN place IN ('NATION_11', 'NATION_13', 'NATION_19') THEN
     CASE WHEN flow_cfs + (new_cfs - old) < 0 THEN 100 ELSE flow_cfs + (new_cfs - old) END
   ELSE flow_cfs END AS flow_cfs
-FROM place_flow
+FROM (SELECT DISTINCT scenario, date, n_name AS place FROM place_flow, nation)
+LEFT JOIN place_flow USING (scenario, date, place)
 LEFT JOIN (SELECT scenario, date, flow_cfs AS old FROM place_flow WHERE place = 'NATION_9') USING (scenario, date)
 LEFT JOIN (SELECT date, flow_cfs / 10 AS new_cfs FROM synthetic WHERE location = '1-URGENT' AND year < 2001)
   USING (date)""", V.PLACE_FLOW, V.YEAR_TYPES, _TEMPLATE, _SYNTHETIC), name="propagate_delta")
 def propagate_delta_query(spark, sf):
     years = V.year_types(spark, sf).filter((F.col("location") == V.LOCATION) & (F.col("year") < 2001))
     new = P.synthetic_flow(years, "Sacramento").withColumn("new_cfs", F.col("new_cfs") / 10)
-    return propagate_delta(V.place_flow(spark, sf), new, "NATION_9", _REACHES)
+    places = [f"NATION_{i}" for i in range(25)]
+    return propagate_delta(V.place_flow(spark, sf), new, "NATION_9", _REACHES, places=places)
 
 
 _FIXED = ["NATION_10", "NATION_11"]

@@ -217,15 +217,19 @@ DAILY_GAUGE = f"""daily_gauge AS (
 
 def family_codes(family: str) -> list[str]:
     """All node codes the published formulas of a model family use, in order."""
+    if family == "climate":
+        found = [n for row in maps.REGION_STREAMS for n in (row[0], row[2])]
+        found += [n for _, cell in maps.CLIMATE_DELTA for n in maps.nodes(cell)]
+        found += [*maps.SPILL_NODES, maps.SPILL_RIVER_NODE]
+        return list(dict.fromkeys(found))
     c = 1 if family == "calsim2" else 2
-    found = [n for n, _ in maps.flow_map("calsim2" if c == 1 else "calsim3")]
-    found += [t[3] for t in maps.diversion_terms("calsim2" if c == 1 else "calsim3")]
-    if c == 1:
+    found = [n for n, _ in maps.flow_map(family)] + [t[3] for t in maps.diversion_terms(family)]
+    if family == "calsim2":
         found += [n for row in maps.SHARED_2 for n in row[2:]]
-        found += [t[3] for t in maps.bypass_ratio_terms("calsim2")]
+        found += [t[3] for t in maps.bypass_ratio_terms("calsim2")] + maps.MISC_NODES
+        found += [maps.MOKELUMNE_FLOW, *maps.MOKELUMNE_DIVERSIONS]
     else:
         found += [n for _, cell in maps.ALIASES for n in maps.nodes(cell)]
-        found += [t[3] for t in maps.diversion_terms("action_5")]
     found += [n for row in maps.BYPASS_SEGMENTS for n in maps.nodes(row[c + 1])]
     for rows in (maps.DELTA_NODES, maps.OVERTOPPED_NODES, maps.MATRIX_NODES):
         found += [n for row in rows for n in maps.nodes(row[c])]
@@ -259,6 +263,38 @@ slots AS (
 coded AS (SELECT scenario, date, node, flow_cfs FROM slots JOIN codes USING (slot))"""
 
 
+def _region(place: str) -> str:
+    return place.lower().replace("-", "_").replace(" ", "_")
+
+
+def tags() -> list[tuple[str, str, str]]:
+    """(node, dataset, region) of a tagged run; a node may carry several tags."""
+    out = []
+    for place, _, node in maps.FLOW_NODES:
+        out.append((node, "avg_flows", _region(place.rstrip("12"))))
+    for _, segment, _, cell in maps.BYPASS_SEGMENTS:
+        out += [(n, "bypass_flows", "spill" if segment == "sutter1" else segment) for n in maps.nodes(cell)]
+    for measure, _, cell in maps.DELTA_NODES:
+        dataset = "delta_inflows" if "inflow" in measure else "delta_diversions_total"
+        region = "north_delta" if measure.startswith("n") else "south_delta"
+        out += [(n, dataset, region) for n in maps.nodes(cell)]
+    out += [("C_SAC257", "upsac_flow", "upsac"), ("C_SAC041", "freeport_flow", "freeport")]
+    return out
+
+
+def tagged_flow(spark: SparkSession, sf: str, years: tuple[int, int] | None = None) -> DataFrame:
+    """A run whose rows name their dataset and region."""
+    dim = F.broadcast(spark.createDataFrame(tags(), "node string, dataset string, region string"))
+    return coded_flow(spark, sf, "action_5", years).join(dim, "node")
+
+
+def tagged_sql() -> str:
+    return (
+        coded_flow_sql("action_5") + ", " + values_cte("tags", ["node", "dataset", "region"], tags())
+        + ", tagged AS (SELECT scenario, date, node, dataset, region, flow_cfs FROM coded JOIN tags USING (node))"
+    )
+
+
 def values_cte(name: str, columns: list[str], rows: list[tuple]) -> str:
     """A literal table as a common table expression."""
 

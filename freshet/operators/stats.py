@@ -24,6 +24,11 @@ from freshet.functions.units import acre_feet
 KEYS = ("scenario",)
 
 
+def _complete(agg: Column, value: str, expected: int | None) -> Column:
+    """Require a number of values, for long frames that leave missing rows out."""
+    return agg if expected is None else F.when(F.count(value) == expected, agg)
+
+
 def monthly_sum(df: DataFrame, keys: Sequence[str], value: str = "flow_cfs", date: str = "date") -> DataFrame:
     return df.groupBy(*keys, F.year(date).alias("year"), F.month(date).alias("month")).agg(
         strict_sum(value).alias(value)
@@ -38,10 +43,15 @@ def seasonal_mean(
     keys: Sequence[str] = KEYS,
     value: str = "flow_cfs",
     date: str = "date",
+    complete: bool = False,
 ) -> DataFrame:
-    """Mean over some months of each year, missing if one of them is."""
+    """Mean over some months of each year, missing if one of them is.
+
+    ``complete`` also counts an absent row as missing.
+    """
     chosen = df.filter(in_years(date, first, last) & in_months(date, months))
-    return chosen.groupBy(*keys, "place", F.year(date).alias("year")).agg(strict_mean(value).alias("value"))
+    mean = _complete(strict_mean(value), value, len(months) if complete else None)
+    return chosen.groupBy(*keys, "place", F.year(date).alias("year")).agg(mean.alias("value"))
 
 
 def monthly_median(
@@ -51,12 +61,14 @@ def monthly_median(
     keys: Sequence[str] = KEYS,
     value: str = "flow_cfs",
     date: str = "date",
+    complete: bool = False,
 ) -> DataFrame:
     """Median over the years of each calendar month."""
+    median = _complete(strict_median(value), value, last - first + 1 if complete else None)
     return (
         df.filter(in_years(date, first, last))
         .groupBy(*keys, "place", F.month(date).alias("month"))
-        .agg(strict_median(value).alias("value"))
+        .agg(median.alias("value"))
     )
 
 
@@ -68,12 +80,17 @@ def pulse_ratio(
     keys: Sequence[str] = KEYS,
     value: str = "flow_cfs",
     date: str = "date",
+    complete: bool = False,
 ) -> DataFrame:
     """Standard deviation over median over 100, per place and calendar month."""
+    years = last - first + 1 if complete else None
     stats = (
         df.filter(in_years(date, first, last))
         .groupBy(*keys, "place", F.month(date).alias("month"))
-        .agg(strict_sd(value).alias("sd"), strict_median(value).alias("median"))
+        .agg(
+            _complete(strict_sd(value), value, years).alias("sd"),
+            _complete(strict_median(value), value, years).alias("median"),
+        )
     )
     # The division by 100 keeps NaN and the infinities, so the policy sees them.
     return stats.withColumn("value", ratio(F.col("sd") / 100, "median", policy))

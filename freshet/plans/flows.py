@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions.dates import in_years
@@ -13,13 +13,13 @@ from freshet.functions.units import LOWER_MID_REACHES, cfs_to_cms, weighted_blen
 from freshet.operators.cube import model_cube
 from freshet.operators.formula import formula_frame, formula_sums
 from freshet.operators.lookup import lookup_label, map_nodes, replace_series, small_frame
-from freshet.operators.reshape import month_year_matrix, to_wide
-from freshet.operators.sequence import cumulative_segments
-from freshet.operators.stats import pulse_ratio, seasonal_mean
+from freshet.operators.reshape import month_year_matrix, to_long, to_wide
+from freshet.operators.stats import monthly_median, pulse_ratio, seasonal_mean
 from freshet.plans import maps
 
 KEYS = ["scenario", "date"]
 FLOW = [*KEYS, "place", "flow_cfs"]
+FLOW_PLACES = [row[0] for row in maps.FLOW_NODES]
 
 
 def watershed_flows(node_flow: DataFrame, family: str, east_side: DataFrame | None = None) -> DataFrame:
@@ -59,40 +59,55 @@ def region_flows(tagged: DataFrame, dataset: str = "avg_flows") -> DataFrame:
     return lookup_label(sums, maps.REGION_LABELS, "region", "place").select(*FLOW)
 
 
-def propagate_delta(
-    flows: DataFrame,
+def change_upstream(
+    wide: DataFrame,
     new_flow: DataFrame,
     place: str = maps.UPPER_SACRAMENTO,
     reaches: Sequence[str] = maps.DELTA_REACHES,
     floor: float = maps.FLOOR_CFS,
 ) -> DataFrame:
-    """Put a new flow at one place and pass the change on to downstream places.
+    """Put a new flow at one place of a wide frame and pass the change on downstream.
 
-    ``new_flow(date, new_cfs)``. A place that would turn negative gets ``floor``.
-    A month's places form one short window, so the change needs no self-join.
+    ``new_flow(date, new_cfs)``. A place that would turn negative gets ``floor``;
+    a missing value makes the place missing.
     """
-    month = Window.partitionBy(*KEYS)
-    old = F.max(F.when(F.col("place") == place, F.col("flow_cfs"))).over(month)
-    joined = flows.withColumn("__old", old).join(new_flow.select("date", "new_cfs"), "date", "left")
-    moved = F.col("flow_cfs") + (F.col("new_cfs") - F.col("__old"))
-    value = (
-        F.when(F.col("place") == place, F.col("new_cfs"))
-        .when(F.col("place").isin(list(reaches)), F.when(moved < 0, F.lit(floor)).otherwise(moved))
-        .otherwise(F.col("flow_cfs"))
-    )
-    return joined.withColumn("flow_cfs", value).select(*FLOW)
+    joined = wide.join(new_flow.select("date", "new_cfs"), "date", "left")
+    change = F.col("new_cfs") - F.col(f"`{place}`")
+    moved = {}
+    for r in reaches:
+        value = F.col(f"`{r}`") + change
+        moved[r] = F.when(value < 0, F.lit(floor)).otherwise(value)
+    moved[place] = F.col("new_cfs")
+    return joined.withColumns(moved).select(*wide.columns)
+
+
+def set_place(wide: DataFrame, new_flow: DataFrame, place: str = maps.SAN_JOAQUIN) -> DataFrame:
+    """Replace one place's column of a wide frame; ``new_flow(date, new_cfs)``."""
+    joined = wide.join(new_flow.select("date", "new_cfs"), "date", "left")
+    return joined.withColumn(place, F.col("new_cfs")).select(*wide.columns)
+
 
+def propagate_delta(
+    flows: DataFrame,
+    new_flow: DataFrame,
+    place: str = maps.UPPER_SACRAMENTO,
+    reaches: Sequence[str] = maps.DELTA_REACHES,
+    floor: float = maps.FLOOR_CFS,
+    places: Sequence[str] = tuple(FLOW_PLACES),
+) -> DataFrame:
+    """The same for a long frame: one shuffle brings a month's places together.
 
-def set_flow(flows: DataFrame, new_flow: DataFrame, place: str = maps.SAN_JOAQUIN) -> DataFrame:
-    """Replace one place's flow; ``new_flow(date, new_cfs)``."""
-    joined = flows.join(new_flow.select("date", "new_cfs"), "date", "left")
-    value = F.when(F.col("place") == place, F.col("new_cfs")).otherwise(F.col("flow_cfs"))
-    return joined.withColumn("flow_cfs", value).select(*FLOW)
+    Every place gets a row in every month the scenario has.
+    """
+    wide = to_wide(flows, KEYS, "place", "flow_cfs", places)
+    return to_long(change_upstream(wide, new_flow, place, reaches, floor), KEYS, places, "place")
 
 
 def eff_flows(flows: DataFrame, sacramento: DataFrame, san_joaquin: DataFrame) -> DataFrame:
     """The functional-flow scenario on top of a model run."""
-    return set_flow(propagate_delta(flows, sacramento), san_joaquin).withColumn("scenario", F.lit("eff"))
+    wide = to_wide(flows, KEYS, "place", "flow_cfs", FLOW_PLACES)
+    changed = set_place(change_upstream(wide, sacramento), san_joaquin)
+    return to_long(changed, KEYS, FLOW_PLACES, "place").withColumn("scenario", F.lit("eff"))
 
 
 def alias_nodes(node_flow: DataFrame) -> DataFrame:
@@ -109,23 +124,22 @@ def alias_nodes(node_flow: DataFrame) -> DataFrame:
 
 
 def bypass_flows(node_flow: DataFrame, family: str, accumulate: bool | None = None) -> DataFrame:
-    """Flow per bypass segment: ``(scenario, date, bypass, place, flow_cfs)``.
+    """Flow per bypass segment: ``(scenario, date, place, flow_cfs)``.
 
-    The older family is accumulated downstream, the newer one is not.
+    The older family is accumulated downstream and one missing node makes a
+    segment missing; the newer one sums the nodes that are present, segment by
+    segment. An accumulated segment is a formula over all nodes down to it.
     """
-    c = 2 if family == "calsim2" else 3
-    rows = [(n, r[0], r[1]) for r in maps.BYPASS_SEGMENTS for n in maps.nodes(r[c])]
-    dim = small_frame(node_flow.sparkSession, rows, "node string, bypass string, place string")
-    joined = node_flow.join(dim, "node")
-    sums = joined.groupBy(*KEYS, "bypass", "place")
-    if family == "calsim2":
-        flows = sums.agg(strict_sum("flow_cfs").alias("flow_cfs"))
-    else:
-        flows = sums.agg(F.sum("flow_cfs").alias("flow_cfs"))
-    if accumulate if accumulate is not None else family == "calsim2":
-        flows = cumulative_segments(flows, [*KEYS, "bypass"], "place", out="__total")
-        flows = flows.withColumn("flow_cfs", F.col("__total")).drop("__total")
-    return flows.select(*KEYS, "bypass", "place", "flow_cfs")
+    older = family == "calsim2"
+    c = 2 if older else 3
+    terms, chain = [], {}
+    for bypass, segment, *cells in maps.BYPASS_SEGMENTS:
+        own = maps.nodes(cells[c - 2])
+        if accumulate if accumulate is not None else older:
+            own = chain[bypass] = chain.get(bypass, []) + own
+        terms += [("bypass", segment, "num", n) for n in own]
+    sums = formula_sums(node_flow, formula_frame(node_flow.sparkSession, terms), strict=older)
+    return sums.select(*KEYS, "place", F.col("num").alias("flow_cfs"))
 
 
 def tagged_bypass_flows(tagged: DataFrame) -> DataFrame:
@@ -167,19 +181,32 @@ def misc_flows(node_flow_text: DataFrame) -> DataFrame:
     return to_wide(rows.filter(F.col("flow_cfs").isNotNull()), KEYS, "node", "flow_cfs", maps.MISC_NODES)
 
 
+def node_matrices(
+    node_flow: DataFrame,
+    family: str,
+    first: int = 1980,
+    last: int = 2000,
+    datasets: Sequence[str] = tuple(row[0] for row in maps.MATRIX_NODES),
+) -> DataFrame:
+    """Month x year matrices in cms of the one-place datasets, from one scan.
+
+    A dataset of several nodes sums those that are present.
+    """
+    c = maps.column_of(family)
+    terms = [
+        ("matrix", row[0], "num", n) for row in maps.MATRIX_NODES if row[0] in datasets for n in maps.nodes(row[c])
+    ]
+    rows = node_flow.filter(in_years("date", first, last))
+    sums = formula_sums(rows, formula_frame(node_flow.sparkSession, terms), strict=False)
+    series = sums.select(*KEYS, F.col("place").alias("dataset"), cfs_to_cms("num").alias("flow_cms"))
+    return month_year_matrix(series, "flow_cms", range(first, last + 1), ["scenario", "dataset"])
+
+
 def node_matrix(
     node_flow: DataFrame, dataset: str, family: str, first: int = 1980, last: int = 2000
 ) -> DataFrame:
-    """Month x year matrix in cms of a one-place dataset (or the sum of its nodes)."""
-    row = next(r for r in maps.MATRIX_NODES if r[0] == dataset)
-    wanted = maps.nodes(row[maps.column_of(family)])
-    series = (
-        node_flow.filter(F.col("node").isin(wanted) & in_years("date", first, last))
-        .groupBy(*KEYS)
-        .agg(F.sum("flow_cfs").alias("flow_cfs"))
-        .withColumn("flow_cms", cfs_to_cms("flow_cfs"))
-    )
-    return month_year_matrix(series, "flow_cms", range(first, last + 1))
+    """One of them."""
+    return node_matrices(node_flow, family, first, last, [dataset]).drop("dataset")
 
 
 def tagged_matrix(tagged: DataFrame, dataset: str, first: int = 1979, last: int = 2000) -> DataFrame:
@@ -226,6 +253,11 @@ def blend_lower_mid(flows: DataFrame) -> DataFrame:
     return rest.select(*FLOW).unionByName(blended.select(*FLOW))
 
 
+def med_flow(flows: DataFrame, first: int = 1980, last: int = 2000) -> DataFrame:
+    """Median flow per place and calendar month, the lower-mid reaches blended."""
+    return monthly_median(blend_lower_mid(flows), first, last, complete=True)
+
+
 def junction_ratio(
     flows: DataFrame,
     junctions: DataFrame,
@@ -267,10 +299,10 @@ def proportion_pulse_flows(
 ) -> DataFrame:
     """Spread of the flow over its median, per place and calendar month; bypasses are 0.
 
-    Missing months count as missing values: a (place, month) with one gap has no ratio.
+    A place and month without a value in every year has no ratio.
     """
     source = blend_lower_mid(flows) if blend else flows
-    stats = pulse_ratio(source, first, last, policy)
+    stats = pulse_ratio(source, first, last, policy, complete=True)
     # The matrix is completed like a cube of one year.
     dated = stats.withColumn("date", F.make_date(F.lit(first), F.col("month"), F.lit(1)))
     cells = model_cube(dated.select("scenario", "place", "date", "value"), maps.PLACES, first, first)
@@ -283,7 +315,8 @@ def proportion_pulse_flows(
 
 def hatchery_flows(flows: DataFrame, months: Sequence[int], first: int = 1980, last: int = 2002) -> DataFrame:
     """Mean flow of two months per hatchery river, one column per year."""
-    means = seasonal_mean(flows.filter(F.col("place").isin(maps.HATCHERY_PLACES)), months, first, last)
+    rivers = flows.filter(F.col("place").isin(maps.HATCHERY_PLACES))
+    means = seasonal_mean(rivers, months, first, last, complete=True)
     return to_wide(means, ["scenario", "place"], "year", "value", range(first, last + 1), "y")
 
 
