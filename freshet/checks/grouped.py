@@ -184,7 +184,7 @@ FROM (SELECT f.scenario, f.date, f.place, f.flow_cfs, h.flow_cfs AS junction_flo
 def junction_ratio_query(spark, sf):
     nation = V.table(spark, sf, "nation")
     hubs = nation.select(F.col("n_nationkey").alias("n_regionkey"), F.col("n_name").alias("junction"))
-    junctions = nation.filter(F.col("n_nationkey") != 24).join(F.broadcast(hubs), "n_regionkey").select(
+    junctions = nation.filter(F.col("n_nationkey") != 24).join(hubs, "n_regionkey").select(
         F.col("n_name").alias("place"), "junction"
     )
-    return junction_ratio(V.place_flow(spark, sf), F.broadcast(junctions), fixed=_FIXED)
+    return junction_ratio(V.place_flow(spark, sf), junctions, fixed=_FIXED)

@@ -115,7 +115,7 @@ def dimension_order(spark, sf):
     dim = V.table(spark, sf, "nation").select(
         F.col("n_name").alias("place"), F.col("n_nationkey").alias("place_order"), F.col("n_regionkey").alias("region")
     )
-    return L.by_dimension(V.place_flow(spark, sf), F.broadcast(dim)).orderBy("scenario", "date", "place_order")
+    return L.by_dimension(V.place_flow(spark, sf), dim).orderBy("scenario", "date", "place_order")
 
 
 LABELS = {"N1": "Upper Reach", "N2": "Middle Reach", "N3": "Lower Reach"}

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.functions.dates import in_years
+from freshet.operators.lookup import small_frame
 from freshet.operators.reshape import to_wide
 from freshet.plans import maps
 
@@ -82,7 +83,7 @@ def node_places(spark: SparkSession, sf: str) -> DataFrame:
     """Node map: supplier to nation. It grows, so it carries no broadcast hint."""
     return (
         table(spark, sf, "supplier")
-        .join(F.broadcast(table(spark, sf, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .select(F.col("s_suppkey").alias("node"), F.col("n_name").alias("place"), "n_regionkey", "n_nationkey")
     )
 
@@ -243,7 +244,7 @@ def coded_flow(spark: SparkSession, sf: str, family: str, years: tuple[int, int]
     and negatives become 0, so that zero flows and missing months both occur.
     """
     codes = family_codes(family)
-    dim = F.broadcast(spark.createDataFrame(list(enumerate(codes)), "slot int, node string"))
+    dim = small_frame(spark, list(enumerate(codes)), "slot int, node string")
     sums = (
         shipped(spark, sf, years)
         .groupBy("scenario", "date", F.pmod("l_partkey", F.lit(len(codes))).cast("int").alias("slot"))
@@ -284,7 +285,7 @@ def tags() -> list[tuple[str, str, str]]:
 
 def tagged_flow(spark: SparkSession, sf: str, years: tuple[int, int] | None = None) -> DataFrame:
     """A run whose rows name their dataset and region."""
-    dim = F.broadcast(spark.createDataFrame(tags(), "node string, dataset string, region string"))
+    dim = small_frame(spark, tags(), "node string, dataset string, region string")
     return coded_flow(spark, sf, "action_5", years).join(dim, "node")
 
 

@@ -40,7 +40,7 @@ def model_cube(
     """
     n_cells = (last - first + 1) * 12
     cell = ((F.year(date) - first) * 12 + F.month(date) - 1).alias("cell")
-    kind = series.schema[value].dataType
+    kind = series.schema[value].dataType.typeName()
     per_place = (
         series.filter(in_years(date, first, last) & F.col("place").isin(list(places)))
         .select(*keys, "place", cell, F.col(value).alias("value"))
@@ -61,8 +61,9 @@ def model_cube(
     )
     found = F.try_element_at("cells", F.col("cell"))
     if fill is not None:
-        found = F.coalesce(F.nanvl(found, F.lit(None).cast("double")) if kind.typeName() == "double" else found,
-                           F.lit(fill))
+        # NaN counts as missing wherever missing values are filled.
+        known = F.nanvl(found, F.lit(None).cast("double")) if kind == "double" else found
+        found = F.coalesce(known, F.lit(fill))
     return dense.select(
         *keys,
         "place_order",
@@ -171,13 +172,12 @@ def override_slice(
 ) -> DataFrame:
     """Replace one place's cells by ``source(keys, year, month, value)``.
 
-    A cell the source lacks becomes missing.
+    A cell the source lacks becomes missing. One join over one scan of the cube.
     """
     on = [*keys, "year", "month"]
-    new = source.select(*on, F.col(value).alias("__new"))
-    changed = cube.filter(F.col("place") == place).join(new, on, "left")
-    changed = changed.withColumn("value", F.col("__new")).select(*cube.columns)
-    return cube.filter(F.col("place") != place).unionByName(changed)
+    new = source.select(*on, F.lit(place).alias("place"), F.col(value).alias("__new"))
+    taken = F.when(F.col("place") == place, F.col("__new")).otherwise(F.col("value"))
+    return cube.join(new, [*on, "place"], "left").withColumn("value", taken).select(*cube.columns)
 
 
 def splice_years(base: DataFrame, other: DataFrame, years: DataFrame) -> DataFrame:

@@ -10,18 +10,32 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A literal map beyond this is a table and has to be passed as one.
 MAX_LITERAL_ROWS = 10_000
+ARROW_TYPES = {
+    "string": pa.string(),
+    "int": pa.int32(),
+    "long": pa.int64(),
+    "double": pa.float64(),
+    "boolean": pa.bool_(),
+}
 
 
 def small_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A literal table, marked for broadcast; its size is checked here."""
+    """A literal table, marked for broadcast; its size is checked here.
+
+    An Arrow table becomes a local relation, which needs no tasks to be read.
+    """
     if len(rows) > MAX_LITERAL_ROWS:
         raise ValueError(f"{len(rows)} literal rows; pass a DataFrame instead")
-    return F.broadcast(spark.createDataFrame([tuple(r) for r in rows], schema))
+    fields = [f.split() for f in schema.split(",")]
+    columns = [pa.array([r[i] for r in rows], ARROW_TYPES[kind]) for i, (_, kind) in enumerate(fields)]
+    local = pa.Table.from_arrays(columns, names=[name for name, _ in fields])
+    return F.broadcast(spark.createDataFrame(local, schema))
 
 
 def lookup_label(df: DataFrame, labels: Mapping[str, str], key: str, label: str) -> DataFrame:
@@ -52,13 +66,12 @@ def replace_series(
     """Take one place's values from another source, joined on ``keys``.
 
     A key the source lacks becomes missing, unless ``keep_old``. ``source`` has
-    one row per ``keys``; rows of other places never leave their partition.
+    one row per ``keys``. One join over one scan: the place is part of its key.
     """
-    new = source.select(*keys, F.col(value).alias("__new"))
-    old = flows.filter(F.col(key) == place).join(new, list(keys), "left")
+    new = source.select(*keys, F.lit(place).alias(key), F.col(value).alias("__new"))
+    joined = flows.join(new, [*keys, key], "left")
     taken = F.coalesce("__new", value) if keep_old else F.col("__new")
-    old = old.withColumn(value, taken).drop("__new").select(*flows.columns)
-    return flows.filter(F.col(key) != place).unionByName(old)
+    return joined.withColumn(value, F.when(F.col(key) == place, taken).otherwise(F.col(value))).select(*flows.columns)
 
 
 def splice_by_year(inside: DataFrame, outside: DataFrame, years: DataFrame, date: str = "date") -> DataFrame:

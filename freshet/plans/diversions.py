@@ -40,16 +40,22 @@ def east_side_diversion(east_side: DataFrame, first: int, last: int, over_flow:
         F.sum(F.when(div, F.col("flow_cfs"))),
     )
     flow = F.max(F.when(F.col("node") == maps.MOKELUMNE_FLOW, F.col("flow_cfs")))
-    daily = chosen.groupBy("date").agg(total.alias("diverted"), flow.alias("flow"))
+    keys = _run_keys(east_side)
+    dated = chosen.groupBy(*keys, "date").agg(total.alias("diverted"), flow.alias("flow"))
     value = quotient("diverted", "flow") if over_flow else cfs_to_cms("diverted")
-    return daily.groupBy(F.year("date").alias("year"), F.month("date").alias("month")).agg(
+    return dated.groupBy(*keys, F.year("date").alias("year"), F.month("date").alias("month")).agg(
         strict_sum(value).alias("value")
     )
 
 
+def _run_keys(df: DataFrame) -> list[str]:
+    """A separate run may be shared by all scenarios or be one per scenario."""
+    return ["scenario"] if "scenario" in df.columns else []
+
+
 def with_east_side(cube: DataFrame, monthly: DataFrame) -> DataFrame:
     """Put the separate run's months into the Mokelumne slice of every scenario."""
-    return override_slice(cube, monthly, maps.MOKELUMNE, keys=())
+    return override_slice(cube, monthly, maps.MOKELUMNE, _run_keys(monthly))
 
 
 def total_diverted(

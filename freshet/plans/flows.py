@@ -26,19 +26,20 @@ def watershed_flows(node_flow: DataFrame, family: str, east_side: DataFrame | No
     """Flow per place: ``(scenario, date, place, flow_cfs)``.
 
     In the older family the Mokelumne comes from a separate run, ``east_side(date,
-    node, flow_cfs)``; without it, or in months it lacks, the value is missing.
+    node, flow_cfs)``, with a scenario column if runs have different ones; without
+    it, or in months it lacks, the value is missing.
     """
-    pairs = maps.flow_map(family)
-    dim = small_frame(node_flow.sparkSession, pairs, "node string, place string")
-    flows = map_nodes(node_flow, dim).select(*FLOW)
-    if family != "calsim2":
+    pairs = [(node, place, True) for node, place in maps.flow_map(family)]
+    if family == "calsim2":
+        # The first place's node carries the run's months for the place without a node.
+        pairs.append((pairs[0][0], maps.MOKELUMNE, False))
+    dim = small_frame(node_flow.sparkSession, pairs, "node string, place string, own boolean")
+    flows = map_nodes(node_flow, dim).withColumn("flow_cfs", F.when(F.col("own"), F.col("flow_cfs"))).select(*FLOW)
+    if family != "calsim2" or east_side is None:
         return flows
-    # The first place carries the run's months for the place without a node.
-    carrier = flows.filter(F.col("place") == maps.PLACES[0]).withColumn("place", F.lit(maps.MOKELUMNE))
-    if east_side is None:
-        return flows.unionByName(carrier.withColumn("flow_cfs", F.lit(None).cast("double")))
-    moke = east_side.filter(F.col("node") == maps.MOKELUMNE_FLOW).select("date", "flow_cfs")
-    return flows.unionByName(replace_series(carrier, moke, maps.MOKELUMNE, ["date"]))
+    keys = KEYS if "scenario" in east_side.columns else ["date"]
+    moke = east_side.filter(F.col("node") == maps.MOKELUMNE_FLOW).select(*keys, "flow_cfs")
+    return replace_series(flows, moke, maps.MOKELUMNE, keys)
 
 
 def region_flows(tagged: DataFrame, dataset: str = "avg_flows") -> DataFrame:
