@@ -26,6 +26,7 @@ from freshet.functions.missing import (
     kind,
 )
 from freshet.functions.units import ACRE_FEET_PER_MONTH_PER_CFS, CMS_PER_CFS, LOWER_MID_REACHES
+from freshet.operators import compare as C
 from freshet.operators.lookup import splice_by_year
 from freshet.operators.reshape import to_wide
 from freshet.plans import delta as T
@@ -606,6 +607,56 @@ def _register_bypass() -> None:
 
 _register_bypass()
 
+
+
+@check(V.query(f"""SELECT scenario, date, place, value FROM ({_over_sql('calsim2')}) WHERE year(date) BETWEEN 1995 AND 1999
+  AND (scenario, date, place) IN (SELECT (scenario, date, place) FROM present)""", *_base("calsim2"),
+               "present AS (" + " UNION ALL ".join(
+                   f"SELECT scenario, date, '{r[0]}' AS place FROM wide WHERE coalesce("
+                   + ", ".join(_q(n) for n in maps.nodes(r[1])) + ") IS NOT NULL" for r in maps.OVERTOPPED_NODES) + ")"))
+def bypass_overtopped_calsim2(spark, sf):
+    return T.overtopped_series(V.coded_flow(spark, sf, "calsim2", (1995, 1999)), "calsim2", 1995, 1999)
+
+
+def _tagged_sql(series: str, variable: str) -> str:
+    return f"SELECT scenario, '{variable}' AS variable, place, CAST(date_trunc('month', date) AS DATE) AS date, value FROM ({series})"
+
+
+_DELTA_LONG = " UNION ALL ".join(
+    f"SELECT scenario, date, '{p}' AS place, {c}_dlt_inflow_cfs * {CMS} AS value FROM ({_delta_series('calsim2')})"
+    for p, c in (("North Delta", "n"), ("South Delta", "s"))
+)
+_COMPARED = f"""compared AS (
+  SELECT scenario, 'delta_inflow' AS variable, place, make_date(CAST(year AS BIGINT), CAST(month AS BIGINT), 1) AS date, value
+  FROM ({_cube()})
+  UNION ALL {_tagged_sql("SELECT scenario, date, 'freeport_flow' AS place, " + _q("C400") + " * " + CMS
+                         + f" AS value FROM wide WHERE year(date) BETWEEN {FIRST} AND {LAST}", "freeport_flow")}
+  UNION ALL SELECT scenario, 'flows_cfs', place, date, flow_cfs FROM ({_per_place(_flows('calsim2'), 'flow_cfs')})
+            WHERE flow_cfs IS NOT NULL AND year(date) BETWEEN {FIRST} AND {LAST})"""
+
+
+@check(V.query("""SELECT coalesce(a.variable, b.variable) AS variable, coalesce(a.place, b.place) AS place,
+  coalesce(a.date, b.date) AS date, a.value AS left_value, b.value AS right_value, b.value - a.value AS difference
+FROM (SELECT * FROM compared WHERE scenario = 'A') a FULL JOIN (SELECT * FROM compared WHERE scenario = 'N') b
+  ON a.variable = b.variable AND a.place = b.place AND a.date = b.date
+WHERE coalesce(a.place, b.place) IN (SELECT place FROM compared WHERE scenario = 'A'
+  INTERSECT SELECT place FROM compared WHERE scenario = 'N')""", *_base("calsim2"), _grid(T.PLANES),
+               f"series AS ({_DELTA_LONG})", _COMPARED))
+def unified_comparison(spark, sf):
+    """A cube, a matrix and a series of two scenarios, stacked and compared."""
+    flows = V.coded_flow(spark, sf, "calsim2", V.YEARS)
+    cube = T.delta_inflow(T.delta_flows(flows, "calsim2"), FIRST, LAST)
+    matrix = P.node_matrix(flows, "freeport_flow", "calsim2", FIRST, LAST)
+    places = P.watershed_flows(flows, "calsim2").filter(F.col("place") != maps.MOKELUMNE)
+    stacked = (
+        C.long_cube(cube, "delta_inflow")
+        .unionByName(C.long_matrix(matrix, "freeport_flow"))
+        .unionByName(C.long_series(places, "flows_cfs"))
+    )
+    shared = C.shared_rows(stacked, ["A", "N"])
+    return C.scenario_difference(shared, "A", "N", ["variable", "place", "date"])
+
+
 # --- climate run ------------------------------------------------------------------------------
 
 

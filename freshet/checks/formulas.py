@@ -176,6 +176,7 @@ def watershed_flows(spark, sf):
 
 @check(V.query(f"""SELECT scenario, date, 'lower_mid' AS region,
   {LOWER_MID_REACHES[0]!r}::DOUBLE * N1 + {LOWER_MID_REACHES[1]!r}::DOUBLE * N2 AS flow_cfs FROM wide_nodes
+  WHERE coalesce(N1, N2) IS NOT NULL
 UNION ALL SELECT scenario, date, 'upper', sum(flow_cfs) FROM node_flow WHERE node IN ('N3', 'N4', 'N5') GROUP BY 1, 2
 UNION ALL SELECT scenario, date, 'east', sum(flow_cfs) FROM node_flow WHERE node IN ('N6', 'N7') GROUP BY 1, 2""",
                V.WIDE_NODES, V.NODE_FLOW))

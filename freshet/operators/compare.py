@@ -53,3 +53,42 @@ def key_set_diff(df: DataFrame, left: str, right: str, keys: Sequence[str]) -> D
 def to_tagged(df: DataFrame, scenario: str, variable: str) -> DataFrame:
     """Tag a long frame for stacking with others."""
     return df.withColumn("scenario", F.lit(scenario)).withColumn("variable", F.lit(variable))
+
+
+def shared_rows(df: DataFrame, scenarios: Sequence[str], key: str = "place") -> DataFrame:
+    """The rows of the places that every listed scenario has."""
+    return df.filter(F.col("scenario").isin(list(scenarios))).join(
+        shared_places(df, scenarios, key), key, "left_semi"
+    )
+
+
+def long_cube(cube: DataFrame, variable: str) -> DataFrame:
+    """Cube cells as tagged rows dated on the first of the month."""
+    return cube.select(
+        "scenario",
+        F.lit(variable).alias("variable"),
+        "place",
+        F.make_date("year", "month", F.lit(1)).alias("date"),
+        F.col("value").cast("double").alias("value"),
+    )
+
+
+def long_matrix(matrix: DataFrame, variable: str, prefix: str = "y") -> DataFrame:
+    """A month x year matrix as tagged rows."""
+    years = [c for c in matrix.columns if c.startswith(prefix) and c[len(prefix):].isdigit()]
+    long = matrix.unpivot(["scenario", "month"], years, "__year", "value")
+    year = F.substring("__year", len(prefix) + 1, 4).cast("int")
+    return long.select(
+        "scenario",
+        F.lit(variable).alias("variable"),
+        F.lit(variable).alias("place"),
+        F.make_date(year, F.col("month"), F.lit(1)).alias("date"),
+        F.col("value").cast("double").alias("value"),
+    )
+
+
+def long_series(series: DataFrame, variable: str, value: str = "flow_cfs") -> DataFrame:
+    """A dated place series as tagged rows."""
+    return series.select(
+        "scenario", F.lit(variable).alias("variable"), "place", "date", F.col(value).cast("double").alias("value")
+    )
