@@ -626,13 +626,14 @@ _DELTA_LONG = " UNION ALL ".join(
     f"SELECT scenario, date, '{p}' AS place, {c}_dlt_inflow_cfs * {CMS} AS value FROM ({_delta_series('calsim2')})"
     for p, c in (("North Delta", "n"), ("South Delta", "s"))
 )
-_COMPARED = f"""compared AS (
+_COMPARED = f"""compared AS (SELECT * FROM (
   SELECT scenario, 'delta_inflow' AS variable, place, make_date(CAST(year AS BIGINT), CAST(month AS BIGINT), 1) AS date, value
   FROM ({_cube()})
-  UNION ALL {_tagged_sql("SELECT scenario, date, 'freeport_flow' AS place, " + _q("C400") + " * " + CMS
-                         + f" AS value FROM wide WHERE year(date) BETWEEN {FIRST} AND {LAST}", "freeport_flow")}
+  UNION ALL {_tagged_sql(" UNION ALL ".join(
+      f"SELECT scenario, date, '{p}' AS place, {_q(n)} * {CMS} AS value FROM wide WHERE year(date) BETWEEN {FIRST} AND {LAST}"
+      for p, n in (("freeport_flow", "C400"), ("vernalis_flow", "C639"))), "single_nodes")}
   UNION ALL SELECT scenario, 'flows_cfs', place, date, flow_cfs FROM ({_per_place(_flows('calsim2'), 'flow_cfs')})
-            WHERE flow_cfs IS NOT NULL AND year(date) BETWEEN {FIRST} AND {LAST})"""
+            WHERE year(date) BETWEEN {FIRST} AND {LAST}) WHERE value IS NOT NULL)"""
 
 
 @check(V.query("""SELECT coalesce(a.variable, b.variable) AS variable, coalesce(a.place, b.place) AS place,
@@ -646,14 +647,14 @@ def unified_comparison(spark, sf):
     """A cube, a matrix and a series of two scenarios, stacked and compared."""
     flows = V.coded_flow(spark, sf, "calsim2", V.YEARS)
     cube = T.delta_inflow(T.delta_flows(flows, "calsim2"), FIRST, LAST)
-    matrix = P.node_matrix(flows, "freeport_flow", "calsim2", FIRST, LAST)
+    matrix = P.node_matrices(flows, "calsim2", FIRST, LAST, ["freeport_flow", "vernalis_flow"])
     places = P.watershed_flows(flows, "calsim2").filter(F.col("place") != maps.MOKELUMNE)
     stacked = (
         C.long_cube(cube, "delta_inflow")
-        .unionByName(C.long_matrix(matrix, "freeport_flow"))
+        .unionByName(C.long_matrix(matrix, "single_nodes"))
         .unionByName(C.long_series(places, "flows_cfs"))
     )
-    shared = C.shared_rows(stacked, ["A", "N"])
+    shared = C.shared_rows(stacked.filter(F.col("value").isNotNull()), ["A", "N"])
     return C.scenario_difference(shared, "A", "N", ["variable", "place", "date"])
 
 

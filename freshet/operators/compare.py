@@ -74,14 +74,14 @@ def long_cube(cube: DataFrame, variable: str) -> DataFrame:
 
 
 def long_matrix(matrix: DataFrame, variable: str, prefix: str = "y") -> DataFrame:
-    """A month x year matrix as tagged rows."""
+    """Month x year matrices as tagged rows; the dataset of each row is its place."""
     years = [c for c in matrix.columns if c.startswith(prefix) and c[len(prefix):].isdigit()]
-    long = matrix.unpivot(["scenario", "month"], years, "__year", "value")
+    long = matrix.unpivot(["scenario", "dataset", "month"], years, "__year", "value")
     year = F.substring("__year", len(prefix) + 1, 4).cast("int")
     return long.select(
         "scenario",
         F.lit(variable).alias("variable"),
-        F.lit(variable).alias("place"),
+        F.col("dataset").alias("place"),
         F.make_date(year, F.col("month"), F.lit(1)).alias("date"),
         F.col("value").cast("double").alias("value"),
     )

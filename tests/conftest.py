@@ -13,7 +13,9 @@ from freshet.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(8, 8, "freshet-tests")
+    session = local_session(8, 8, "freshet-tests")
+    session.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    return session
 
 
 @pytest.fixture
