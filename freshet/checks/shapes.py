@@ -20,6 +20,7 @@ from freshet.operators.reshape import (
     union_named,
     year_month_matrix,
 )
+from freshet.operators.skew import year_list
 from freshet.operators.stats import place_summary
 from freshet.sources.exports import wide_export
 
@@ -242,7 +243,7 @@ def dry_year_semi(spark, sf):
 
     years = dry_years(V.year_types(spark, sf), V.LOCATION, 1995, 2001)
     flows = V.node_flow(spark, sf).withColumn("year", F.year("date"))
-    return flows.join(years, "year", "left_semi").drop("year")
+    return flows.join(year_list(years), "year", "left_semi").drop("year")
 
 
 @check(V.query("""SELECT scenario, date, node, CASE WHEN is_dry THEN flow_cfs + 5000 ELSE flow_cfs END AS flow_cfs

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions.dates import in_years
+from freshet.operators.skew import year_list
 
 KEYS = ("scenario",)
 
@@ -175,6 +176,9 @@ def override_slice(
     A cell the source lacks becomes missing. One join over one scan of the cube.
     """
     on = [*keys, "year", "month"]
+    if not keys:
+        # One row per calendar month: small whatever the data.
+        source = F.broadcast(source.dropDuplicates(on))
     new = source.select(*on, F.lit(place).alias("place"), F.col(value).alias("__new"))
     taken = F.when(F.col("place") == place, F.col("__new")).otherwise(F.col("value"))
     return cube.join(new, [*on, "place"], "left").withColumn("value", taken).select(*cube.columns)
@@ -182,7 +186,7 @@ def override_slice(
 
 def splice_years(base: DataFrame, other: DataFrame, years: DataFrame) -> DataFrame:
     """Cells of ``other`` in the listed years, of ``base`` in all others."""
-    key = years.select("year").distinct()
+    key = year_list(years)
     return other.join(key, "year", "left_semi").select(*base.columns).unionByName(
         base.join(key, "year", "left_anti").select(*base.columns)
     )

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet.operators.skew import per_date, year_list
+
 # A literal map beyond this is a table and has to be passed as one.
 MAX_LITERAL_ROWS = 10_000
 ARROW_TYPES = {
@@ -68,6 +70,7 @@ def replace_series(
     A key the source lacks becomes missing, unless ``keep_old``. ``source`` has
     one row per ``keys``. One join over one scan: the place is part of its key.
     """
+    source = per_date(source) if list(keys) == ["date"] else source
     new = source.select(*keys, F.lit(place).alias(key), F.col(value).alias("__new"))
     joined = flows.join(new, [*keys, key], "left")
     taken = F.coalesce("__new", value) if keep_old else F.col("__new")
@@ -77,10 +80,8 @@ def replace_series(
 def splice_by_year(inside: DataFrame, outside: DataFrame, years: DataFrame, date: str = "date") -> DataFrame:
     """Rows of ``inside`` in the listed years and of ``outside`` in all others.
 
-    ``years`` has a column ``year``; the year list of a record is short, so both
-    joins end as broadcast joins without a hint.
     """
-    key = years.select("year").distinct()
+    key = year_list(years)
     a = inside.withColumn("year", F.year(date)).join(key, "year", "left_semi").drop("year")
     b = outside.withColumn("year", F.year(date)).join(key, "year", "left_anti").drop("year")
     return a.unionByName(b)

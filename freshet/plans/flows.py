@@ -14,6 +14,7 @@ from freshet.operators.cube import model_cube
 from freshet.operators.formula import formula_frame, formula_sums
 from freshet.operators.lookup import lookup_label, map_nodes, replace_series, small_frame
 from freshet.operators.reshape import month_year_matrix, to_long, to_wide
+from freshet.operators.skew import per_date, spread_join
 from freshet.operators.stats import monthly_median, pulse_ratio, seasonal_mean
 from freshet.plans import maps
 
@@ -72,7 +73,7 @@ def change_upstream(
     ``new_flow(date, new_cfs)``. A place that would turn negative gets ``floor``;
     a missing value makes the place missing.
     """
-    joined = wide.join(new_flow.select("date", "new_cfs"), "date", "left")
+    joined = wide.join(per_date(new_flow.select("date", "new_cfs")), "date", "left")
     change = F.col("new_cfs") - F.col(f"`{place}`")
     moved = {}
     for r in reaches:
@@ -84,7 +85,7 @@ def change_upstream(
 
 def set_place(wide: DataFrame, new_flow: DataFrame, place: str = maps.SAN_JOAQUIN) -> DataFrame:
     """Replace one place's column of a wide frame; ``new_flow(date, new_cfs)``."""
-    joined = wide.join(new_flow.select("date", "new_cfs"), "date", "left")
+    joined = wide.join(per_date(new_flow.select("date", "new_cfs")), "date", "left")
     return joined.withColumn(place, F.col("new_cfs")).select(*wide.columns)
 
 
@@ -271,8 +272,13 @@ def junction_ratio(
     ``junctions(place, junction)``; places without a junction get the fill value.
     """
     chosen = flows.filter(F.month("date") == month)
-    at_junction = chosen.select(*KEYS, F.col("place").alias("junction"), F.col("flow_cfs").alias("junction_flow"))
-    joined = chosen.join(junctions, "place", "left").join(at_junction, [*KEYS, "junction"], "left")
+    hubs = junctions.select(F.col("junction").alias("place")).distinct()
+    at_junction = chosen.join(hubs, "place", "left_semi").select(
+        *KEYS, F.col("place").alias("junction"), F.col("flow_cfs").alias("junction_flow")
+    )
+    placed = chosen.join(junctions, "place", "left")
+    # Many places may share a junction, so its row is spread.
+    joined = spread_join(placed, at_junction, [*KEYS, "junction"], ["place"], "left")
     value = F.when(F.col("place").isin(list(fixed)), F.lit(1.0)).otherwise(
         ratio("flow_cfs", "junction_flow", policy)
     )

@@ -10,7 +10,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.functions.dates import EXPORT_DATE, month_end
+from freshet.functions.dates import EXPORT_DATE, century_shift, month_end
+from freshet.operators.skew import spread_join
 
 
 def lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -46,10 +47,10 @@ def node_export(
 
     Node names are in the row that starts with ``name_row``; the first column is
     a counter and the second the date; every other row without a date is header.
-    Files may have different nodes: each file's names are joined to its rows, and
-    ``nodes`` prunes before the values are cast.
+    Files may have different nodes: each file's names are joined to its rows (a
+    large file's rows are spread), and ``nodes`` prunes before the values are cast.
     """
-    cells = lines(spark, paths).select("file", F.split("line", ",").alias("cells"))
+    cells = lines(spark, paths).withColumn("cells", F.split("line", ","))
     trimmed = cells.withColumn("cells", F.transform("cells", lambda c: F.trim(F.regexp_replace(c, '"', ""))))
     names = trimmed.filter(F.get("cells", F.lit(0)) == name_row).select(
         "file", F.col("cells").alias("names")
@@ -61,7 +62,7 @@ def node_export(
     if last is not None:
         data = data.filter(F.year("date") <= last)
     pairs = F.arrays_zip(F.col("names").alias("node"), F.col("cells").alias("text"))
-    rows = data.join(names, "file").select("file", "date", F.inline(F.slice(pairs, 3, 2**31 - 4)))
+    rows = spread_join(data, names, ["file"], ["line"]).select("file", "date", F.inline(F.slice(pairs, 3, 2**31 - 4)))
     rows = rows.filter((F.col("node") != "") if nodes is None else F.col("node").isin(list(nodes)))
     return rows.select("file", "date", "node", F.expr("try_cast(text AS double)").alias("flow_cfs"))
 
@@ -70,8 +71,6 @@ def wide_export(
     wide: DataFrame, date: str, date_format: str, keys: Sequence[str] = (), century: bool = False
 ) -> DataFrame:
     """A wide frame of text columns in long form, numbers cast, missing values dropped."""
-    from freshet.functions.dates import century_shift
-
     values = [c for c in wide.columns if c not in (*keys, date)]
     parsed = month_end(F.try_to_date(F.col(date), date_format))
     parsed = century_shift(parsed) if century else parsed
