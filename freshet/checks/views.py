@@ -94,9 +94,16 @@ NODE_PLACES = """node_places AS (
 
 
 def place_flow(spark: SparkSession, sf: str, years: tuple[int, int] | None = None) -> DataFrame:
-    """Flow per nation and month: node sums first, then the map, then place sums."""
-    mapped = supplier_flow(spark, sf, years).join(node_places(spark, sf).select("node", "place"), "node")
-    return mapped.groupBy("scenario", "date", "place").agg(F.sum("flow_cfs").alias("flow_cfs"))
+    """Flow per nation and month: node sums, then the map, then place sums; names come last."""
+    owners = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("node"), F.col("s_nationkey").alias("key"))
+    sums = (
+        supplier_flow(spark, sf, years)
+        .join(owners, "node")
+        .groupBy("scenario", "date", "key")
+        .agg(F.sum("flow_cfs").alias("flow_cfs"))
+    )
+    names = table(spark, sf, "nation").select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("place"))
+    return sums.join(names, "key").select("scenario", "date", "place", "flow_cfs")
 
 
 PLACE_FLOW = f"""{SUPPLIER_FLOW}, {NODE_PLACES}, place_flow AS (

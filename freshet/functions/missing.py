@@ -88,7 +88,12 @@ def quotient(n: Column | str, d: Column | str) -> Column:
 
 def ratio(n: Column | str, d: Column | str, policy: RatioPolicy = PLAIN) -> Column:
     """``n / d`` under a policy."""
-    x = quotient(n, d)
+    return settle(quotient(n, d), policy)
+
+
+def settle(x: Column | str, policy: RatioPolicy) -> Column:
+    """A policy applied to an IEEE quotient that is already a column."""
+    x = col(x)
     if policy.digits is not None:
         x = F.round(x, policy.digits)
     out = x

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.functions.missing import PLAIN, RatioPolicy, quotient, ratio
+from freshet.functions.missing import PLAIN, RatioPolicy, quotient, settle
 from freshet.operators.lookup import small_frame
 
 KEYS = ("scenario", "date")
@@ -76,8 +76,10 @@ def formula_ratio(
 ) -> DataFrame:
     """Numerator over denominator per (keys, metric, place) under a policy."""
     sums = formula_sums(flows, formulas, ("num", "den"), keys, strict)
-    special = {p: ratio("num", "den", rule) for p, rule in (exceptions or {}).items()}
-    return sums.withColumn("value", by_place("place", ratio("num", "den", policy), special))
+    special = {p: settle("__x", rule) for p, rule in (exceptions or {}).items()}
+    # The quotient is a column of its own: every branch of the rules reads it.
+    shares = sums.withColumn("__x", quotient("num", "den"))
+    return shares.withColumn("value", by_place("place", settle("__x", policy), special)).drop("__x")
 
 
 def apportion(
