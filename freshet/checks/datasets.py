@@ -22,6 +22,7 @@ from freshet.functions.missing import (
     DIVERTED_UNCAPPED,
     NATAL,
     PULSE_FILL,
+    PULSE_KEEP,
     finite,
     kind,
 )
@@ -425,33 +426,44 @@ _ONE_MID = """one_mid AS (SELECT scenario, date, CASE WHEN place = 'Lower-mid Sa
 _NATAL_FIXED = ", ".join(f"'{p}'" for p in maps.NATAL_FIXED)
 
 
-@check(V.query(f"""SELECT g.scenario, g.place_order, g.place, g.year, coalesce(CASE WHEN g.place IN ({_NATAL_FIXED})
-    AND f.place IS NOT NULL THEN 1 ELSE {sql_policy('x', NATAL)} END, 0) AS value
+_NATAL = f"""SELECT g.scenario, g.place_order, g.place, g.year, coalesce(CASE WHEN g.place IN ({_NATAL_FIXED})
+    THEN 1 ELSE {sql_policy('x', NATAL)} END, 0) AS value
 FROM (SELECT * FROM grid WHERE month = 10) g
 LEFT JOIN (SELECT f.scenario, f.date, f.place, {sql_quotient('f.flow_cfs', 'h.flow_cfs')} AS x
   FROM one_mid f LEFT JOIN junctions j USING (place)
   LEFT JOIN one_mid h ON h.scenario = f.scenario AND h.date = f.date AND h.place = j.junction) f
-  ON f.scenario = g.scenario AND f.place = g.place AND year(f.date) = g.year AND month(f.date) = 10""",
-               *_base("calsim3"), _grid(maps.PLACES), _JUNCTIONS,
+  ON f.scenario = g.scenario AND f.place = g.place AND year(f.date) = g.year AND month(f.date) = 10"""
+
+
+@check(V.query(_NATAL, *_base("calsim3"), _grid(maps.PLACES), _JUNCTIONS,
                "flows AS (SELECT * FROM (" + _per_place(_flows("calsim3"), "flow_cfs") + ") WHERE flow_cfs IS NOT NULL)",
                _ONE_MID))
 def proportion_flow_natal_calsim3(spark, sf):
     return P.proportion_flow_natal(_flows_3(spark, sf, V.YEARS), FIRST, LAST)
 
 
-_BLENDED_3 = _per_place(
-    [(p, e) for p, e in _flows("calsim3") if p not in maps.LOWER_MID]
-    + [("Lower-mid Sacramento River", f"{LOWER_MID_REACHES[0]!r}::DOUBLE * {_q(_MID[maps.LOWER_MID[0]])} + "
-        f"{LOWER_MID_REACHES[1]!r}::DOUBLE * {_q(_MID[maps.LOWER_MID[1]])}")], "flow_cfs")
+@check(V.query(_NATAL, *_base("calsim2"), V.SECOND_SOURCE, _grid(maps.PLACES), _JUNCTIONS, _LONG_2, _ONE_MID))
+def proportion_flow_natal_calsim2(spark, sf):
+    return P.proportion_flow_natal(_flows_2(spark, sf, V.YEARS), FIRST, LAST)
+
+
+def _blended(family: str) -> str:
+    a, b = (_q(row[FAMILY_COLUMN[family]]) for row in maps.FLOW_NODES if row[0] in maps.LOWER_MID)
+    mid = f"{LOWER_MID_REACHES[0]!r}::DOUBLE * {a} + {LOWER_MID_REACHES[1]!r}::DOUBLE * {b}"
+    pairs = [(p, e) for p, e in _flows(family) if p not in maps.LOWER_MID]
+    return _per_place(pairs + [("Lower-mid Sacramento River", mid)], "flow_cfs")
+
+
 _N_YEARS = LAST - FIRST + 1
 _MONTH_GRID = V.values_cte("places", ["place_order", "place"], [(i + 1, p) for i, p in enumerate(maps.PLACES)]) + (
     """, months AS (SELECT s.scenario, CAST(p.place_order AS INTEGER) AS place_order, p.place,
   CAST(m.month AS INTEGER) AS month FROM (VALUES ('A'), ('N'), ('R')) s(scenario), places p, range(1, 13) m(month))"""
 )
-_MONTH_STATS = f"""stats AS (SELECT scenario, place, CAST(month(date) AS INTEGER) AS month,
+_STATS = f"""stats AS (SELECT scenario, place, CAST(month(date) AS INTEGER) AS month,
   CASE WHEN count(flow_cfs) = {_N_YEARS} THEN stddev_samp(flow_cfs) END AS sd,
   CASE WHEN count(flow_cfs) = {_N_YEARS} THEN median(flow_cfs) END AS med
-  FROM ({_BLENDED_3}) WHERE year(date) BETWEEN {FIRST} AND {LAST} GROUP BY 1, 2, 3)"""
+  FROM ({{flows}}) WHERE year(date) BETWEEN {FIRST} AND {LAST} GROUP BY 1, 2, 3)"""
+_MONTH_STATS = _STATS.format(flows=_blended("calsim3"))
 
 
 @check(V.query(f"""SELECT scenario, place_order, place, month,
@@ -463,6 +475,17 @@ def proportion_pulse_flows_calsim3(spark, sf):
     return cells.withColumn("value", F.round("value", 6))
 
 
+@check(V.query(f"""SELECT scenario, place_order, place, month, round({sql_finite('v')}, 6) AS value, {sql_kind('v')} AS kind
+FROM (SELECT scenario, place_order, place, month,
+  CASE WHEN place IN ('Sutter Bypass', 'Yolo Bypass') THEN 0 ELSE {sql_policy('x', PULSE_KEEP)} END AS v
+  FROM (SELECT m.*, {sql_quotient('(sd / 100)', 'med')} AS x FROM months m LEFT JOIN stats USING (scenario, place, month)))""",
+               *_base("calsim2"), _MONTH_GRID, _STATS.format(flows=_blended("calsim2"))))
+def proportion_pulse_flows_calsim2(spark, sf):
+    flows = P.watershed_flows(V.coded_flow(spark, sf, "calsim2", V.YEARS), "calsim2")
+    cells = _classed(P.proportion_pulse_flows(flows, PULSE_KEEP, FIRST, LAST))
+    return cells.withColumn("value", F.round("value", 6))
+
+
 @check(V.query("SELECT scenario, place, month, round(med, 6) AS value FROM stats WHERE place IN (SELECT place FROM present "
                "WHERE present.scenario = stats.scenario AND present.month = stats.month)", *_base("calsim3"), _MONTH_STATS,
                f"""present AS (SELECT DISTINCT scenario, CASE WHEN place LIKE 'Lower-mid%' THEN 'Lower-mid Sacramento River'
@@ -543,21 +566,29 @@ def delta_flows_action_5(spark, sf):
     return _delta_classed(_tagged_delta_flows(spark, sf))
 
 
+def _delta_of(spark, sf, family: str):
+    if family == "action_5":
+        return _tagged_delta_flows(spark, sf)
+    return T.delta_flows(V.coded_flow(spark, sf, family, V.YEARS), family)
+
+
 def _register_delta_cubes() -> None:
-    for name, measure in (("delta_inflow", "inflow"), ("delta_total_diverted", "div"), ("delta_proportion_diverted", "prop_div")):
-        suffix = "prop_div" if measure == "prop_div" else f"{measure}_cfs"
-        factor = "" if measure == "prop_div" else f" * {CMS}"
-        series = " UNION ALL ".join(
-            f"SELECT scenario, date, '{p}' AS place, {c}_dlt_{suffix}{factor} AS value FROM ({_delta_series('calsim2')})"
-            for p, c in (("North Delta", "n"), ("South Delta", "s"))
-        )
-        sql = V.query(_classed_sql(_cube()), *_base("calsim2"), _grid(T.PLANES), f"series AS ({series})")
-
-        def cube(spark, sf, measure=measure):
-            flows = T.delta_flows(V.coded_flow(spark, sf, "calsim2", V.YEARS), "calsim2")
-            return _classed(T.delta_cube(flows, measure, FIRST, LAST))
-
-        check(sql, f"{name}_calsim2")(cube)
+    names = (("delta_inflow", "inflow"), ("delta_total_diverted", "div"), ("delta_proportion_diverted", "prop_div"))
+    for family, flows in (("calsim2", _delta_series("calsim2")), ("calsim3", _delta_series("calsim3")),
+                          ("action_5", _TAGGED_DELTA)):
+        for name, measure in names:
+            suffix = "prop_div" if measure == "prop_div" else f"{measure}_cfs"
+            factor = "" if measure == "prop_div" else f" * {CMS}"
+            series = " UNION ALL ".join(
+                f"SELECT scenario, date, '{p}' AS place, {c}_dlt_{suffix}{factor} AS value FROM ({flows})"
+                for p, c in (("North Delta", "n"), ("South Delta", "s"))
+            )
+            sql = V.query(_classed_sql(_cube()), *_base(family), _grid(T.PLANES), f"series AS ({series})")
+
+            def cube(spark, sf, family=family, measure=measure):
+                return _classed(T.delta_cube(_delta_of(spark, sf, family), measure, FIRST, LAST))
+
+            check(sql, f"{name}_{family}")(cube)
 
 
 _register_delta_cubes()

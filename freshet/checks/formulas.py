@@ -54,10 +54,10 @@ def _low(spark, sf):
     low = F.when(F.col("l_flow") > 20, F.col("l_flow") - 20).otherwise(F.lit(0.0))
     sums = (
         V.shipped(spark, sf)
-        .groupBy("scenario", F.col("l_suppkey").alias("basin"), "date", F.concat(F.lit("N"), "l_linenumber").alias("node"))
+        .groupBy("scenario", F.col("l_suppkey").alias("basin"), "date", "l_linenumber")
         .agg(F.sum("l_quantity").alias("l_flow"))
     )
-    return sums.select(*KEYS, "node", low.alias("flow_cfs"))
+    return sums.select(*KEYS, F.concat(F.lit("N"), "l_linenumber").alias("node"), low.alias("flow_cfs"))
 
 
 @check(V.query("SELECT scenario, basin, date, 'diverted' AS metric, place, num, den FROM sums",

@@ -50,12 +50,12 @@ def shipped(spark: SparkSession, sf: str, years: tuple[int, int] | None = None)
 
 
 def node_flow(spark: SparkSession, sf: str, years: tuple[int, int] | None = None) -> DataFrame:
-    node = F.concat(F.lit("N"), F.col("l_linenumber"))
-    return (
+    sums = (
         shipped(spark, sf, years)
-        .groupBy("scenario", "date", node.alias("node"))
+        .groupBy("scenario", "date", "l_linenumber")
         .agg(F.sum("l_quantity").alias("flow_cfs"))
     )
+    return sums.select("scenario", "date", F.concat(F.lit("N"), "l_linenumber").alias("node"), "flow_cfs")
 
 
 NODE_FLOW = """node_flow AS (

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from freshet.functions.missing import PLAIN, RatioPolicy, quotient, settle
@@ -92,8 +92,8 @@ def apportion(
 
     ``members``: ``(group, place, own node, shared node)``. A place whose own
     flow is 0 gets 0; one missing own flow or a missing shared flow makes the
-    group missing. A group is gathered into one row: its size is that of the
-    literal member list, so neither a join back nor a window is needed.
+    group missing. A window holds one group of one month, so its length is that
+    of the literal member list.
     """
     own = [(g, p, n) for g, p, n, _ in members]
     shared = [(g, None, s) for g, s in sorted({(g, s) for g, _, _, s in members})]
@@ -103,22 +103,15 @@ def apportion(
         [(*r, sizes[r[0]]) for r in own + shared],
         "share_group string, place string, node string, n_members long",
     )
-    mine = F.col("place").isNotNull()
-    total = F.when(
-        F.count(F.when(mine, F.col(value))) == F.max("n_members"), F.sum(F.when(mine, F.col(value)))
-    )
-    groups = (
+    group = Window.partitionBy(*keys, "share_group")
+    mine = F.when(F.col("place").isNotNull(), F.col(value))
+    total = F.when(F.count(mine).over(group) == F.col("n_members"), F.sum(mine).over(group))
+    rows = (
         flows.join(dim, "node")
-        .groupBy(*keys, "share_group")
-        .agg(
-            F.collect_list(F.when(mine, F.struct("place", F.col(value).alias("own")))).alias("members"),
-            total.alias("total"),
-            F.max(F.when(~mine, F.col(value))).alias("shared"),
-        )
+        .withColumn("own", mine)
+        .withColumn("total", total)
+        .withColumn("shared", F.max(F.when(F.col("place").isNull(), F.col(value))).over(group))
+        .filter(F.col("place").isNotNull())
     )
     part = F.when(F.col("own") == 0, F.lit(0.0)).otherwise(quotient("own", "total") * F.col("shared"))
-    return (
-        groups.select(*keys, F.inline("members"), "total", "shared")
-        .withColumn("value", part)
-        .select(*keys, "place", "own", "total", "shared", "value")
-    )
+    return rows.withColumn("value", part).select(*keys, "place", "own", "total", "shared", "value")

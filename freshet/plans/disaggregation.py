@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshet.functions.missing import clamp_nonneg, quotient
@@ -25,36 +25,26 @@ def regional_share(
     ``streams`` rows are ``(region, stream or "", node, weight)``: a member without
     a stream counts in the sum only, and the weight scales the member's own part
     but not the sum. The region code is also the node of the regional total.
-    Members of a region and month are gathered in one short row. Regions in
-    ``clamp`` turn negative and NaN results into 0.
+    A window holds one region and month, so it is as long as the member list.
+    Regions in ``clamp`` turn negative and NaN results into 0.
     """
-    spark = node_flow.sparkSession
     regions = sorted({r[0] for r in streams})
     size = {r: sum(1 for s in streams if s[0] == r) for r in regions}
     members = [(r, s or None, n, float(w), False, size[r]) for r, s, n, w in streams]
     totals = [(r, None, r, 1.0, True, size[r]) for r in regions]
     dim = small_frame(
-        spark, members + totals,
-        "region string, stream string, node string, weight double, is_total boolean, n_members long",
+        node_flow.sparkSession, members + totals,
+        "region string, place string, node string, weight double, is_total boolean, n_members long",
     )
-    member = ~F.col("is_total")
-    own = F.when(member, F.col("flow_cfs"))
+    month = Window.partitionBy(*KEYS, "region")
+    own = F.when(~F.col("is_total"), F.col("flow_cfs"))
     rows = (
         node_flow.join(dim, "node")
-        .groupBy(*KEYS, "region")
-        .agg(
-            F.collect_list(
-                F.when(
-                    member & F.col("stream").isNotNull(),
-                    F.struct(F.col("stream").alias("place"), (F.col("flow_cfs") * F.col("weight")).alias("own")),
-                )
-            ).alias("streams"),
-            F.when(F.count(own) == F.max("n_members"), F.sum(own)).alias("denominator"),
-            F.max(F.when(F.col("is_total"), F.col("flow_cfs"))).alias("regional"),
-        )
-        .select(*KEYS, "region", F.inline("streams"), "denominator", "regional")
+        .withColumn("denominator", F.when(F.count(own).over(month) == F.col("n_members"), F.sum(own).over(month)))
+        .withColumn("regional", F.max(F.when(F.col("is_total"), F.col("flow_cfs"))).over(month))
+        .filter(F.col("place").isNotNull())
     )
-    value = quotient("own", "denominator") * F.col("regional")
+    value = quotient(F.col("flow_cfs") * F.col("weight"), "denominator") * F.col("regional")
     clamped = F.when(F.col("region").isin(list(clamp)), clamp_nonneg(value)).otherwise(value)
     return rows.select(*KEYS, "region", "place", clamped.alias("flow_cfs"))
 

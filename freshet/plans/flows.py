@@ -290,8 +290,10 @@ def proportion_flow_natal(flows: DataFrame, first: int = 1979, last: int = 2000)
     spark = flows.sparkSession
     junctions = small_frame(spark, list(maps.JUNCTIONS.items()), "place string, junction string")
     shares = junction_ratio(one_lower_mid(flows).filter(in_years("date", first, last)), junctions)
-    october = model_cube(shares, maps.PLACES, first, last, fill=0.0)
-    return october.filter(F.col("month") == 10).drop("month")
+    october = model_cube(shares, maps.PLACES, first, last, fill=0.0).filter(F.col("month") == 10)
+    # The fixed rivers count as 1 whether or not their flow is known.
+    fixed = F.col("place").isin(list(maps.NATAL_FIXED))
+    return october.withColumn("value", F.when(fixed, F.lit(1.0)).otherwise(F.col("value"))).drop("month")
 
 
 PULSE_POLICIES = {

@@ -136,3 +136,14 @@ def test_merges_and_remap(spark, rows):
     series = spark.createDataFrame([(dt.date(1925, 10, 1), 7.0)], "date date, flow double")
     assert rows(L.calendar_remap(series, calendar), "cl_date", "flow") == [(dt.date(2014, 10, 1), 7.0), (dt.date(2014, 11, 1), None)]
     assert rows(L.lookup_label(a, {"x": "Ex"}, "node", "label"), "node", "label") == [("x", "Ex"), ("y", None)]
+
+
+def test_node_crosswalk(spark):
+    from freshet.plans.crosswalk import PRODUCTS, crosswalk
+
+    found = {p: {r["place"]: (r["calsim2"], r["calsim3"]) for r in crosswalk(spark, p).collect()} for p in PRODUCTS}
+    assert found["flows"]["Mokelumne River"] == (None, "C_CMCHE") and len(found["flows"]) == 30
+    assert found["diversions"]["Butte Creek"][0] == "C217B + D217"
+    assert found["diversions"]["Deer Creek"][0] == "C11309 / (C11307 + C11309 + C11308) * D11305"
+    assert found["diversions"]["Mokelumne River"][0] is None
+    assert len(found["bypass"]) == 6 and len(found["delta"]) == 4 and len(found["routing"]) == 7
