@@ -685,8 +685,8 @@ def unified_comparison(spark, sf):
         .unionByName(C.long_matrix(matrix, "single_nodes"))
         .unionByName(C.long_series(places, "flows_cfs"))
     )
-    shared = C.shared_rows(stacked.filter(F.col("value").isNotNull()), ["A", "N"])
-    return C.scenario_difference(shared, "A", "N", ["variable", "place", "date"])
+    known = stacked.filter(F.col("value").isNotNull())
+    return C.scenario_difference(known, "A", "N", ["variable", "place", "date"], shared="place")
 
 
 # --- climate run ------------------------------------------------------------------------------

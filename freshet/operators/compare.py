@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from freshet.operators.reshape import to_wide
-
 
 def shared_places(df: DataFrame, scenarios: Sequence[str], key: str = "place") -> DataFrame:
     """Places present in every listed scenario: one aggregate instead of intersections."""
@@ -23,16 +21,32 @@ def shared_places(df: DataFrame, scenarios: Sequence[str], key: str = "place") -
 
 
 def scenario_difference(
-    df: DataFrame, left: str, right: str, keys: Sequence[str], value: str = "value"
+    df: DataFrame,
+    left: str,
+    right: str,
+    keys: Sequence[str],
+    value: str = "value",
+    shared: str | None = None,
 ) -> DataFrame:
-    """Two scenarios side by side with their difference, in one aggregate."""
-    both = df.filter(F.col("scenario").isin(left, right))
-    wide = to_wide(both, keys, "scenario", value, [left, right])
+    """Two scenarios side by side with their difference, in one aggregate.
+
+    ``shared`` names the place column: only places that both scenarios have are
+    kept. That is decided on the aggregated rows, a place's window being as long
+    as its dates, so the input is read once.
+    """
+    a, b = F.col("scenario") == left, F.col("scenario") == right
+    wide = df.filter(a | b).groupBy(*keys).agg(
+        F.max(F.when(a, F.col(value))).alias("left_value"),
+        F.max(F.when(b, F.col(value))).alias("right_value"),
+        F.max(F.when(a, 1).otherwise(0)).alias("__left"),
+        F.max(F.when(b, 1).otherwise(0)).alias("__right"),
+    )
+    if shared is not None:
+        place = Window.partitionBy(shared)
+        wide = wide.withColumn("__both", F.max("__left").over(place) + F.max("__right").over(place))
+        wide = wide.filter(F.col("__both") == 2)
     return wide.select(
-        *keys,
-        F.col(f"`{left}`").alias("left_value"),
-        F.col(f"`{right}`").alias("right_value"),
-        (F.col(f"`{right}`") - F.col(f"`{left}`")).alias("difference"),
+        *keys, "left_value", "right_value", (F.col("right_value") - F.col("left_value")).alias("difference")
     )
 
 
@@ -50,18 +64,6 @@ def key_set_diff(df: DataFrame, left: str, right: str, keys: Sequence[str]) -> D
     return lone.select(*keys, F.when(F.col("in_left") == 1, left).otherwise(right).alias("only_in"))
 
 
-def to_tagged(df: DataFrame, scenario: str, variable: str) -> DataFrame:
-    """Tag a long frame for stacking with others."""
-    return df.withColumn("scenario", F.lit(scenario)).withColumn("variable", F.lit(variable))
-
-
-def shared_rows(df: DataFrame, scenarios: Sequence[str], key: str = "place") -> DataFrame:
-    """The rows of the places that every listed scenario has."""
-    return df.filter(F.col("scenario").isin(list(scenarios))).join(
-        shared_places(df, scenarios, key), key, "left_semi"
-    )
-
-
 def long_cube(cube: DataFrame, variable: str) -> DataFrame:
     """Cube cells as tagged rows dated on the first of the month."""
     return cube.select(
