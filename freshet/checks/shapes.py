@@ -157,13 +157,15 @@ def full_merge_by_date(spark, sf):
 @check(V.query("""SELECT scenario, date, node, flow_cfs FROM node_flow
 WHERE month(date) <> 2 AND flow_cfs >= 700 AND flow_cfs <= 1000""", V.NODE_FLOW))
 def ingest_wide_nodes(spark, sf):
-    wide = V.wide_nodes(spark, sf)
+    # The month is also aggregated, so that its text is parsed once per month and not per line item.
+    cells = [F.max(F.when(F.col("node") == n, F.col("flow_cfs"))).alias(n) for n in V.NODES]
+    wide = V.node_flow(spark, sf).groupBy(*KEYS).agg(F.max("date").alias("day"), *cells)
     text = [
         F.when(F.col(n) < 700, F.lit("")).when(F.col(n) > 1000, F.lit("n/a")).otherwise(F.col(n).cast("string")).alias(n)
         for n in V.NODES
     ]
     # February stands for the unit row of an export: its date does not parse.
-    date = F.when(F.month("date") == 2, F.lit("CFS")).otherwise(F.date_format("date", "ddMMMyyyy"))
+    date = F.when(F.month("day") == 2, F.lit("CFS")).otherwise(F.date_format("day", "ddMMMyyyy"))
     return wide_export(wide.select("scenario", date.alias("date"), *text), "date", "ddMMMyyyy", ["scenario"])
 
 

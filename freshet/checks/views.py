@@ -232,24 +232,7 @@ DAILY_GAUGE = f"""daily_gauge AS (
 
 
 def family_codes(family: str) -> list[str]:
-    """All node codes the published formulas of a model family use, in order."""
-    if family == "climate":
-        found = [n for row in maps.REGION_STREAMS for n in (row[0], row[2])]
-        found += [n for _, cell in maps.CLIMATE_DELTA for n in maps.nodes(cell)]
-        found += [*maps.SPILL_NODES, maps.SPILL_RIVER_NODE]
-        return list(dict.fromkeys(found))
-    c = 1 if family == "calsim2" else 2
-    found = [n for n, _ in maps.flow_map(family)] + [t[3] for t in maps.diversion_terms(family)]
-    if family == "calsim2":
-        found += [n for row in maps.SHARED_2 for n in row[2:]]
-        found += [t[3] for t in maps.bypass_ratio_terms("calsim2")] + maps.MISC_NODES
-        found += [maps.MOKELUMNE_FLOW, *maps.MOKELUMNE_DIVERSIONS]
-    else:
-        found += [n for _, cell in maps.ALIASES for n in maps.nodes(cell)]
-    found += [n for row in maps.BYPASS_SEGMENTS for n in maps.nodes(row[c + 1])]
-    for rows in (maps.DELTA_NODES, maps.OVERTOPPED_NODES, maps.MATRIX_NODES):
-        found += [n for row in rows for n in maps.nodes(row[c])]
-    return list(dict.fromkeys(found))
+    return maps.family_nodes(family)
 
 
 def coded_flow(spark: SparkSession, sf: str, family: str, years: tuple[int, int] | None = None) -> DataFrame:

@@ -382,3 +382,24 @@ def set_terms(rows: list[list[str]], metric: str, family: str) -> list[tuple[str
     """Terms of plain node sums from a two-family table."""
     c = column_of(family)
     return [(metric, row[0], "num", n) for row in rows for n in nodes(row[c])]
+
+
+def family_nodes(family: str) -> list[str]:
+    """All node codes the formulas of a model family use, in order, to prune a scan."""
+    if family == "climate":
+        found = [n for row in REGION_STREAMS for n in (row[0], row[2])]
+        found += [n for _, cell in CLIMATE_DELTA for n in nodes(cell)]
+        found += [*SPILL_NODES, SPILL_RIVER_NODE]
+        return list(dict.fromkeys(found))
+    c = 1 if family == "calsim2" else 2
+    found = [n for n, _ in flow_map(family)] + [t[3] for t in diversion_terms(family)]
+    if family == "calsim2":
+        found += [n for row in SHARED_2 for n in row[2:]]
+        found += [t[3] for t in bypass_ratio_terms("calsim2")] + MISC_NODES
+        found += [MOKELUMNE_FLOW, *MOKELUMNE_DIVERSIONS]
+    else:
+        found += [n for _, cell in ALIASES for n in nodes(cell)]
+    found += [n for row in BYPASS_SEGMENTS for n in nodes(row[c + 1])]
+    for rows in (DELTA_NODES, OVERTOPPED_NODES, MATRIX_NODES):
+        found += [n for row in rows for n in nodes(row[c])]
+    return list(dict.fromkeys(found))

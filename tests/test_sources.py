@@ -80,3 +80,29 @@ def test_literal_maps_are_bounded(spark):
     with pytest.raises(ValueError):
         small_frame(spark, [("a",)] * (MAX_LITERAL_ROWS + 1), "x string")
     assert small_frame(spark, [("a", None)], "x string, y double").filter(F.col("y").isNull()).count() == 1
+
+
+def test_landing(spark, tmp_path, rows):
+    from freshet.plans import landing
+
+    write(tmp_path / "a.csv", "A,,M,M\nB,,C104,ZZZ\n1,31Oct1921,1,9\n2,31Jan1922,2,9\n")
+    write(tmp_path / "b.csv", "A,,M,M\nB,,C104,D104\n1,31Jan1922,7,3\n2,28Feb1922,8,\n")
+    paths = [str(tmp_path / n) for n in ("a.csv", "b.csv")]
+    got = rows(landing.land_exports(spark, paths, "run"))
+    assert got == [
+        ("run", dt.date(1922, 1, 31), "C104", 2.0), ("run", dt.date(1922, 1, 31), "D104", 3.0),
+        ("run", dt.date(1922, 2, 28), "C104", 8.0), ("run", dt.date(1922, 2, 28), "D104", None),
+    ]
+    write(tmp_path / "c.csv", "B,,C104\n1,31Jan2022,5\n2,31Jan2001,6\n")
+    late = landing.land_exports(spark, str(tmp_path / "c.csv"), "run", misread_after=2003)
+    assert rows(late, "date", "flow_cfs") == [(dt.date(1922, 1, 31), 5.0), (dt.date(2001, 1, 31), 6.0)]
+
+    wide = spark.createDataFrame([("x", dt.date(2021, 10, 31), 1.0, None)], "B string, date date, C_ANT010 double, C_BTL006 double")
+    assert rows(landing.land_wide(wide, "LTO_12a")) == [("LTO_12a", dt.date(1921, 10, 31), "C_ANT010", 1.0)]
+
+    write(tmp_path / "t.csv", "datetime,node,dataset,region,values,units\n1979-01-31T00:00:00Z,C_SAC257,upsac_flow,upsac,4.5,CFS\n")
+    assert rows(landing.land_tagged(spark, str(tmp_path / "t.csv"))) == [
+        ("action_5", dt.date(1979, 1, 31), "C_SAC257", "upsac_flow", "upsac", 4.5)
+    ]
+    sheet = spark.createDataFrame([(dt.date(1980, 1, 1), *map(float, range(6)))], "Date date, C91 double, D503A double, D503B double, D503C double, D502A double, D502B double")
+    assert len(rows(landing.land_east_side(sheet, "run"))) == 6
