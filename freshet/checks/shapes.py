@@ -202,7 +202,14 @@ def shared_watersheds(spark, sf):
     rows = V.shipped(spark, sf, (1997, 1997)).groupBy("scenario", F.col("l_partkey").alias("place")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    return rows.join(C.shared_places(rows, V.SCENARIOS), "place", "left_semi")
+    return C.shared_rows(rows, V.SCENARIOS)
+
+
+@check("""SELECT l_suppkey AS place FROM lineitem WHERE l_returnflag = 'A' AND l_quantity = 50
+INTERSECT SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'N' AND l_quantity = 50""")
+def shared_places(spark, sf):
+    rows = V.shipped(spark, sf).filter(F.col("l_quantity") == 50)
+    return C.shared_places(rows.withColumnRenamed("l_suppkey", "place"), ["A", "N"])
 
 
 @check(V.query("""SELECT coalesce(a.date, b.date) AS date, coalesce(a.node, b.node) AS node,

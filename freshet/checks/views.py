@@ -11,7 +11,7 @@ import datetime as dt
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -165,9 +165,10 @@ def year_types(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy(F.col("o_orderpriority").alias("location"), F.year("o_orderdate").alias("year"))
         .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"))
     )
-    # One value per year and location: the medians are over a handful of rows.
-    median = yearly.groupBy("location").agg(F.median("total").alias("middle"))
-    idx = F.col("total") * 10 / F.col("middle")
+    # One row per year and location, so a window is as long as the record has years.
+    middle = F.median("total").over(Window.partitionBy("location"))
+    yearly = yearly.withColumn("idx", F.col("total") * 10 / middle)
+    idx = F.col("idx")
     kind = (
         F.when(idx >= 10.2, "Wet")
         .when(idx >= 10, "Above Normal")
@@ -175,7 +176,7 @@ def year_types(spark: SparkSession, sf: str) -> DataFrame:
         .when(idx >= 9, "Dry")
         .otherwise("Critical")
     )
-    return yearly.join(median, "location").select("location", "year", idx.alias("idx"), kind.alias("year_type"))
+    return yearly.select("location", "year", "idx", kind.alias("year_type"))
 
 
 YEAR_TYPES = """yearly AS (

@@ -20,6 +20,20 @@ def shared_places(df: DataFrame, scenarios: Sequence[str], key: str = "place") -
     return seen.select(key)
 
 
+def shared_rows(df: DataFrame, scenarios: Sequence[str], key: str = "place") -> DataFrame:
+    """The rows of the places that every listed scenario has, in one pass.
+
+    For aggregated rows: a place's window holds its dates in each scenario.
+    """
+    rows = df.filter(F.col("scenario").isin(list(scenarios)))
+    place = Window.partitionBy(key)
+    seen = [F.max(F.when(F.col("scenario") == s, 1).otherwise(0)).over(place) for s in scenarios]
+    total = seen[0]
+    for s in seen[1:]:
+        total = total + s
+    return rows.withColumn("__seen", total).filter(F.col("__seen") == len(scenarios)).drop("__seen")
+
+
 def scenario_difference(
     df: DataFrame,
     left: str,

@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions.dates import in_years
-from freshet.functions.missing import NATAL, PULSE_FILL, PULSE_KEEP, PULSE_NAN_ZERO, RatioPolicy, ratio, strict_sum
+from freshet.functions.missing import (
+    NATAL,
+    PULSE_FILL,
+    PULSE_KEEP,
+    PULSE_NAN_ZERO,
+    RatioPolicy,
+    ratio,
+    strict_sum,
+)
 from freshet.functions.units import LOWER_MID_REACHES, cfs_to_cms, weighted_blend
 from freshet.operators.cube import model_cube
 from freshet.operators.formula import formula_frame, formula_sums
@@ -286,10 +294,21 @@ def junction_ratio(
 
 
 def proportion_flow_natal(flows: DataFrame, first: int = 1979, last: int = 2000) -> DataFrame:
-    """October share of the natal river at its junction, ``(scenario, place, year, value)``."""
-    spark = flows.sparkSession
-    junctions = small_frame(spark, list(maps.JUNCTIONS.items()), "place string, junction string")
-    shares = junction_ratio(one_lower_mid(flows).filter(in_years("date", first, last)), junctions)
+    """October share of the natal river at its junction, ``(scenario, place, year, value)``.
+
+    The places are a literal list, so a month's flows fit in one small map in
+    which each place finds its own flow and its junction's: the flows are read once.
+    """
+    listed = list(set(maps.JUNCTIONS) | set(maps.JUNCTIONS.values()))
+    chosen = one_lower_mid(flows).filter(
+        in_years("date", first, last) & (F.month("date") == 10) & F.col("place").isin(listed)
+    )
+    entries = F.collect_list(F.struct("place", "flow_cfs"))
+    months = chosen.groupBy(*KEYS).agg(F.map_from_entries(entries).alias("flows"))
+    pairs = ", ".join(f"'{p}', '{j}'" for p, j in maps.JUNCTIONS.items())
+    rows = months.select(*KEYS, "flows", F.expr(f"explode(map({pairs}))").alias("place", "junction"))
+    found = [F.try_element_at("flows", F.col(c)) for c in ("place", "junction")]
+    shares = rows.select(*KEYS, "place", ratio(*found, NATAL).alias("value"))
     october = model_cube(shares, maps.PLACES, first, last, fill=0.0).filter(F.col("month") == 10)
     # The fixed rivers count as 1 whether or not their flow is known.
     fixed = F.col("place").isin(list(maps.NATAL_FIXED))
