@@ -14,7 +14,6 @@ from freshet.operators.reshape import fill_missing, mutate, take_prefix, to_long
 from freshet.operators.stats import relabel
 
 KEYS = ["scenario", "date"]
-WIDE_LIST = ", ".join(V.NODES)
 
 
 @check(V.query("SELECT scenario, date, node, flow_cfs FROM node_flow WHERE node IN ('N2', 'N5')", V.NODE_FLOW))

@@ -89,9 +89,6 @@ def formula_ratio(spark, sf):
     return shares.select(*KEYS, "place", finite("value").alias("value"), kind("value").alias("kind"))
 
 
-_GROWING = """SELECT n_name, s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
-
-
 @check(V.query("""SELECT scenario, date, place, CASE WHEN n = wanted THEN num END AS num
 FROM (SELECT scenario, date, place, sum(flow_cfs) AS num, count(*) AS n
       FROM supplier_flow JOIN node_places USING (node) GROUP BY 1, 2, 3)

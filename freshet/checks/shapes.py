@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from freshet.checks import views as V
 from freshet.checks.registry import check
-from freshet.functions.dates import in_years
 from freshet.functions.units import CMS_PER_CFS, cfs_to_cms
 from freshet.operators import compare as C
 from freshet.operators import lookup as L
@@ -22,6 +21,7 @@ from freshet.operators.reshape import (
 )
 from freshet.operators.skew import year_list
 from freshet.operators.stats import place_summary
+from freshet.plans.flows import candidate_nodes
 from freshet.sources.exports import wide_export
 
 KEYS = ["scenario", "date"]
@@ -229,13 +229,13 @@ def key_set_diff_query(spark, sf):
     return C.key_set_diff(V.supplier_flow(spark, sf), "A", "N", ["date", "node"])
 
 
-@check(V.query("""SELECT scenario, date, 'N1' AS node, N1 AS flow_cfs FROM wide_nodes WHERE year(date) BETWEEN 1996 AND 1999
-UNION ALL SELECT scenario, date, 'N2 + N3', N2 + N3 FROM wide_nodes WHERE year(date) BETWEEN 1996 AND 1999
-UNION ALL SELECT scenario, date, 'N4', N4 FROM wide_nodes WHERE year(date) BETWEEN 1996 AND 1999""", V.WIDE_NODES))
-def candidate_nodes(spark, sf):
-    wide = V.wide_nodes(spark, sf, (1996, 1999))
-    combined = wide.select(*KEYS, "N1", (F.col("N2") + F.col("N3")).alias("N2 + N3"), "N4")
-    return to_long(combined.filter(in_years("date", 1996, 1999)), KEYS)
+@check(V.query(" UNION ALL ".join(
+    f"SELECT scenario, date, '{label}' AS node, {expr} AS flow_cfs FROM wide_nodes WHERE year(date) BETWEEN 1996 AND 1999 "
+    f"AND coalesce({seen}) IS NOT NULL"
+    for label, expr, seen in (("N1", "N1", "N1"), ("N4", "N4", "N4"), ("N2 + N3", "N2 + N3", "N2, N3"))
+), V.WIDE_NODES), name="candidate_nodes")
+def candidate_nodes_query(spark, sf):
+    return candidate_nodes(V.node_flow(spark, sf, (1996, 1999)), ["N1", "N4"], [("N2", "N3")], 1996, 1999)
 
 
 @check(V.query("""SELECT scenario, place, sum(flow_cfs) / count(flow_cfs) AS mean_flow, min(flow_cfs) AS min_flow,

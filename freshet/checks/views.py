@@ -288,13 +288,6 @@ def tagged_flow(spark: SparkSession, sf: str, years: tuple[int, int] | None = No
     return coded_flow(spark, sf, "action_5", years).join(dim, "node")
 
 
-def tagged_sql() -> str:
-    return (
-        coded_flow_sql("action_5") + ", " + values_cte("tags", ["node", "dataset", "region"], tags())
-        + ", tagged AS (SELECT scenario, date, node, dataset, region, flow_cfs FROM coded JOIN tags USING (node))"
-    )
-
-
 def values_cte(name: str, columns: list[str], rows: list[tuple]) -> str:
     """A literal table as a common table expression."""
 

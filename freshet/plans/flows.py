@@ -355,11 +355,16 @@ def climate_delta(node_flow: DataFrame) -> DataFrame:
     return sums.select(*KEYS, "place", F.col("num").alias("flow_cfs"))
 
 
-def october_november(flows: DataFrame) -> DataFrame:
-    return hatchery_flows(flows, (10, 11))
-
-
-def april_may(flows: DataFrame) -> DataFrame:
-    return hatchery_flows(flows, (4, 5))
-
-
+def candidate_nodes(
+    node_flow: DataFrame,
+    nodes: Sequence[str] = tuple(maps.CANDIDATE_NODES),
+    combined: Sequence[Sequence[str]] = (("D160", "D166A"),),
+    first: int = 1980,
+    last: int = 1999,
+) -> DataFrame:
+    """Candidate nodes side by side with sums of several, ``(scenario, date, node, flow_cfs)``."""
+    terms = [("candidate", n, "num", n) for n in nodes]
+    terms += [("candidate", " + ".join(group), "num", n) for group in combined for n in group]
+    rows = node_flow.filter(in_years("date", first, last))
+    sums = formula_sums(rows, formula_frame(node_flow.sparkSession, terms))
+    return sums.select(*KEYS, F.col("place").alias("node"), F.col("num").alias("flow_cfs"))

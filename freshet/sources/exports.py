@@ -80,10 +80,6 @@ def wide_export(
     return long.select(*keys, date, "node", number.alias("flow_cfs")).filter(F.col("flow_cfs").isNotNull())
 
 
-def with_scenario(df: DataFrame, scenario: str) -> DataFrame:
-    return df.withColumn("scenario", F.lit(scenario))
-
-
 def scenario_of_file(df: DataFrame, scenarios: Mapping[str, str]) -> DataFrame:
     """Scenario by a fragment of the file path."""
     out = F.lit(None).cast("string")
