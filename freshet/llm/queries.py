@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import packing, quality_rules, sentencepieces
+from freshet.llm import language_id, packing, quality_classifier, quality_rules, sentencepieces
 from freshet.llm.shared import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -17,6 +17,23 @@ def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path(WORD_TOKENIZER))
 
 
+def op3_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = quality_classifier.fit(docs, table(spark, sf, "labels"))
+    return quality_classifier.score(docs, model).select(
+        "doc_id",
+        language_id.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = language_id.predict(docs, language_id.fit(docs))
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op9_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path(PIECE_MODEL)
     encoded = sentencepieces.encode(table(spark, sf, "documents").select("doc_id", "text"), path).drop("text")
@@ -88,5 +105,6 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from judged
 """
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op9_sentencepiece, op10_quality_rules)}
+_ALL = (op1_best_fit_packing, op3_quality_classifier, op7_language_id, op9_sentencepiece, op10_quality_rules)
+QUERIES = {f.__name__: f for f in _ALL}
 SQL = {"op10_quality_rules": OP10_SQL}

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +16,23 @@ WORD = "[^\\x20\\x09-\\x0D]"
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Hands this package to the session's Python workers, once a session, for
+    workers that do not have it on their path."""
+    context = spark.sparkContext
+    if any(f.startswith("freshet-package") for f in context._python_includes):
+        return
+    root = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="freshet-")
+    archive = f"{folder}/freshet-package-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, Path(root.name) / path.relative_to(root))
+    context.addPyFile(archive)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
