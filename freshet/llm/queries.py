@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import language_id, packing, quality_classifier, quality_rules, sentencepieces
+from freshet.llm import jaccard_join, language_id, packing, quality_classifier, quality_rules, sentencepieces
 from freshet.llm.shared import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -34,6 +34,38 @@ def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op8_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+OP8_SQL = """
+with recursive d as (
+  select row_number() over () as rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+), shingles as (
+  select distinct rid, array_to_string(list_slice(w, i, i + 4), ' ') as g
+  from (select rid, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) as i from d where len(w) > 0)
+), sizes as materialized (
+  select rid, count(*) as n from shingles group by rid
+), shared as materialized (
+  select x.rid as a, y.rid as b, count(*) as k
+  from shingles x join shingles y on x.g = y.g and x.rid < y.rid group by x.rid, y.rid
+), links as materialized (
+  select a, b from shared join sizes p on p.rid = a join sizes q on q.rid = b where 100 * k >= 75 * (p.n + q.n - k)
+), ways as materialized (
+  select a, b from links union select b, a from links
+), reach(rid, seen) as (
+  select rid, rid from sizes union select reach.rid, ways.b from reach join ways on ways.a = reach.seen
+), least as (
+  select reach.rid, min(d.doc_id) as component_id from reach join d on d.rid = reach.seen group by reach.rid
+)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(l.component_id, d.doc_id)::bigint as component_id
+from d left join sizes s on s.rid = d.rid left join least l on l.rid = d.rid
+"""
+
+
 def op9_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path(PIECE_MODEL)
     encoded = sentencepieces.encode(table(spark, sf, "documents").select("doc_id", "text"), path).drop("text")
@@ -105,6 +137,6 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from judged
 """
 
-_ALL = (op1_best_fit_packing, op3_quality_classifier, op7_language_id, op9_sentencepiece, op10_quality_rules)
+_ALL = (op1_best_fit_packing, op3_quality_classifier, op7_language_id, op8_jaccard_join, op9_sentencepiece, op10_quality_rules)
 QUERIES = {f.__name__: f for f in _ALL}
-SQL = {"op10_quality_rules": OP10_SQL}
+SQL = {"op8_jaccard_join": OP8_SQL, "op10_quality_rules": OP10_SQL}
