@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freshet.llm.components import components
-from freshet.llm.shared import chunks, written
+from freshet.llm.shared import chunks, mixed, written
 
 WORDS = 5
 PERCENT = 75
@@ -60,13 +60,6 @@ BLOCK = 1 << 20
 _U = np.uint64
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser: every bit of x reaches every bit."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
 @lru_cache(maxsize=1)
 def _gaps() -> np.ndarray:
     out = np.zeros(256, bool)

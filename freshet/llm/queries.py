@@ -6,17 +6,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import jaccard_join, language_id, packing, quality_classifier, quality_rules, sentencepieces
+from freshet.llm import (
+    jaccard_join,
+    language_id,
+    neighbours,
+    packing,
+    perspectives,
+    quality_classifier,
+    quality_rules,
+    sentencepieces,
+    sharding,
+    wrapper,
+)
 from freshet.llm.shared import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
+SHARDS = [f"shard-{k:03d}" for k in range(256)]
 
 
 def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path(WORD_TOKENIZER))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.search(table(spark, sf, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 def op3_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = quality_classifier.fit(docs, table(spark, sf, "labels"))
@@ -28,6 +44,43 @@ def op3_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.place(table(spark, sf, "documents").select("doc_id"), F.col("doc_id"), SHARDS)
+
+
+def op5_chat_perspectives(spark: SparkSession, sf: str) -> DataFrame:
+    return perspectives.rotated(table(spark, sf, "conversations"))
+
+
+OP5_SQL = """
+with t as (
+  select conv_id, turn, role as said_by, coalesce(text, '') as text from conversations
+), speakers as (
+  select distinct conv_id, said_by as speaker from t where said_by is not null and said_by <> 'system'
+), v as (
+  select t.*, s.speaker, coalesce(said_by, 'unknown') as name,
+    case when said_by = speaker then 'assistant' when said_by = 'system' then 'system' else 'user' end as role
+  from t join speakers s on t.conv_id is not distinct from s.conv_id
+), h as (
+  select *, case when role = 'user' then '<|user name=' || name || '|>' else '<|' || role || '|>' end || chr(10) as head from v
+), g as (
+  select *, head || text || '<|end|>' || chr(10) as segment, length(head || text || '<|end|>' || chr(10)) as n from h
+), p as (
+  select *, row_number() over w - 1 as place, sum(n) over w - n as begins from g
+  window w as (partition by conv_id, speaker order by turn nulls last, said_by nulls last, text
+    rows between unbounded preceding and current row)
+)
+select conv_id, speaker, place::bigint as place, turn::bigint as turn, role, name, segment, begins::bigint as start,
+  n::bigint as n_chars, case when role = 'assistant' then (begins + length(head))::bigint end as mask_start,
+  case when role = 'assistant' then (begins + n)::bigint end as mask_end
+from p
+"""
+
+
+def op6_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return wrapper.main_text(table(spark, sf, "pages"))
+
+
 def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     found = language_id.predict(docs, language_id.fit(docs))
@@ -137,6 +190,9 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from judged
 """
 
-_ALL = (op1_best_fit_packing, op3_quality_classifier, op7_language_id, op8_jaccard_join, op9_sentencepiece, op10_quality_rules)
+_ALL = (
+    op1_best_fit_packing, op2_nearest_neighbours, op3_quality_classifier, op4_sharding, op5_chat_perspectives,
+    op6_html_extraction, op7_language_id, op8_jaccard_join, op9_sentencepiece, op10_quality_rules,
+)
 QUERIES = {f.__name__: f for f in _ALL}
-SQL = {"op8_jaccard_join": OP8_SQL, "op10_quality_rules": OP10_SQL}
+SQL = {"op5_chat_perspectives": OP5_SQL, "op8_jaccard_join": OP8_SQL, "op10_quality_rules": OP10_SQL}

@@ -69,6 +69,13 @@ def flat_bytes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(parts), np.uint8), at
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A finaliser of 64-bit hashes: every bit of x reaches every bit."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def chunks(batches, most_bytes: int = 4 << 20):
     """Record batches in slices of about so many bytes, one row at least.
 
