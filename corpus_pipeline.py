@@ -1,18 +1,60 @@
 """A training corpus from documents: filter, deduplicate, pack.
 
 Each stage is (name, function of (spark, docs, sf_dir)). All but the last return
-the columns of documents; a stage's rows are written as Parquet in the shared
-folder and read again as the next one's docs.
+the columns of docs; a stage's rows are written as Parquet in the shared folder
+and read again as the next one's docs. Rows are kept or dropped whole.
+
+Null and empty texts: the quality classifier scores them like any text; language
+identification rejects what has no letter. Repeated rows of one document, and
+rows without a doc_id, are judged each on its own by the two filters; of a
+document's repeated rows deduplication keeps one.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from freshet.llm import packing
+from freshet.llm import jaccard_join, language_id, packing, quality_classifier
 from freshet.llm.queries import WORD_TOKENIZER
-from freshet.llm.shared import table, written
+from freshet.llm.shared import fresh, table, written
+
+#: A language prediction below this is none.
+LEAST_LANGUAGE_SCORE = 0.4
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored at the threshold or over it, by a model of the labelled
+    documents among docs that are not held out."""
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    (score,) = fresh(docs, "score")
+    scored = quality_classifier.with_score(docs, model, score)
+    return scored.filter(F.col(score) >= quality_classifier.THRESHOLD).select(*docs.columns)
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the learned languages; `und` and unsure ones go."""
+    lang, score = fresh(docs, "lang_pred", "score")
+    found = language_id.with_language(docs, language_id.fit(docs), lang, score)
+    sure = (F.col(lang) != language_id.UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE_SCORE)
+    return found.filter(sure).select(*docs.columns)
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one of the smallest id."""
+    groups = written(jaccard_join.jaccard_join(docs))
+    (key,) = fresh(docs, "copy")
+    copies = written(groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(key)).distinct())
+    kept = docs.join(jaccard_join.sized(copies), F.col("doc_id") == F.col(key), "left_anti")
+    per_id = groups.filter("doc_id is not null").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("_n"))
+    again = written(per_id.filter("_n > 1").select(key))
+    if again.isEmpty():
+        return kept
+    # Only ids that occur more than once are shuffled.
+    side, repeated = jaccard_join.sized(again), F.col("doc_id") == F.col(key)
+    once = kept.join(side, repeated, "left_anti")
+    return once.union(kept.join(side, repeated, "left_semi").dropDuplicates(["doc_id"]))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,9 +62,14 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(WORD_TOKENIZER))
 
 
-STAGES = [("best-fit packing", packed)]
+STAGES = [
+    ("quality classifier", good_quality),
+    ("language ID", known_language),
+    ("n-gram Jaccard join", deduplicated),
+    ("best-fit packing", packed),
+]
 
-#: No stage but the joins can be said in SQL (models, a tokenizer).
+#: The models and the tokenizer cannot be said in SQL.
 ORACLE_SQL = None
 
 

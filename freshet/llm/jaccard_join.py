@@ -409,7 +409,7 @@ def close_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame
     return both.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(run, "a long, b long, apart double")
 
 
-def _sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+def sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """The side of a join, broadcast if it is counted and small."""
     return F.broadcast(df) if df.count() <= most else df
 
@@ -417,7 +417,7 @@ def _sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 def member_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(key, members) of the classes in wanted (key, doc_id): one row a class."""
     named = wanted.select(F.col("key").alias("_key"), F.col("doc_id").alias("_id"))
-    texts = docs.select("doc_id", "text").join(_sized(named), F.col("doc_id").cast("long") == F.col("_id"))
+    texts = docs.select("doc_id", "text").join(sized(named), F.col("doc_id").cast("long") == F.col("_id"))
 
     def run(batches):
         seen = set()

@@ -42,15 +42,6 @@ UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
 
-PREDICTED = T.StructType(
-    [
-        T.StructField("doc_id", T.LongType()),
-        T.StructField("lang_pred", T.StringType()),
-        T.StructField("score", T.DoubleType()),
-    ]
-)
-
-
 @dataclass
 class Network:
     """Filters of all widths are rows of one matrix over the largest width,
@@ -216,16 +207,21 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, windows_each: int = W
     return train(flat, np.array([place[v] for v in langs], np.int64), languages) if langs else Network([], *[np.zeros(0)] * 5)
 
 
-def predict(docs: DataFrame, net: Network) -> DataFrame:
-    """doc_id, lang_pred, score of every row. The network, a few kilobytes, goes
-    with the task."""
+def with_language(docs: DataFrame, net: Network, lang: str = "lang_pred", score: str = "score", text: str = "text") -> DataFrame:
+    """The rows with language and score. The network, a few kilobytes, goes with the task."""
+    kept = [f for f in docs.schema.fields if f.name not in (lang, score)]
+    schema = T.StructType([*kept, T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())])
 
     def run(batches):
         for batch in chunks(batches, 1 << 20):
-            found = predict_texts(net, batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([f[0] for f in found]), pa.array([f[1] for f in found], pa.float64())],
-                PREDICTED.names,
-            )
+            found = predict_texts(net, batch.column(text).to_pylist())
+            new = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *new], schema.names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PREDICTED)
+    return docs.mapInArrow(run, schema)
+
+
+def predict(docs: DataFrame, net: Network) -> DataFrame:
+    """doc_id, lang_pred, score of every row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return with_language(rows, net).select("doc_id", "lang_pred", "score")

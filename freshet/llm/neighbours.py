@@ -36,7 +36,7 @@ TABLES = 8
 FUNCTIONS = 8
 WIDTH = 2.0
 PROBES = (16, 32, 64, 96, 128, 192, 256)
-RECALL = 0.95
+RECALL = 0.97
 SAMPLE = 2000
 SAMPLE_QUERIES = 200
 LOT = 4096

@@ -43,8 +43,6 @@ EPOCHS = 30
 SEED = 11
 THRESHOLD = 0.3
 
-SCORED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("score", T.DoubleType())])
-
 
 def _byte_classes() -> np.ndarray:
     """A class for every byte: letters by case, digits, kinds of marks, gaps."""
@@ -233,12 +231,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, passages_each:
     return train(x, starts, (np.array(got.column("quality").to_pylist(), float) == 1).astype(float))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score of every row. The model, some kilobytes, goes with the task."""
+def with_score(docs: DataFrame, model: Model, out: str = "score", text: str = "text") -> DataFrame:
+    """The rows with their score. The model, some kilobytes, goes with the task."""
+    kept = [f for f in docs.schema.fields if f.name != out]
+    schema = T.StructType([*kept, T.StructField(out, T.DoubleType())])
 
     def run(batches):
         for batch in chunks(batches, 1 << 20):
-            found = model.scores(*encode_passages(batch.column(1).to_pylist()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.astype(float))], SCORED.names)
+            found = model.scores(*encode_passages(batch.column(text).to_pylist()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(found.astype(float))], schema.names)
+
+    return docs.mapInArrow(run, schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCORED)
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id and score of every row."""
+    return with_score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model).select("doc_id", "score")

@@ -9,8 +9,8 @@ look in a table that is broadcast, whatever the number of keys.
 
 The table has a row for each slot, at most MAX_SLOTS, so its broadcast is bounded.
 The same key always has the same shard, a null key and a repeated row too (a null
-is a key of its own). No shards, or more than slots, is an error. All columns of
-the rows are kept, whatever their names; the result's names can be chosen.
+is a key of its own). No shards, or more than slots, is an error. All other columns
+of the rows are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet.llm.shared import fresh
+
 SLOTS = 65_537
 MAX_SLOTS = 1 << 20
 
@@ -72,12 +74,11 @@ def table_frame(spark: SparkSession, shards: Sequence[str], slots: int = SLOTS)
 
 
 def place(rows: DataFrame, key: Column, shards: Sequence[str], slots: int = SLOTS, slot: str = "slot", shard: str = "shard") -> DataFrame:
-    """The rows with their slot and shard."""
-    if slot in rows.columns or shard in rows.columns:
-        raise ValueError(f"the rows already have a column {slot} or {shard}")
-    table = table_frame(rows.sparkSession, shards, slots).toDF("_table_slot", shard)
-    placed = rows.withColumn(slot, slot_of(key, slots))
-    return placed.join(F.broadcast(table), placed[slot] == table["_table_slot"]).select(*placed.columns, shard)
+    """The rows with their slot and shard, which replace columns of those names."""
+    placed = rows.withColumn(slot, slot_of(key, slots)).drop(shard)
+    (look,) = fresh(placed, "table_slot")
+    table = table_frame(rows.sparkSession, shards, slots).toDF(look, shard)
+    return placed.join(F.broadcast(table), placed[slot] == table[look]).select(*placed.columns, shard)
 
 
 def write_shards(placed: DataFrame, path: str, files: int = 8, shard: str = "shard", spread_by: str = "slot") -> None:

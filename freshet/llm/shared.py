@@ -50,6 +50,17 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/freshet-llm-{uuid.uuid4().hex}"
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front of those that df already has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def written(df: DataFrame) -> DataFrame:
     """The rows as a table in the shared folder: computed once, lineage cut."""
     spark = df.sparkSession
