@@ -5,8 +5,8 @@ capacity, pieces of the capacity and a shorter last one. What is packed is the
 histogram of piece lengths, at most one number per length, so the plan costs
 the same for any number of documents:
 
-1. Linear grouping: lengths over SMALL are sorted and cut into GROUPS groups of
-   equal cardinality; each is rounded up to the longest of its group.
+1. Linear grouping: the lengths that are not small are sorted and cut into groups
+   of equal cardinality; each is rounded up to the longest of its group.
 2. The few rounded sizes are packed by configurations (which sizes share a
    sequence, and how many sequences do): column generation over the linear
    programme, rounded down.
@@ -14,6 +14,8 @@ the same for any number of documents:
 4. All that is left, and all small lengths, longest first, go into the fullest
    sequences that still have room (best fit), else into new ones.
 
+A few numbers of groups and bounds of `small` are planned; the fewest sequences win.
+
 Sequences of equal content are one run with a count. The plan maps a length and
 a rank among the pieces of that length to a sequence and an offset. Ranks come
 from per-partition counts, so no task sees all pieces of a length.
@@ -44,9 +46,9 @@ from freshet.llm.shared import chunks, written
 
 CAPACITY = 4096
 END_ID = 1
-GROUPS = 8
-#: Lengths up to this share of the capacity are small.
-SMALL = 1 / 4
+#: Plans that are tried: numbers of groups, and the share of the capacity up to
+#: which lengths are small.
+TRIES = ((8, 1 / 4), (24, 1 / 4), (16, 1 / 2))
 #: Words kept with their ids in a Python worker.
 CACHED = 400_000
 
@@ -156,21 +158,26 @@ def tokenized(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int
 _ARROW = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
 
 
-def linear_groups(counts: np.ndarray, least: int, groups: int) -> list[tuple[int, int, int]]:
-    """(shortest, longest, how many) of groups of equal cardinality, longest first.
-
-    counts[n]: pieces of length n. A length that many pieces share is in one
-    group, so a group can be larger than its share and there can be fewer.
-    """
-    lengths = [n for n in range(len(counts) - 1, least, -1) if counts[n]]
-    share = max(1, -(-int(sum(int(counts[n]) for n in lengths)) // groups))
-    out, longest, held = [], None, 0
-    for k, n in enumerate(lengths):
-        longest = n if longest is None else longest
-        held += int(counts[n])
-        if held >= share or k == len(lengths) - 1:
-            out.append((n, longest, held))
-            longest, held = None, 0
+def linear_groups(counts: np.ndarray, least: int, groups: int) -> list[list[tuple[int, int]]]:
+    """Groups of equal cardinality of the lengths over least, longest first, each
+    as (length, how many), longest first. Pieces of one length can be in several
+    groups; groups of one and the same longest length are joined."""
+    lengths = [(n, int(counts[n])) for n in range(len(counts) - 1, least, -1) if counts[n]]
+    share = max(1, -(-sum(c for _, c in lengths) // groups))
+    out: list[list[tuple[int, int]]] = []
+    room = 0
+    for n, count in lengths:
+        while count:
+            if not room:
+                room = share
+                if not out or out[-1][0][0] != n:
+                    out.append([])
+            used = min(count, room)
+            if out[-1] and out[-1][-1][0] == n:
+                out[-1][-1] = (n, out[-1][-1][1] + used)
+            else:
+                out[-1].append((n, used))
+            count, room = count - used, room - used
     return out
 
 
@@ -271,28 +278,36 @@ class Runs:
             yield from runs
 
 
-def plan(counts: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS, small: float = SMALL) -> list[tuple[int, tuple[int, ...]]]:
+def plan(counts: np.ndarray, capacity: int = CAPACITY, tries=TRIES) -> list[tuple[int, tuple[int, ...]]]:
     """Runs (how many sequences, lengths in each) that hold counts[n] pieces of
-    every length n exactly."""
+    every length n exactly: the plan of fewest sequences of those tried."""
+    plans = (_plan(counts, capacity, groups, small) for groups, small in tries)
+    return min(plans, key=lambda runs: sum(times for times, _ in runs))
+
+
+def _plan(counts: np.ndarray, capacity: int, groups: int, small: float) -> list[tuple[int, tuple[int, ...]]]:
     left = np.array(counts, dtype=object)
     runs = Runs(capacity)
-    least = int(capacity * small)
-    grouped = linear_groups(left, least, groups)
-    members = [[n for n in range(high, low - 1, -1) if left[n]] for low, high, _ in grouped]
-    taken = configurations([g[1] for g in grouped], [g[2] for g in grouped], capacity)
+    grouped = linear_groups(left, int(capacity * small), groups)
+    members = [[list(m) for m in g] for g in grouped]
+    taken = configurations([g[0][0] for g in grouped], [sum(c for _, c in g) for g in grouped], capacity)
     for times, config in taken:
         slots = [g for g, n in enumerate(config) for _ in range(n)]
+        each = {g: slots.count(g) for g in slots}
         while times:
-            # As many equal sequences as the next length of every slot allows.
-            heads = [next(n for n in members[g] if left[n]) for g in slots]
+            # As many equal sequences as the longest length left in every group
+            # allows; a group whose longest has too few for one gives two lengths.
             same = times
-            for n in set(heads):
-                same = min(same, max(1, int(left[n]) // heads.count(n)))
+            for g, n in each.items():
+                same = min(same, max(1, members[g][0][1] // n))
             lengths = []
             for g in slots:
-                n = next(n for n in members[g] if left[n] >= same)
-                left[n] -= same
-                lengths.append(n)
+                first = next(m for m in members[g] if m[1] >= same)
+                first[1] -= same
+                left[first[0]] -= same
+                lengths.append(first[0])
+            for g in each:
+                members[g] = [m for m in members[g] if m[1]]
             runs.add(same, tuple(lengths))
             times -= same
     for n in range(len(left) - 1, 0, -1):
@@ -320,7 +335,7 @@ def places(runs: list[tuple[int, tuple[int, ...]]]) -> dict[str, np.ndarray]:
 PLACED = T.StructType([*PIECE.fields[:5], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
 
-def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, groups: int = GROUPS, small: float = SMALL) -> DataFrame:
+def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, tries=TRIES) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset per piece."""
     spark = docs.sparkSession
     pieces = written(tokenized(docs, path, capacity, end_id))
@@ -333,7 +348,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END
     for r in totals:
         counts[r["length"]] = r["n"]
     # Its size is bounded by the lengths and groups, not by the documents.
-    at = places(plan(counts, capacity, groups, small))
+    at = places(plan(counts, capacity, tries))
     # The key joins length and rank; a rank is far below 2 ** 48.
     keys = (at["length"] << 48) + at["rank"]
     sequence, offset, first = at["sequence"], at["offset"], at["rank"]
