@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from freshet.operators.single import only
+
 
 def shared_places(df: DataFrame, scenarios: Sequence[str], key: str = "place") -> DataFrame:
     """Places present in every listed scenario: one aggregate instead of intersections."""
@@ -44,14 +46,16 @@ def scenario_difference(
 ) -> DataFrame:
     """Two scenarios side by side with their difference, in one aggregate.
 
+    Several rows of one scenario for the same keys are an error.
+
     ``shared`` names the place column: only places that both scenarios have are
     kept. That is decided on the aggregated rows, a place's window being as long
     as its dates, so the input is read once.
     """
     a, b = F.col("scenario") == left, F.col("scenario") == right
     wide = df.filter(a | b).groupBy(*keys).agg(
-        F.max(F.when(a, F.col(value))).alias("left_value"),
-        F.max(F.when(b, F.col(value))).alias("right_value"),
+        only(F.col(value), a).alias("left_value"),
+        only(F.col(value), b).alias("right_value"),
         F.max(F.when(a, 1).otherwise(0)).alias("__left"),
         F.max(F.when(b, 1).otherwise(0)).alias("__right"),
     )

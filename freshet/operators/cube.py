@@ -6,8 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DoubleType, FloatType
 
 from freshet.functions.dates import in_years
+from freshet.operators.single import one_row, only
 from freshet.operators.skew import year_list
 
 KEYS = ("scenario",)
@@ -34,41 +36,43 @@ def model_cube(
 ) -> DataFrame:
     """Complete a series to ``len(places) * 12 * years`` cells per key.
 
-    Cells of one (key, place) become a map of at most 12 entries per year, the
-    places of a key a map of at most ``len(places)`` entries, and the dense
-    cells are exploded from literal ranges. So the values are shuffled once and
-    no grid is joined. A duplicate cell fails the map construction.
+    Values are combined to cells before their shuffle. The keys of the cells, read
+    from the same shuffle, and the literal places and months give an empty seed for
+    every cell; a second aggregate, of cells only, lays them together. Several rows
+    of one cell are an error. Places that are not listed are left out, and where
+    missing values are filled NaN counts as missing.
     """
-    n_cells = (last - first + 1) * 12
+    chosen = series.filter(in_years(date, first, last) & F.col("place").isin(list(places)))
+    cells = _cells(chosen, [*keys, "place"], first, value, date)
+    # The count keeps both uses of the cells alike, so that one shuffle serves both.
+    present = cells.groupBy(*keys).agg(F.count("value").alias("__n")).filter("__n >= 0")
+    seeds = present.select(*keys, F.explode(F.array(*[F.lit(p) for p in places])).alias("place"))
+    dense = _dense(cells, seeds, [*keys, "place"], first, last, fill, series.schema[value].dataType)
+    order = F.array_position(F.array(*[F.lit(p) for p in places]), F.col("place")).cast("int")
+    return dense.select(*keys, order.alias("place_order"), "place", "month", "year", "value")
+
+
+def _cells(series: DataFrame, keys: Sequence[str], first: int, value: str, date: str) -> DataFrame:
+    """One row per (keys, cell), the cell being the month counted from January of ``first``."""
     cell = ((F.year(date) - first) * 12 + F.month(date) - 1).alias("cell")
-    kind = series.schema[value].dataType.typeName()
-    per_place = (
-        series.filter(in_years(date, first, last) & F.col("place").isin(list(places)))
-        .select(*keys, "place", cell, F.col(value).alias("value"))
-        .groupBy(*keys, "place")
-        .agg(F.map_from_entries(F.collect_list(F.struct("cell", "value"))).alias("cells"))
-    )
-    per_key = per_place.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("place", "cells"))).alias("places")
-    )
-    dense = per_key.select(
-        *keys, "places", F.posexplode(F.array(*[F.lit(p) for p in places])).alias("pos", "place")
-    ).select(
-        *keys,
-        (F.col("pos") + 1).alias("place_order"),
-        "place",
-        F.try_element_at("places", F.col("place")).alias("cells"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_cells - 1))).alias("cell"),
-    )
-    found = F.try_element_at("cells", F.col("cell"))
+    rows = series.select(*keys, cell, F.col(value).alias("value"))
+    return rows.groupBy(*keys, "cell").agg(only(F.col("value"), F.lit(True), "cell").alias("value"))
+
+
+def _dense(
+    cells: DataFrame, seeds: DataFrame, keys: Sequence[str], first: int, last: int, fill: float | bool | None, kind: DataType
+) -> DataFrame:
+    """All months of the seeds' keys; cells of other keys are left out."""
+    months = F.explode(F.sequence(F.lit(0), F.lit((last - first + 1) * 12 - 1)))
+    empty = seeds.select(*keys, months.alias("cell"), F.lit(None).cast(kind).alias("value"), F.lit(True).alias("__seed"))
+    both = cells.select(*keys, "cell", "value", F.lit(False).alias("__seed")).unionByName(empty)
+    rows = both.groupBy(*keys, "cell").agg(F.max("value").alias("value"), F.max("__seed").alias("__seed")).filter("__seed")
+    found = F.col("value")
     if fill is not None:
-        # NaN counts as missing wherever missing values are filled.
-        known = F.nanvl(found, F.lit(None).cast("double")) if kind == "double" else found
+        known = F.nanvl(found, F.lit(None).cast(kind)) if isinstance(kind, (DoubleType, FloatType)) else found
         found = F.coalesce(known, F.lit(fill))
-    return dense.select(
+    return rows.select(
         *keys,
-        "place_order",
-        "place",
         (F.col("cell") % 12 + 1).cast("int").alias("month"),
         (F.floor(F.col("cell") / 12) + first).cast("int").alias("year"),
         found.alias("value"),
@@ -85,42 +89,16 @@ def table_cube(
     value: str = "value",
     date: str = "date",
 ) -> DataFrame:
-    """The same for a place table that grows: places are completed one by one.
+    """The same for a place table that grows, and given scenarios.
 
-    Every (scenario, place) contributes an empty seed row, so a place without
-    any value still gets its cells. One shuffle on (scenario, place).
+    Every (scenario, place) of the grid contributes its empty cells; places and
+    scenarios that are not in it are left out.
     """
-    n_cells = (last - first + 1) * 12
-    seeds = places.select(
-        "place",
-        F.explode(F.array(*[F.lit(s) for s in scenarios])).alias("scenario"),
-        F.lit(None).cast("int").alias("cell"),
-        F.lit(None).cast(series.schema[value].dataType).alias("value"),
-    )
-    cells = series.filter(in_years(date, first, last)).select(
-        "place",
-        "scenario",
-        ((F.year(date) - first) * 12 + F.month(date) - 1).alias("cell"),
-        F.col(value).alias("value"),
-    )
-    gathered = (
-        cells.unionByName(seeds)
-        .groupBy("scenario", "place")
-        .agg(
-            F.map_from_entries(
-                F.collect_list(F.when(F.col("cell").isNotNull(), F.struct("cell", "value")))
-            ).alias("cells")
-        )
-        .withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(n_cells - 1))))
-    )
-    found = F.try_element_at("cells", F.col("cell"))
-    return gathered.select(
-        "scenario",
-        "place",
-        (F.col("cell") % 12 + 1).cast("int").alias("month"),
-        (F.floor(F.col("cell") / 12) + first).cast("int").alias("year"),
-        (found if fill is None else F.coalesce(found, F.lit(fill))).alias("value"),
-    )
+    seeds = places.select("place", F.explode(F.array(*[F.lit(s) for s in scenarios])).alias("scenario"))
+    chosen = series.filter(in_years(date, first, last) & F.col("scenario").isin(list(scenarios)))
+    cells = _cells(chosen, ["scenario", "place"], first, value, date)
+    dense = _dense(cells, seeds, ["scenario", "place"], first, last, fill, series.schema[value].dataType)
+    return dense.select("scenario", "place", "month", "year", "value")
 
 
 def nest(cube: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -173,12 +151,14 @@ def override_slice(
 ) -> DataFrame:
     """Replace one place's cells by ``source(keys, year, month, value)``.
 
-    A cell the source lacks becomes missing. One join over one scan of the cube.
+    A cell the source lacks becomes missing; several rows for one cell are an
+    error. One join over one scan of the cube.
     """
     on = [*keys, "year", "month"]
+    source = one_row(source.select(*on, value), on, "month")
     if not keys:
-        # One row per calendar month: small whatever the data.
-        source = F.broadcast(source.dropDuplicates(on))
+        # Calendar months bound these rows: twelve for each year up to 9999.
+        source = F.broadcast(source.filter(F.col("year").between(1, 9999) & F.col("month").between(1, 12)))
     new = source.select(*on, F.lit(place).alias("place"), F.col(value).alias("__new"))
     taken = F.when(F.col("place") == place, F.col("__new")).otherwise(F.col("value"))
     return cube.join(new, [*on, "place"], "left").withColumn("value", taken).select(*cube.columns)

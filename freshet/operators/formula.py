@@ -15,23 +15,45 @@ from pyspark.sql import functions as F
 
 from freshet.functions.missing import PLAIN, RatioPolicy, quotient, settle
 from freshet.operators.lookup import small_frame
+from freshet.operators.single import BITS, refuse, repeated_marks
 
 KEYS = ("scenario", "date")
-TERM = "metric string, place string, role string, node string, weight double, n_terms long"
+TERM = "metric string, place string, role string, node string, weight double, n_terms long, mark long, own long, bits boolean"
+
+
+def marked(rows: Sequence[tuple], *group: int) -> list[tuple]:
+    """Rows with a bit of their own within the group of rows that agree in some places."""
+    seen: Counter = Counter()
+    out = []
+    for row in rows:
+        key = tuple(row[g] for g in group)
+        if seen[key] == BITS:
+            raise ValueError(f"more than {BITS} members of {key}; pass them as a DataFrame")
+        out.append((*row, 1 << seen[key]))
+        seen[key] += 1
+    return out
+
+
+def repeated_over(mark: str, window) -> Column:
+    """Whether a mark occurs more than once in a window."""
+    return F.count(mark).over(window) > F.bit_count(F.bit_or(mark).over(window))
 
 
 def formula_frame(spark: SparkSession, terms: Sequence[tuple]) -> DataFrame:
     """Literal terms ``(metric, place, role, node[, weight])`` as a broadcast dimension."""
     full = [(*t, 1.0) if len(t) == 4 else tuple(t) for t in terms]
     counts = Counter(t[:3] for t in full)
-    return small_frame(spark, [(*t[:4], float(t[4]), counts[t[:3]]) for t in full], TERM)
+    rows = [(*t[:4], float(t[4]), counts[t[:3]], t[5], (1 << counts[t[:3]]) - 1, True) for t in marked(full, 0, 1, 2)]
+    return small_frame(spark, rows, TERM)
 
 
 def with_term_counts(terms: DataFrame) -> DataFrame:
-    """The same for a formula table: add the number of terms of each formula."""
+    """The same for a formula table: add the number of terms of each formula, and
+    hashes as marks, as the terms may be more than bits."""
     key = ["metric", "place", "role"]
-    counts = terms.groupBy(*key).agg(F.count(F.lit(1)).alias("n_terms"))
-    return terms.join(counts, key)
+    hashed = terms.withColumns({"mark": F.xxhash64("node"), "bits": F.lit(False)})
+    counts = hashed.groupBy(*key).agg(F.count(F.lit(1)).alias("n_terms"), F.bit_xor("mark").alias("own"))
+    return hashed.join(counts, key)
 
 
 def formula_sums(
@@ -45,16 +67,25 @@ def formula_sums(
     """Weighted sums per (keys, metric, place), one column per role.
 
     ``strict``: one missing node makes the sum missing (column arithmetic);
-    otherwise the nodes that are present are summed.
+    otherwise the nodes that are present are summed. Nodes are compared by their
+    marks, not counted. A node with several rows is an error; in a formula table,
+    whose marks are hashes, it is found once there are as many rows as terms, and
+    until then a strict sum is missing.
     """
     joined = flows.join(formulas, "node")
     columns = []
     for role in roles:
         here = F.col("role") == role
         total = F.sum(F.when(here, F.col("weight") * F.col(value)))
-        present = F.count(F.when(here, F.col(value)))
-        wanted = F.max(F.when(here, F.col("n_terms")))
-        columns.append((F.when(present == wanted, total) if strict else total).alias(role))
+        mark = F.when(here, F.col("mark"))
+        rows, wanted, own = F.count(mark), F.max(F.when(here, F.col("n_terms"))), F.max(F.when(here, F.col("own")))
+        bits = F.max(F.when(here, F.col("bits")))
+        known = F.when(bits, repeated_marks(mark, rows)).otherwise(
+            (rows > wanted) | ((rows == wanted) & (F.bit_xor(mark) != own))
+        )
+        present = F.bit_xor(F.when(F.col(value).isNotNull(), mark)) == own
+        complete = present & (F.count(F.when(here, F.col(value))) == wanted)
+        columns.append(refuse(known, "node", F.when(complete, total) if strict else total).alias(role))
     return joined.groupBy(*keys, "metric", "place").agg(*columns)
 
 
@@ -92,7 +123,7 @@ def apportion(
 
     ``members``: ``(group, place, own node, shared node)``. A place whose own
     flow is 0 gets 0; one missing own flow or a missing shared flow makes the
-    group missing. A window holds one group of one month, so its length is that
+    group missing; several rows of a node in a month are an error. A window holds one group of one month, so its length is that
     of the literal member list.
     """
     own = [(g, p, n) for g, p, n, _ in members]
@@ -100,8 +131,8 @@ def apportion(
     sizes = Counter(g for g, _, _ in own)
     dim = small_frame(
         flows.sparkSession,
-        [(*r, sizes[r[0]]) for r in own + shared],
-        "share_group string, place string, node string, n_members long",
+        marked([(*r, sizes[r[0]]) for r in own + shared], 0),
+        "share_group string, place string, node string, n_members long, mark long",
     )
     group = Window.partitionBy(*keys, "share_group")
     mine = F.when(F.col("place").isNotNull(), F.col(value))
@@ -109,7 +140,7 @@ def apportion(
     rows = (
         flows.join(dim, "node")
         .withColumn("own", mine)
-        .withColumn("total", total)
+        .withColumn("total", refuse(repeated_over("mark", group), "node", total))
         .withColumn("shared", F.max(F.when(F.col("place").isNull(), F.col(value))).over(group))
         .filter(F.col("place").isNotNull())
     )

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet.operators.single import one_row
 from freshet.operators.skew import per_date, year_list
 
 # A literal map beyond this is a table and has to be passed as one.
@@ -67,10 +68,12 @@ def replace_series(
 ) -> DataFrame:
     """Take one place's values from another source, joined on ``keys``.
 
-    A key the source lacks becomes missing, unless ``keep_old``. ``source`` has
-    one row per ``keys``. One join over one scan: the place is part of its key.
+    A key the source lacks becomes missing, unless ``keep_old``. Several rows of
+    the source for one key are an error. One join over one scan: the place is
+    part of its key.
     """
-    source = per_date(source) if list(keys) == ["date"] else source
+    source = source.select(*keys, value)
+    source = per_date(source) if list(keys) == ["date"] else one_row(source, keys)
     new = source.select(*keys, F.lit(place).alias(key), F.col(value).alias("__new"))
     joined = flows.join(new, [*keys, key], "left")
     taken = F.coalesce("__new", value) if keep_old else F.col("__new")
@@ -78,9 +81,7 @@ def replace_series(
 
 
 def splice_by_year(inside: DataFrame, outside: DataFrame, years: DataFrame, date: str = "date") -> DataFrame:
-    """Rows of ``inside`` in the listed years and of ``outside`` in all others.
-
-    """
+    """Rows of ``inside`` in the listed years and of ``outside`` in all others."""
     key = year_list(years)
     a = inside.withColumn("year", F.year(date)).join(key, "year", "left_semi").drop("year")
     b = outside.withColumn("year", F.year(date)).join(key, "year", "left_anti").drop("year")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from freshet.operators.single import BITS, position_mark, refuse, repeated_marks
+
 
 def to_long(
     df: DataFrame,
@@ -33,11 +35,16 @@ def to_wide(
 
     Written as conditional aggregates, which need one shuffle on ``keys`` and
     combine before it; a pivot shuffles on (keys, name) first and then on keys.
-    A cell is unique, so ``max`` only picks it.
+    Several rows of one cell are an error.
     """
-    cells = [
-        F.max(F.when(F.col(names_from) == F.lit(n), F.col(values_from))).alias(f"{prefix}{n}") for n in names
-    ]
+    cells, names = [], list(names)
+    for first in range(0, len(names), BITS):
+        part = names[first : first + BITS]
+        mark = position_mark(F.col(names_from), part)
+        repeated = repeated_marks(mark, F.count(mark))
+        for n in part:
+            cell = F.max(F.when(F.col(names_from) == F.lit(n), F.col(values_from)))
+            cells.append(refuse(repeated, "cell", cell).alias(f"{prefix}{n}"))
     return df.groupBy(*keys).agg(*cells)
 
 

@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
+
+from freshet.operators.single import one_row
 
 
 def spread_join(
@@ -23,10 +26,15 @@ def spread_join(
 
 
 def year_list(years: DataFrame) -> DataFrame:
-    """Distinct years, broadcast: a calendar bounds their number, not the data."""
-    return F.broadcast(years.select("year").distinct())
+    """Distinct years of the calendar, broadcast: 9,999 at most."""
+    return F.broadcast(years.select("year").filter(F.col("year").between(1, 9999)).distinct())
 
 
 def per_date(df: DataFrame, date: str = "date") -> DataFrame:
-    """One row per date, broadcast: a calendar bounds their number, not the data."""
-    return F.broadcast(df.dropDuplicates([date]))
+    """One row per date, broadcast: the type bounds them, one per day of the calendar.
+
+    Several rows of one date are an error.
+    """
+    if not isinstance(df.schema[date].dataType, DateType):
+        raise TypeError(f"{date} has to be a date, which bounds the rows that are broadcast")
+    return F.broadcast(one_row(df, [date], "date"))

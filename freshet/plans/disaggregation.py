@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshet.functions.missing import clamp_nonneg, quotient
+from freshet.operators.formula import marked, repeated_over
 from freshet.operators.lookup import small_frame
+from freshet.operators.single import refuse
 from freshet.operators.stats import fit_line
 from freshet.plans import maps
 
@@ -26,21 +28,22 @@ def regional_share(
     a stream counts in the sum only, and the weight scales the member's own part
     but not the sum. The region code is also the node of the regional total.
     A window holds one region and month, so it is as long as the member list.
-    Regions in ``clamp`` turn negative and NaN results into 0.
+    Several rows of a node in a month are an error. Regions in ``clamp`` turn negative and NaN results into 0.
     """
     regions = sorted({r[0] for r in streams})
     size = {r: sum(1 for s in streams if s[0] == r) for r in regions}
     members = [(r, s or None, n, float(w), False, size[r]) for r, s, n, w in streams]
-    totals = [(r, None, r, 1.0, True, size[r]) for r in regions]
+    members += [(r, None, r, 1.0, True, size[r]) for r in regions]
     dim = small_frame(
-        node_flow.sparkSession, members + totals,
-        "region string, place string, node string, weight double, is_total boolean, n_members long",
+        node_flow.sparkSession, marked(members, 0),
+        "region string, place string, node string, weight double, is_total boolean, n_members long, mark long",
     )
     month = Window.partitionBy(*KEYS, "region")
     own = F.when(~F.col("is_total"), F.col("flow_cfs"))
+    total = F.when(F.count(own).over(month) == F.col("n_members"), F.sum(own).over(month))
     rows = (
         node_flow.join(dim, "node")
-        .withColumn("denominator", F.when(F.count(own).over(month) == F.col("n_members"), F.sum(own).over(month)))
+        .withColumn("denominator", refuse(repeated_over("mark", month), "node", total))
         .withColumn("regional", F.max(F.when(F.col("is_total"), F.col("flow_cfs"))).over(month))
         .filter(F.col("place").isNotNull())
     )

@@ -18,6 +18,7 @@ from freshet.functions.missing import (
 from freshet.functions.units import cfs_to_cms
 from freshet.operators.cube import model_cube, override_slice
 from freshet.operators.formula import KEYS, apportion, formula_frame, formula_ratio, formula_sums
+from freshet.operators.single import only
 from freshet.operators.stats import grand_total
 from freshet.plans import maps
 
@@ -34,12 +35,12 @@ def east_side_diversion(east_side: DataFrame, first: int, last: int, over_flow:
     Shares are summed like volumes and neither capped nor filled.
     """
     chosen = east_side.filter(in_years("date", first, last))
-    div = F.col("node").isin(maps.MOKELUMNE_DIVERSIONS)
-    total = F.when(
-        F.count(F.when(div, F.col("flow_cfs"))) == len(maps.MOKELUMNE_DIVERSIONS),
-        F.sum(F.when(div, F.col("flow_cfs"))),
-    )
-    flow = F.max(F.when(F.col("node") == maps.MOKELUMNE_FLOW, F.col("flow_cfs")))
+    # One missing node makes the sum missing; several rows of one node are an error.
+    total = None
+    for node in maps.MOKELUMNE_DIVERSIONS:
+        part = only(F.col("flow_cfs"), F.col("node") == node, "node")
+        total = part if total is None else total + part
+    flow = only(F.col("flow_cfs"), F.col("node") == maps.MOKELUMNE_FLOW, "node")
     keys = _run_keys(east_side)
     dated = chosen.groupBy(*keys, "date").agg(total.alias("diverted"), flow.alias("flow"))
     value = quotient("diverted", "flow") if over_flow else cfs_to_cms("diverted")

@@ -22,6 +22,7 @@ from freshet.operators.cube import model_cube
 from freshet.operators.formula import formula_frame, formula_sums
 from freshet.operators.lookup import lookup_label, map_nodes, replace_series, small_frame
 from freshet.operators.reshape import month_year_matrix, to_long, to_wide
+from freshet.operators.single import only
 from freshet.operators.skew import per_date, spread_join
 from freshet.operators.stats import monthly_median, pulse_ratio, seasonal_mean
 from freshet.plans import maps
@@ -58,7 +59,7 @@ def region_flows(tagged: DataFrame, dataset: str = "avg_flows") -> DataFrame:
     """
     a, b = (row[2] for row in maps.FLOW_NODES if row[0] in maps.LOWER_MID)
     rows = tagged.filter(F.col("dataset") == dataset)
-    pick = {n: F.max(F.when(F.col("node") == n, F.col("flow_cfs"))) for n in (a, b)}
+    pick = {n: only(F.col("flow_cfs"), F.col("node") == n, "node") for n in (a, b)}
     sums = rows.groupBy(*KEYS, "region").agg(
         strict_sum("flow_cfs").alias("total"), pick[a].alias("a"), pick[b].alias("b")
     )
@@ -253,7 +254,7 @@ def one_lower_mid(flows: DataFrame) -> DataFrame:
 
 def blend_lower_mid(flows: DataFrame) -> DataFrame:
     """Replace the two lower-mid reaches by their length-weighted blend."""
-    a, b = (F.max(F.when(F.col("place") == p, F.col("flow_cfs"))) for p in maps.LOWER_MID)
+    a, b = (only(F.col("flow_cfs"), F.col("place") == p, "place") for p in maps.LOWER_MID)
     reaches = flows.filter(F.col("place").isin(list(maps.LOWER_MID)))
     blended = reaches.groupBy(*KEYS).agg(a.alias("a"), b.alias("b"))
     blended = blended.withColumn("place", F.lit("Lower-mid Sacramento River")).withColumn(

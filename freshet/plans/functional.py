@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from freshet.functions.dates import in_months, in_years
 from freshet.functions.missing import quotient
 from freshet.operators.lookup import small_frame
+from freshet.operators.single import only
 from freshet.operators.stats import annual_volume, scale_thresholds, synthetic_series, year_class
 from freshet.plans import maps
 
@@ -61,7 +62,7 @@ def flow_ratios(
 ) -> DataFrame:
     """Monthly ratio of two places in a season, in one aggregate."""
     chosen = flows.filter(in_years("date", first, last) & in_months("date", months))
-    a, b = (F.max(F.when(F.col("place") == p, F.col("flow_cfs"))) for p in (top, bottom))
+    a, b = (only(F.col("flow_cfs"), F.col("place") == p, "place") for p in (top, bottom))
     return chosen.groupBy("scenario", "date").agg(quotient(a, b).alias("value"))
 
 
