@@ -6,7 +6,6 @@ is a different evaluation from the joined terms on the Spark side.
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 
@@ -94,13 +93,13 @@ def _flows(family: str):
 # --- flows by place ---------------------------------------------------------------------------
 
 _EAST = """SELECT scenario, date, 'Mokelumne River' AS place, other AS flow_cfs FROM coded
-LEFT JOIN (SELECT date, flow_cfs AS other FROM second_source WHERE node = '1-URGENT' AND year(date) < 2000) USING (date)
+LEFT JOIN (SELECT date, flow_cfs AS other FROM second_source WHERE node = '1-URGENT' AND month(date) <> 4) USING (date)
 WHERE node = 'C104'"""
 _FLOWS_2 = "SELECT * FROM (" + _per_place(_flows("calsim2"), "flow_cfs") + f") WHERE flow_cfs IS NOT NULL UNION ALL {_EAST}"
 
 
 def _east_side(spark, sf):
-    rows = V.second_source(spark, sf).filter((F.col("node") == "1-URGENT") & (F.col("date") < dt.date(2000, 1, 1)))
+    rows = V.second_source(spark, sf).filter((F.col("node") == "1-URGENT") & (F.month("date") != 4))
     return rows.withColumn("node", F.lit(maps.MOKELUMNE_FLOW))
 
 
@@ -272,7 +271,7 @@ def _register_totals() -> None:
         sql = V.query(_total_sql(family), *_base(family), _grid(maps.PLACES), f"series AS ({_total_series(family)})")
 
         def total(spark, sf, family=family):
-            return D.total_diverted(V.coded_flow(spark, sf, family), family, FIRST, LAST)
+            return D.total_diverted(V.coded_flow(spark, sf, family, V.YEARS), family, FIRST, LAST)
 
         check(sql, f"total_diverted_{family}")(total)
 
@@ -301,7 +300,7 @@ def _east_nodes(spark, sf):
 @check(V.query(_with_moke(_total_sql("calsim2"), "volume"), *_base("calsim2"), _grid(maps.PLACES), _MOKE_CTE,
                f"series AS ({_total_series('calsim2')})"))
 def total_diverted_calsim2(spark, sf):
-    flows = V.coded_flow(spark, sf, "calsim2")
+    flows = V.coded_flow(spark, sf, "calsim2", V.YEARS)
     return D.total_diverted(flows, "calsim2", FIRST, LAST, _east_nodes(spark, sf))
 
 
@@ -331,7 +330,7 @@ def _register_shares() -> None:
         sql = V.query(_classed_sql(inner), *_base(family), _grid(maps.PLACES), f"series AS ({_share_series(family)})")
 
         def share(spark, sf, family=family):
-            return _classed(D.proportion_diverted(V.coded_flow(spark, sf, family), family, FIRST, LAST))
+            return _classed(D.proportion_diverted(V.coded_flow(spark, sf, family, V.YEARS), family, FIRST, LAST))
 
         check(sql, f"proportion_diverted_{family}")(share)
 
@@ -342,7 +341,7 @@ _register_shares()
 @check(V.query(_classed_sql(_with_moke(_cube("coalesce(s.value, 0)"), "share")), *_base("calsim2"), _grid(maps.PLACES),
                _MOKE_CTE, f"series AS ({_share_series('calsim2')})"))
 def proportion_diverted_calsim2(spark, sf):
-    flows = V.coded_flow(spark, sf, "calsim2")
+    flows = V.coded_flow(spark, sf, "calsim2", V.YEARS)
     return _classed(D.proportion_diverted(flows, "calsim2", FIRST, LAST, _east_nodes(spark, sf)))
 
 
@@ -442,7 +441,7 @@ def proportion_flow_natal_calsim3(spark, sf):
     return P.proportion_flow_natal(_flows_3(spark, sf, V.YEARS), FIRST, LAST)
 
 
-@check(V.query(_NATAL, *_base("calsim2"), V.SECOND_SOURCE, _grid(maps.PLACES), _JUNCTIONS, _LONG_2, _ONE_MID))
+@check(V.query(_NATAL, *V.once(*_base("calsim2"), V.SECOND_SOURCE, _grid(maps.PLACES), _JUNCTIONS, _LONG_2, _ONE_MID)))
 def proportion_flow_natal_calsim2(spark, sf):
     return P.proportion_flow_natal(_flows_2(spark, sf, V.YEARS), FIRST, LAST)
 
@@ -667,13 +666,13 @@ _COMPARED = f"""compared AS (SELECT * FROM (
             WHERE year(date) BETWEEN {FIRST} AND {LAST}) WHERE value IS NOT NULL)"""
 
 
-@check(V.query("""SELECT coalesce(a.variable, b.variable) AS variable, coalesce(a.place, b.place) AS place,
-  coalesce(a.date, b.date) AS date, a.value AS left_value, b.value AS right_value, b.value - a.value AS difference
-FROM (SELECT * FROM compared WHERE scenario = 'A') a FULL JOIN (SELECT * FROM compared WHERE scenario = 'N') b
-  ON a.variable = b.variable AND a.place = b.place AND a.date = b.date
-WHERE coalesce(a.place, b.place) IN (SELECT place FROM compared WHERE scenario = 'A'
-  INTERSECT SELECT place FROM compared WHERE scenario = 'N')""", *_base("calsim2"), _grid(T.PLANES),
-               f"series AS ({_DELTA_LONG})", _COMPARED))
+_SIDES = """sides AS (SELECT variable, place, date, max(value) FILTER (WHERE scenario = 'A') AS left_value,
+  max(value) FILTER (WHERE scenario = 'N') AS right_value FROM compared WHERE scenario IN ('A', 'N') GROUP BY 1, 2, 3)"""
+
+
+@check(V.query("""SELECT variable, place, date, left_value, right_value, right_value - left_value AS difference
+FROM sides WHERE place IN (SELECT place FROM sides GROUP BY place HAVING count(left_value) > 0 AND count(right_value) > 0)""",
+               *V.once(*_base("calsim2"), _grid(T.PLANES), f"series AS ({_DELTA_LONG})", _COMPARED, _SIDES)))
 def unified_comparison(spark, sf):
     """A cube, a matrix and a series of two scenarios, stacked and compared."""
     flows = V.coded_flow(spark, sf, "calsim2", V.YEARS)

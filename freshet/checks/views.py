@@ -8,7 +8,7 @@ so one hot key in them costs no more than any other.
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -37,15 +37,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the shared folder the session names.
-
-    Only a local session that names none gets a folder of its own.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set")
-        shared = tempfile.mkdtemp(prefix="run-")
+    """A new folder below the one the session names in spark.checkpoint.dir or,
+    where that is unset, below the warehouse. Every session has a warehouse, and
+    all executors share both."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/freshet-{uuid.uuid4().hex}"
 
 
@@ -300,5 +295,10 @@ def values_cte(name: str, columns: list[str], rows: list[tuple]) -> str:
     return f"{name}({', '.join(columns)}) AS (VALUES {body})"
 
 
+def once(*ctes: str) -> list[str]:
+    """Common tables that are computed once, for texts that refer to them several times."""
+    return [re.sub(r"(^|\), )(\w+(?: ?\([^()]*\))?) AS \(", r"\1\2 AS MATERIALIZED (", cte) for cte in ctes]
+
+
 def query(body: str, *ctes: str) -> str:
     return f"WITH {', '.join(ctes)}\n{body}" if ctes else body

@@ -5,6 +5,7 @@ Files are read as splittable lines, so a large export is not bound to one task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,10 +48,12 @@ def node_export(
 
     Node names are in the row that starts with ``name_row``; the first column is
     a counter and the second the date; every other row without a date is header.
+    A quoted number may have commas between its thousands.
     Files may have different nodes: each file's names are joined to its rows (a
     large file's rows are spread), and ``nodes`` prunes before the values are cast.
     """
-    cells = lines(spark, paths).withColumn("cells", F.split("line", ","))
+    # A comma inside quotes belongs to its cell: an even number of quotes follows a separator.
+    cells = lines(spark, paths).withColumn("cells", F.split("line", ',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
     trimmed = cells.withColumn("cells", F.transform("cells", lambda c: F.trim(F.regexp_replace(c, '"', ""))))
     names = trimmed.filter(F.get("cells", F.lit(0)) == name_row).select(
         "file", F.col("cells").alias("names")
@@ -64,7 +67,7 @@ def node_export(
     pairs = F.arrays_zip(F.col("names").alias("node"), F.col("cells").alias("text"))
     rows = spread_join(data, names, ["file"], ["line"]).select("file", "date", F.inline(F.slice(pairs, 3, 2**31 - 4)))
     rows = rows.filter((F.col("node") != "") if nodes is None else F.col("node").isin(list(nodes)))
-    return rows.select("file", "date", "node", F.expr("try_cast(text AS double)").alias("flow_cfs"))
+    return rows.select("file", "date", "node", F.expr("try_cast(replace(text, ',') AS double)").alias("flow_cfs"))
 
 
 def wide_export(
@@ -81,8 +84,9 @@ def wide_export(
 
 
 def scenario_of_file(df: DataFrame, scenarios: Mapping[str, str]) -> DataFrame:
-    """Scenario by a fragment of the file path."""
+    """Scenario by a part of the file path: whole names, so ``N`` is not found in ``N2``."""
     out = F.lit(None).cast("string")
-    for fragment, scenario in scenarios.items():
-        out = F.when(F.col("file").contains(fragment), F.lit(scenario)).otherwise(out)
+    for part, scenario in scenarios.items():
+        whole = rf"(?<![A-Za-z0-9_]){re.escape(part)}(?![A-Za-z0-9_])"
+        out = F.when(F.col("file").rlike(whole), F.lit(scenario)).otherwise(out)
     return df.withColumn("scenario", out)

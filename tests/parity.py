@@ -65,20 +65,19 @@ def compare(spark, con, fn, sql, sf) -> tuple[str, int]:
 
 
 def main() -> None:
-    import __spark_entry__ as entry
+    from freshet.checks import QUERIES, SQL
     from freshet.session import local_session
 
     sf = f"/root/testdata/sf{sys.argv[1] if len(sys.argv) > 1 else '0.01'}"
     wanted = sys.argv[2:]
     spark, con = local_session(8), connect(sf)
-    sqls = entry.oracle_sql()
     bad = 0
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         if wanted and not any(name.startswith(w) for w in wanted):
             continue
         start = time.time()
         try:
-            text, n = compare(spark, con, fn, sqls[name], sf)
+            text, n = compare(spark, con, fn, SQL[name], sf)
         except Exception as e:  # report and go on
             text, n = f"{type(e).__name__}: {str(e)[:1500]}", -1
         bad += bool(text)

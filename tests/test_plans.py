@@ -8,9 +8,9 @@ import pytest
 
 import __spark_entry__ as entry
 import parity
+from freshet.checks import QUERIES, SQL
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 # These write files before they return a frame.
 WRITING = {"csv_titled_scan", "multi_file_scan", "partitioned_roundtrip", "scenario_lookup", "snapshot_roundtrip"}
 
@@ -39,6 +39,28 @@ def test_plan(spark, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
+DIVERSIONS = [f"{kind}_diverted_{family}" for kind in ("total", "proportion") for family in ("calsim2", "calsim3", "action_5")]
+
+
+@pytest.mark.parametrize("name", DIVERSIONS)
+def test_the_window_of_diversions_reaches_the_scan(spark, name):
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"PushedFilters: \[([^\]]*)[^\n]*l_returnflag", plan)
+    assert scans and all("GreaterThanOrEqual(l_shipdate" in s for s in scans)
+
+
+@pytest.mark.parametrize("name", ["model_cube", "supplier_cube", "two_place_cube", "mean_flow_calsim2"])
+def test_cubes_collect_nothing(spark, name):
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "collect_set" not in plan
+
+
+def test_the_day_table_of_a_log_is_not_copied(spark):
+    plan = QUERIES["gate_intervals"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "explode" not in plan and plan.count("events.parquet") <= 2
 
 
 def test_entry(spark):
