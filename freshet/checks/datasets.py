@@ -6,7 +6,6 @@ is a different evaluation from the joined terms on the Spark side.
 
 from __future__ import annotations
 
-
 from pyspark.sql import functions as F
 
 from freshet.checks import views as V
@@ -35,6 +34,7 @@ from freshet.plans import diversions as D
 from freshet.plans import flows as P
 from freshet.plans import functional as E
 from freshet.plans import maps
+from freshet.plans.crosswalk import crosswalk
 
 FIRST, LAST = V.YEARS
 YEARS = range(FIRST, LAST + 1)
@@ -345,6 +345,20 @@ def proportion_diverted_calsim2(spark, sf):
     return _classed(D.proportion_diverted(flows, "calsim2", FIRST, LAST, _east_nodes(spark, sf)))
 
 
+_UPPER = next(n for p, n, _ in _div_rows("calsim3") if p == maps.UPPER_SACRAMENTO)
+_UPPER_SEEN = f"coalesce({', '.join(_q(n) for n in _UPPER)}) IS NOT NULL"
+
+
+@check(V.query(_total_sql("calsim3"), *_base("calsim3"), _grid(maps.PLACES),
+               f"grand AS (SELECT CASE WHEN count(*) = count({_plus(_UPPER)}) THEN sum({_plus(_UPPER)}) END AS total "
+               f"FROM wide WHERE {_UPPER_SEEN})",
+               f"series AS (SELECT * FROM ({_total_series('calsim3')}) WHERE place <> '{maps.UPPER_SACRAMENTO}' UNION ALL "
+               f"SELECT scenario, date, '{maps.UPPER_SACRAMENTO}', (SELECT total FROM grand) FROM wide WHERE {_UPPER_SEEN})"))
+def total_diverted_calsim3_compat(spark, sf):
+    """The first place holds the total of all months, as published."""
+    return D.total_diverted(V.coded_flow(spark, sf, "calsim3"), "calsim3", FIRST, LAST, compat=True)
+
+
 # --- mean flow, matrices, natal, pulse --------------------------------------------------------
 
 
@@ -405,6 +419,56 @@ def san_joaquin_flows_calsim3(spark, sf):
     return P.place_matrix(_flows_3(spark, sf, V.YEARS), maps.SAN_JOAQUIN, FIRST, LAST)
 
 
+def _published_matrix(river: str, newer: str) -> str:
+    """The synthetic series, and the newer run outside dry years, as matrices."""
+    cells = _year_cells(f"flow_cfs * {CMS}")
+    return f"""SELECT scenario, CAST(month(date) AS INTEGER) AS month, {cells} FROM (
+  SELECT 'eff' AS scenario, date, new_cfs AS flow_cfs FROM new_{river}
+  UNION ALL SELECT 'LTO_12a_eff_dy', date, new_cfs FROM new_{river} WHERE year(date) IN (SELECT year FROM dry)
+  UNION ALL SELECT 'LTO_12a_eff_dy', date, flow_cfs FROM coded WHERE node = '{newer}' AND scenario = 'A'
+    AND year(date) NOT IN (SELECT year FROM dry)) WHERE year(date) BETWEEN {FIRST} AND {LAST} GROUP BY 1, 2"""
+
+
+_DRY = """dry AS (SELECT year FROM year_types WHERE location = '1-URGENT' AND year BETWEEN 1995 AND 2001
+  AND year_type NOT IN ('Wet', 'Above Normal'))"""
+_PUBLISHED = [V.coded_flow_sql("calsim3"), V.SECOND_SOURCE, V.YEAR_TYPES, *_TEMPLATES.values(), _NEW.format("sac"),
+              _NEW.format("sjr"), _DRY]
+
+
+def _published(spark, sf, river: str, newer: str):
+    series = E.synthetic_flow(_years(spark, sf), river).select(
+        F.lit("eff").alias("scenario"), "date", F.lit("P").alias("place"), (F.col("new_cfs") / 20).alias("flow_cfs")
+    )
+    run = V.coded_flow(spark, sf, "calsim3", V.YEARS).filter((F.col("scenario") == "A") & (F.col("node") == newer))
+    run = run.select("scenario", "date", F.lit("P").alias("place"), "flow_cfs")
+    spliced = splice_by_year(series, run, E.dry_years(V.year_types(spark, sf), V.LOCATION, 1995, 2001))
+    both = series.unionByName(spliced.withColumn("scenario", F.lit("LTO_12a_eff_dy")))
+    return P.place_matrix(both, "P", FIRST, LAST)
+
+
+@check(V.query(_published_matrix("sac", "C_SAC257"), *_PUBLISHED))
+def upper_sacramento_flows_published(spark, sf):
+    return _published(spark, sf, "Sacramento", "C_SAC257")
+
+
+@check(V.query(_published_matrix("sjr", "C_SJR081"), *_PUBLISHED))
+def san_joaquin_flows_published(spark, sf):
+    return _published(spark, sf, "San Joaquin", "C_SJR081")
+
+
+@check(V.query(f"""SELECT place, calsim2, calsim3, count(flow_cfs) AS months, sum(flow_cfs) AS flow_cfs
+FROM (SELECT coalesce(x.place, y.place) AS place, x.calsim2, y.calsim3 FROM older x FULL JOIN newer y ON x.place = y.place) c
+LEFT JOIN coded ON coded.node = c.calsim2 GROUP BY 1, 2, 3""", V.coded_flow_sql("calsim2"),
+               *(V.values_cte(name, ["place", c], [(r[0], r[k]) for r in maps.FLOW_NODES if r[k]])
+                 for name, c, k in (("older", "calsim2", 1), ("newer", "calsim3", 2)))))
+def node_crosswalk(spark, sf):
+    """The nodes of both families side by side, with what the older one carries."""
+    flows = V.coded_flow(spark, sf, "calsim2").groupBy(F.col("node").alias("calsim2")).agg(
+        F.count("flow_cfs").alias("months"), F.sum("flow_cfs").alias("flow_cfs")
+    )
+    return crosswalk(spark, "flows").join(flows, "calsim2", "left").fillna(0, ["months"])
+
+
 @check(V.query(f"""SELECT scenario, date, "C400" AS "freeportQcfs", "C400" * {CMS} AS "freeportQcms" FROM wide
 WHERE "C400" IS NOT NULL""", *_base("calsim2")))
 def freeport_series_calsim2(spark, sf):
@@ -446,6 +510,11 @@ def proportion_flow_natal_calsim2(spark, sf):
     return P.proportion_flow_natal(_flows_2(spark, sf, V.YEARS), FIRST, LAST)
 
 
+@check(V.query(_NATAL, *V.once(*_base("action_5"), _grid(maps.PLACES), _JUNCTIONS, f"flows AS ({_TAGGED_FLOWS})", _ONE_MID)))
+def proportion_flow_natal_action_5(spark, sf):
+    return P.proportion_flow_natal(P.region_flows(V.tagged_flow(spark, sf, V.YEARS)), FIRST, LAST)
+
+
 def _blended(family: str) -> str:
     a, b = (_q(row[FAMILY_COLUMN[family]]) for row in maps.FLOW_NODES if row[0] in maps.LOWER_MID)
     mid = f"{LOWER_MID_REACHES[0]!r}::DOUBLE * {a} + {LOWER_MID_REACHES[1]!r}::DOUBLE * {b}"
@@ -494,12 +563,22 @@ def med_flow_calsim3(spark, sf):
     return P.med_flow(_flows_3(spark, sf, V.YEARS), FIRST, LAST).withColumn("value", F.round("value", 6))
 
 
-def _hatchery_sql(months: str) -> str:
+@check(V.query(f"""SELECT scenario, place_order, place, month,
+  round(CASE WHEN place IN ('Sutter Bypass', 'Yolo Bypass') THEN 0 ELSE {sql_policy('x', PULSE_FILL)} END, 6) AS value
+FROM (SELECT m.*, {sql_quotient('(sd / 100)', 'med')} AS x FROM months m LEFT JOIN stats USING (scenario, place, month))""",
+               *V.once(*_base("action_5"), _MONTH_GRID, _STATS.format(flows=_TAGGED_FLOWS))))
+def proportion_pulse_flows_action_5(spark, sf):
+    flows = P.region_flows(V.tagged_flow(spark, sf, V.YEARS))
+    cells = P.proportion_pulse_flows(flows, first=FIRST, last=LAST, blend=False)
+    return cells.withColumn("value", F.round("value", 6))
+
+
+def _hatchery_sql(months: str, flows: str = "") -> str:
     listed = ", ".join(f"'{p}'" for p in maps.HATCHERY_PLACES)
+    flows = flows or f"SELECT * FROM ({_per_place(_flows('calsim3'), 'flow_cfs')}) WHERE flow_cfs IS NOT NULL"
     return f"""SELECT scenario, place, {_year_cells('value', 'year')} FROM (
   SELECT scenario, place, year(date) AS year, CASE WHEN count(flow_cfs) = 2 THEN sum(flow_cfs) / 2 END AS value
-  FROM ({_per_place(_flows('calsim3'), 'flow_cfs')}) WHERE place IN ({listed}) AND month(date) IN ({months})
-    AND flow_cfs IS NOT NULL AND year(date) BETWEEN {FIRST} AND {LAST} GROUP BY 1, 2, 3) GROUP BY 1, 2"""
+  FROM ({flows}) WHERE place IN ({listed}) AND month(date) IN ({months}) AND year(date) BETWEEN {FIRST} AND {LAST} GROUP BY 1, 2, 3) GROUP BY 1, 2"""
 
 
 @check(V.query(_hatchery_sql("10, 11"), *_base("calsim3")))
@@ -512,6 +591,16 @@ def hatchery_apr_may_flows_calsim3(spark, sf):
     return P.hatchery_flows(_flows_3(spark, sf, V.YEARS), (4, 5), FIRST, LAST)
 
 
+@check(V.query(_hatchery_sql("10, 11", _FLOWS_2), *_base("calsim2"), V.SECOND_SOURCE))
+def hatchery_oct_nov_flows_calsim2(spark, sf):
+    return P.hatchery_flows(_flows_2(spark, sf, V.YEARS), (10, 11), FIRST, LAST)
+
+
+@check(V.query(_hatchery_sql("4, 5", _FLOWS_2), *_base("calsim2"), V.SECOND_SOURCE))
+def hatchery_apr_may_flows_calsim2(spark, sf):
+    return P.hatchery_flows(_flows_2(spark, sf, V.YEARS), (4, 5), FIRST, LAST)
+
+
 # --- delta and bypass proportions -------------------------------------------------------------
 
 

@@ -60,6 +60,17 @@ def daily_to_monthly_mean(spark, sf):
     return means.withColumn("monthly_mean_flow", F.round("monthly_mean_flow", 6))
 
 
+@check(V.query("""SELECT CAST(date_trunc('month', min(date)) AS DATE) AS date, round(avg(flow), 9) AS flow, 'gauge' AS type
+FROM daily_gauge WHERE year(date) BETWEEN 1992 AND 2012 GROUP BY year(date), month(date)
+UNION ALL SELECT CAST(date_trunc('month', date) AS DATE), CAST(flow_cfs AS DOUBLE), 'model' FROM node_flow
+WHERE year(date) BETWEEN 1992 AND 2012""", V.DAILY_GAUGE, V.NODE_FLOW))
+def gauge_against_model(spark, sf):
+    """All gauges together against all nodes of the runs."""
+    model = V.node_flow(spark, sf).withColumnRenamed("flow_cfs", "flow")
+    rows = S.gauge_against_model(V.daily_gauge(spark, sf), model, 1992, 2012, "flow")
+    return rows.withColumn("flow", F.when(F.col("type") == "gauge", F.round("flow", 9)).otherwise(F.col("flow")))
+
+
 @check(V.query(f"""SELECT scenario, node, CAST(year(date) AS INTEGER) AS year, round(v, 4) AS acre_feet,
   format('{{:,}}', CAST(round_even(v, 0) AS BIGINT)) AS acre_feet_text
 FROM (SELECT scenario, node, year(date) AS year, sum(flow_cfs) * {ACRE_FEET_PER_MONTH_PER_CFS!r}::DOUBLE AS v,

@@ -114,6 +114,18 @@ def daily_to_monthly_mean(
     return means.withColumn("date", F.make_date("year", "month", F.lit(1)))
 
 
+def gauge_against_model(
+    gauge: DataFrame, model: DataFrame, first: int = 1980, last: int = 1999, value: str = "flow_cfs", date: str = "date"
+) -> DataFrame:
+    """Monthly means of a gauge and a model's months, one below the other: (date, flow, type)."""
+    means = daily_to_monthly_mean(gauge.filter(in_years(date, first, last)), [], value, date)
+    measured = means.select("date", F.col("monthly_mean_flow").alias("flow"), F.lit("gauge").alias("type"))
+    months = model.filter(in_years(date, first, last)).select(
+        F.trunc(date, "month").alias("date"), F.col(value).cast("double").alias("flow"), F.lit("model").alias("type")
+    )
+    return measured.unionByName(months)
+
+
 def annual_volume(df: DataFrame, keys: Sequence[str], value: str = "flow_cfs") -> DataFrame:
     """Volume in acre-feet of the months of each key, also with thousands separators."""
     total = strict_sum(acre_feet(value))

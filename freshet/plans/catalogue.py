@@ -29,7 +29,8 @@ class Runs:
     newer one; ``east_side(scenario, date, node, flow_cfs)`` the separate model
     of the older ones; ``tagged(scenario, date, node, dataset, region, flow_cfs)``
     the tagged run; ``years(location, year, idx, year_type)`` the year types.
-    ``places`` may hold the published ``flows_cfs``, which other datasets then read.
+    ``places``, ``deltas`` and ``matrices`` may hold the published ``flows_cfs`` and
+    ``delta_flows`` and all one-place matrices, which other datasets then read.
     """
 
     node_flow: DataFrame
@@ -40,6 +41,8 @@ class Runs:
     last: int = 2000
     tagged_first: int = 1979
     places: DataFrame | None = None
+    deltas: DataFrame | None = None
+    matrices: DataFrame | None = None
 
     def of(self, *scenarios: str) -> DataFrame:
         return self.node_flow.filter(F.col("scenario").isin(list(scenarios)))
@@ -121,11 +124,22 @@ def mean_flow(r: Runs) -> DataFrame:
     return flows.mean_flow(places, union(bypass, *borrowed), r.first, r.last)
 
 
+def node_matrices(r: Runs) -> DataFrame:
+    """The one-place matrices of the untagged runs, ``dataset`` naming each."""
+    return union(
+        flows.node_matrices(r.of(*OLDER_RUNS), "calsim2", r.first, r.last),
+        flows.node_matrices(r.of(NEWER_RUN), "calsim3", r.first, r.last),
+    )
+
+
 def node_matrix(r: Runs, dataset: str) -> DataFrame:
-    parts = [
-        flows.node_matrix(r.of(*OLDER_RUNS), dataset, "calsim2", r.first, r.last),
-        flows.node_matrix(r.of(NEWER_RUN), dataset, "calsim3", r.first, r.last),
-    ]
+    if r.matrices is not None:
+        parts = [r.matrices.filter(F.col("dataset") == dataset).drop("dataset")]
+    else:
+        parts = [
+            flows.node_matrix(r.of(*OLDER_RUNS), dataset, "calsim2", r.first, r.last),
+            flows.node_matrix(r.of(NEWER_RUN), dataset, "calsim3", r.first, r.last),
+        ]
     if TAGGED_RUN in maps.AVAILABLE[dataset]:
         name = {"upper_sacramento_flows": "upsac_flow", "cvp_exports": "cvp_exports_realized",
                 "swp_exports": "swp_exports_realized"}.get(dataset, dataset)
@@ -180,6 +194,8 @@ def proportion_pulse_flows(r: Runs) -> DataFrame:
 
 
 def delta_flows(r: Runs) -> DataFrame:
+    if r.deltas is not None:
+        return r.deltas
     older = delta.delta_flows(r.of(*OLDER_RUNS), "calsim2")
     newer = delta.delta_flows(r.of(NEWER_RUN), "calsim3", r.of("run_of_river"))
     return union(older, newer, delta.tagged_delta_flows(r.tagged, r.tagged_first, r.last))
@@ -239,11 +255,18 @@ def build(r: Runs, dataset: str) -> DataFrame:
 
 
 def publish_all(r: Runs, root: str) -> None:
-    """Write every dataset. The flows are written first and read back by those built on them."""
+    """Write every dataset. What several are built on is written first and read
+    back: the flows, the delta flows, and all one-place matrices from one scan."""
     spark = r.node_flow.sparkSession
-    store.publish(build(r, "flows_cfs"), root, "flows_cfs")
+    for name in ("flows_cfs", "delta_flows"):
+        store.publish(build(r, name), root, name)
     columns = ["scenario", "date", "place", "flow_cfs"]
-    r = replace(r, places=store.lookup(spark, root, "flows_cfs").select(*columns))
+    r = replace(
+        r,
+        places=store.lookup(spark, root, "flows_cfs").select(*columns),
+        deltas=store.lookup(spark, root, "delta_flows"),
+        matrices=store.read_snapshot(spark, store.snapshot(node_matrices(r), f"{root}/_node_matrices")),
+    )
     for name in BUILDERS:
-        if name != "flows_cfs":
+        if name not in ("flows_cfs", "delta_flows"):
             store.publish(build(r, name), root, name)
