@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freshet.llm.components import components
-from freshet.llm.shared import chunks, mixed, written
+from freshet.llm.shared import chunks, laid, mixed, written
 
 WORDS = 5
 PERCENT = 75
@@ -436,16 +436,16 @@ def member_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sets are similar, checked on all members.
+    """Pairs (a, b) of a written table whose sets are similar, checked on all members.
 
     The set of a goes once to every 64 or so of its partners, in a stream of rows
     sorted by a, so neither a task nor its memory holds a group of pairs.
     """
-    spread = pairs.join(
-        pairs.groupBy("a").agg(F.ceil(F.count("*") / 64).alias("lots")), "a"
-    ).select("a", "b", F.pmod(F.xxhash64("b"), F.col("lots")).alias("lot"))
-    partners = spread.join(sets, F.col("b") == F.col("key")).select("a", "lot", "b", "members")
-    heads = spread.select("a", "lot").distinct().join(sets, F.col("a") == F.col("key"))
+    pairs = laid(pairs)
+    lots = pairs.groupBy("a").agg(F.ceil(F.count("*") / 64).alias("lots"))
+    spread = written(pairs.join(lots, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("lots")).alias("lot")))
+    partners = sized(spread).join(sets, F.col("b") == F.col("key")).select("a", "lot", "b", "members")
+    heads = sized(laid(spread).select("a", "lot").distinct()).join(sets, F.col("a") == F.col("key"))
     rows = partners.union(heads.select("a", "lot", F.lit(None).cast("long"), "members"))
     dealt = rows.repartition("a", "lot").sortWithinPartitions("a", "lot", F.col("b").asc_nulls_first())
 
@@ -465,7 +465,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             a, b = zip(*found, strict=True) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -474,7 +474,7 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     def side(name):
         return labels.select(F.col("node").alias(name), F.col("component").alias(f"c_{name}"))
 
-    df = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    df = pairs.join(sized(side("a")), "a", "left").join(sized(side("b")), "b", "left")
     return df.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select(*pairs.columns)
 
 
@@ -488,11 +488,12 @@ class Linker:
         self.labels: DataFrame | None = None
 
     def _checked(self, pairs: DataFrame) -> None:
-        ends = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-        wanted = written(ends.join(self.classes.select("key", "doc_id"), "key"))
+        """pairs: a written table."""
+        ends = written(laid(pairs).select(F.explode(F.array("a", "b")).alias("key")).distinct())
+        wanted = written(sized(ends).join(self.classes.select("key", "doc_id"), "key"))
         sets = written(member_sets(self.docs, wanted, self.words))
         new = linked(pairs.select("a", "b"), sets, self.percent)
-        self.edges = written(new if self.edges is None else self.edges.union(new).distinct())
+        self.edges = written(new if self.edges is None else self.edges.union(new))
         if not self.every:
             self.labels = written(components(self.edges))
 
@@ -503,11 +504,13 @@ class Linker:
         if close.isEmpty():
             return
         if self.every:
-            self._checked(close)
+            new = close.select("a", "b").distinct()
+            self._checked(written(new if self.edges is None else new.join(self.edges, ["a", "b"], "left_anti")))
             return
-        best = written(close.groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a")).select("a", "b"))
+        best = laid(close).groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a")).select("a", "b")
+        best = written(best)
         self._checked(best)
-        rest = written(_apart(close, self.labels).join(best, ["a", "b"], "left_anti"))
+        rest = written(_apart(laid(close), self.labels).join(sized(best), ["a", "b"], "left_anti"))
         if not rest.isEmpty():
             self._checked(rest)
 
@@ -572,7 +575,7 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, ma
     rows, link = _linked(docs, words, percent, many, every=False)
     named = rows.withColumn("_c", F.col("key"))
     if link.labels is not None:
-        named = rows.join(link.labels, F.col("key") == F.col("node"), "left")
+        named = rows.join(sized(link.labels), F.col("key") == F.col("node"), "left")
         named = named.withColumn("_c", F.coalesce("component", "key")).drop("node", "component")
     lowest = named.filter("n_shingles > 0").groupBy(F.col("_c").alias("_k")).agg(F.min("doc_id").alias("_least"))
     out = named.join(lowest, (F.col("_c") == F.col("_k")) & (F.col("n_shingles") > 0), "left")
@@ -617,7 +620,7 @@ def _add_hot(link: Linker, hot: DataFrame, percent: int) -> None:
     link.add(star.distinct())
     component = F.col("key")
     if link.labels is not None:
-        rows = rows.join(link.labels, F.col("key") == F.col("node"), "left")
+        rows = rows.join(sized(link.labels), F.col("key") == F.col("node"), "left")
         component = F.coalesce("component", "key")
     placed = written(rows.select("feature", "key", "n", "core", "place", component.alias("c")))
     mixed_buckets = placed.groupBy("feature").agg(F.min("c").alias("_low"), F.max("c").alias("_high")).filter("_low <> _high")

@@ -16,9 +16,15 @@ WORD = "[^\\x20\\x09-\\x0D]"
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
 
 
+#: Rows of a batch between the JVM and Python.
+BATCH_ROWS = 1000
+
+
 def ship_package(spark: SparkSession) -> None:
     """Hands this package to the session's Python workers, once a session, for
     workers that do not have it on their path."""
+    # Small batches: a worker and its JVM hold a few megabytes of text, not tens.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if any(f.startswith("freshet-package") for f in context._python_includes):
         return
@@ -69,6 +75,17 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables of up to so many narrow rows are laid in one partition.
+SMALL_ROWS = 200_000
+
+
+def laid(table: DataFrame) -> DataFrame:
+    """A written table of a few numbers a row; counted, and in one partition if it
+    is small, so that joins and sums of it need no shuffle. This is what adaptive
+    execution makes of it after a shuffle; a larger table stays spread."""
+    return table.coalesce(1) if table.count() <= SMALL_ROWS else table
+
+
 def flat_bytes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 of the texts end to end, and where each begins (n + 1 offsets).
 
@@ -87,7 +104,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def chunks(batches, most_bytes: int = 4 << 20):
+def chunks(batches, most_bytes: int = 1 << 20):
     """Record batches in slices of about so many bytes, one row at least.
 
     Keeps the memory of a Python worker bounded by the longest single row.
