@@ -35,8 +35,8 @@ from freshet.llm.shared import chunks
 PASSAGE = 512
 #: Longer texts are encoded in blocks, a whole number of passages.
 BLOCK = 4 << 20
-SAMPLE = 6000
-PASSAGES_EACH = 32
+SAMPLE = 3000
+PASSAGES_EACH = 24
 HIDDEN = 24
 ATTENTION = 12
 EPOCHS = 30
