@@ -48,11 +48,7 @@ def compare_volumes(model: DataFrame, natural: DataFrame, proposed: DataFrame) -
     """Annual volume of a model year and two templates, each with ``flow_cfs`` rows."""
     tagged = [
         f.select("flow_cfs", F.lit(t).alias("type"))
-        for f, t in (
-            (model, "calsim"),
-            (natural, "Natural flows Database flows"),
-            (proposed, "Proposed Model EFF"),
-        )
+        for f, t in zip((model, natural, proposed), maps.VOLUME_LABELS, strict=True)
     ]
     return annual_volume(tagged[0].unionByName(tagged[1]).unionByName(tagged[2]), ["type"])
 

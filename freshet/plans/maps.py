@@ -218,15 +218,38 @@ MISC_NODES = nodes("C134 C165 C116 C123 C124 C125 C109 D160 D166A D117 D124 D125
 # Candidates compared for the bypass and lower-mid reaches.
 CANDIDATE_NODES = nodes("C157 D160 D166A D117 D124 D125 D126 C166 C165 C134 C160")
 
-# The place at whose junction a tributary's share is taken.
-# first order | last order | junction order (positions in PLACES)
-JUNCTION_RANGES = [
-    (1, 16, 16), (18, 18, 19), (19, 19, 21), (20, 20, 19), (21, 21, 21), (23, 24, 24),
-    (25, 25, 25), (26, 26, 26), (27, 27, 27), (28, 31, 31),
-]
-JUNCTIONS = {
-    PLACES[i - 1]: PLACES[j - 1] for first, last, j in JUNCTION_RANGES for i in range(first, last + 1)
-}
+# The place at whose junction a tributary's share is taken. place | junction
+JUNCTIONS = dict(table("""
+Upper Sacramento River | Upper-mid Sacramento River
+Antelope Creek | Upper-mid Sacramento River
+Battle Creek | Upper-mid Sacramento River
+Bear Creek | Upper-mid Sacramento River
+Big Chico Creek | Upper-mid Sacramento River
+Butte Creek | Upper-mid Sacramento River
+Clear Creek | Upper-mid Sacramento River
+Cottonwood Creek | Upper-mid Sacramento River
+Cow Creek | Upper-mid Sacramento River
+Deer Creek | Upper-mid Sacramento River
+Elder Creek | Upper-mid Sacramento River
+Mill Creek | Upper-mid Sacramento River
+Paynes Creek | Upper-mid Sacramento River
+Stony Creek | Upper-mid Sacramento River
+Thomes Creek | Upper-mid Sacramento River
+Upper-mid Sacramento River | Upper-mid Sacramento River
+Bear River | Feather River
+Feather River | Lower-mid Sacramento River
+Yuba River | Feather River
+Lower-mid Sacramento River | Lower-mid Sacramento River
+American River | Lower Sacramento River
+Lower Sacramento River | Lower Sacramento River
+Calaveras River | Calaveras River
+Cosumnes River | Cosumnes River
+Mokelumne River | Mokelumne River
+Merced River | San Joaquin River
+Stanislaus River | San Joaquin River
+Tuolumne River | San Joaquin River
+San Joaquin River | San Joaquin River
+"""))
 # Rivers that reach the delta by themselves.
 NATAL_FIXED = ("Calaveras River", "Cosumnes River", "Mokelumne River")
 BYPASSES = ("Sutter Bypass", "Yolo Bypass")
@@ -243,6 +266,9 @@ HATCHERY_PLACES = ["Battle Creek", "Feather River", "American River", "Mokelumne
 GATE_DAYS_CLOSED = [31, 28, 31, 30, 20, 15, 0, 0, 0, 0, 0, 15]
 GATE_OVERRIDES = {5: 28, 6: 8}
 
+# Labels of the compared annual volumes: model, natural and proposed flows.
+VOLUME_LABELS = ("calsim", "Natural flows Database flows", "Proposed Model EFF")
+
 # Year classes. Wet and Above Normal are wet, the others dry.
 WET_TYPES = ("Wet", "Above Normal")
 DRY_TYPES = ("Critical", "Dry", "Below Normal")
