@@ -29,8 +29,9 @@ from pyspark.sql import types as T
 
 from freshet.llm.shared import chunks
 
-#: Segments kept with their pieces in a Python worker.
-CACHED = 200_000
+#: Segments kept with their pieces in a Python worker, and the bytes of both.
+CACHED = 300_000
+CACHED_BYTES = 32 << 20
 SPACE = "▁"
 
 ENCODED = T.StructType(
@@ -117,6 +118,7 @@ class Model:
             [1 if self.processor.is_byte(i) else len(p.replace(SPACE, " ").encode()) for i, p in enumerate(pieces)]
         )
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def normalized(self, text: str) -> tuple[str, np.ndarray | None]:
         """The text after the map and the treatment of spaces, with a dummy
@@ -149,25 +151,46 @@ class Model:
             places[:0] = [places[0]]
         return out.decode("utf-8", "replace"), np.array(places, np.int64)
 
-    def _learn(self, segments: list[str]) -> None:
-        """Ids of segments of normalised text."""
-        cut = 1 if self.dummy else 0
-        for s, ids in zip(segments, self.processor.encode([s[cut:] for s in segments], num_threads=1), strict=True):
-            self.known[s] = array("i", [self.space] if s == " " else ids).tobytes()
-
     def segments(self, text: str) -> list[str]:
-        if "  " in text or not text.startswith(" "):
-            return _SEGMENT.findall(text)
-        return [" " + p for p in text[1:].split(" ")]
+        """Normalised text cut before runs of spaces; the first space of a run is left out."""
+        if not text:
+            return []
+        if text[0] == " " and "  " not in text:
+            return text[1:].split(" ")
+        return [s[1:] if s[0] == " " else s for s in _SEGMENT.findall(text)]
+
+    def learn(self, segments: set[str]) -> None:
+        """Ids of segments not known yet: with a space in front, as the library's
+        dummy prefix puts it there, and without for a text that begins otherwise."""
+        if len(self.known) > CACHED or self.held > CACHED_BYTES:
+            self.known, self.held = {}, 0
+        new = [s for s in segments if s not in self.known]
+        if self.dummy:
+            for s, ids in zip(new, self.processor.encode(new, num_threads=1), strict=True):
+                self.known[s] = array("i", ids or [self.space]).tobytes()
+        else:
+            for s, ids in zip(new, self.processor.encode([" " + s for s in new], num_threads=1), strict=True):
+                self.known[s] = array("i", ids).tobytes()
+        self.held += sum(len(s) + len(self.known[s]) for s in new)
+
+    def encode_all(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Ids with the end id, starts and ends of every text."""
+        normal = [self.normalized(t) for t in texts]
+        cut = [self.segments(plain) for plain, _ in normal]
+        self.learn({s for segments in cut for s in segments})
+        return [self._placed(t, n, s) for t, n, s in zip(texts, normal, cut, strict=True)]
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids with the end id, starts and ends."""
-        plain, places = self.normalized(text)
-        segments = self.segments(plain) if plain else []
-        known = self.known
-        if new := [s for s in set(segments) if s not in known]:
-            self._learn(new)
-        ids = np.frombuffer(b"".join(map(known.__getitem__, segments)), "<i4")
+        return self.encode_all([text])[0]
+
+    def _placed(self, text: str, normal: tuple[str, np.ndarray | None], segments: list[str]):
+        plain, places = normal
+        if plain and plain[0] != " ":  # without a dummy prefix the first segment has no space
+            first = np.array(self.processor.encode(segments[0]), "<i4").tobytes()
+            parts = [first, *map(self.known.__getitem__, segments[1:])]
+        else:
+            parts = map(self.known.__getitem__, segments)
+        ids = np.frombuffer(b"".join(parts), "<i4")
         ends = np.cumsum(self.width[ids])
         starts = ends - self.width[ids]
         if places is None:
@@ -201,9 +224,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "encoded")
     def run(batches):
         model = _model(path)
         for batch in chunks(batches):
-            if len(model.known) > CACHED:
-                model.known = {}
-            rows = [model.encode(t or "") for t in batch.column(text).to_pylist()]
+            rows = model.encode_all([t or "" for t in batch.column(text).to_pylist()])
             arrays = [_lists([r[k] for r in rows]) for k in range(3)]
             pieces = pa.StructArray.from_arrays(arrays, names=["ids", "starts", "ends"])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pieces], schema.names)
