@@ -38,6 +38,8 @@ PER_LANGUAGE = 400
 WINDOWS_EACH = 16
 EPOCHS = 6
 SEED = 7
+#: Lots in which a language's ids are ranked before all of them are.
+LOTS = 64
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -173,15 +175,15 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, windows_each: int = W
     rows = docs.select("doc_id", "text", "lang").filter(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0)
     )
-    # At most per_language ids of a language reach the join.
-    by_hash = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    chosen = (
-        rows.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
-        .distinct()
-        .withColumn("_rank", F.row_number().over(by_hash))
-        .filter(F.col("_rank") <= per_language)
-        .drop("_rank")
-    )
+    # At most per_language ids of a language reach the join. They are ranked in lots
+    # first, so that no task reads more than LOTS times as many, whatever the input.
+    by_hash = [F.xxhash64("_id"), "_id"]
+    chosen = rows.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
+    chosen = chosen.withColumn("_lot", F.pmod(F.xxhash64("_lang", "_id"), F.lit(LOTS)))
+    for keys in (["_lang", "_lot"], ["_lang"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*by_hash))
+        chosen = chosen.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).drop("_rank")
+    chosen = chosen.drop("_lot")
     # However often an id is repeated, one of its texts is learned from.
     sample = (
         rows.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
