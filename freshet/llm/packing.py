@@ -49,8 +49,9 @@ END_ID = 1
 #: Plans that are tried: numbers of groups, and the share of the capacity up to
 #: which lengths are small.
 TRIES = ((8, 1 / 4), (24, 1 / 4), (16, 1 / 2))
-#: Words kept with their ids in a Python worker.
+#: Words kept with their ids in a Python worker, and the bytes of both.
 CACHED = 400_000
+CACHED_BYTES = 32 << 20
 
 PIECE = T.StructType(
     [
@@ -93,6 +94,7 @@ class WordIds:
         self.model = self.tokenizer.model
         self.as_letters = _byte_letters()
         self.known: dict[str, bytes] = {"": b""}
+        self.held = 0
 
     def _letters(self, word: str) -> bytes:
         ids = self.known.get(word)
@@ -115,10 +117,11 @@ class WordIds:
                 known[word] = self._letters(lower) + known[marks]
             else:
                 known[word] = self._whole(word)
+        self.held += sum(len(w) + len(known[w]) for w in words)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHED:
-            self.known = {"": b""}
+        if len(self.known) > CACHED or self.held > CACHED_BYTES:
+            self.known, self.held = {"": b""}, 0
         split, known = [t.replace("\n", " ").split(" ") for t in texts], self.known
         self.learn({w for words in split for w in words if w not in known})
         look = known.__getitem__
@@ -139,7 +142,7 @@ def tokenized(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int
         words, seen = _words(path), defaultdict(int)
         part = TaskContext.get().partitionId()
         end = end_id.to_bytes(4, "little")
-        for batch in chunks(batches):
+        for batch in chunks(batches, 4 << 20):
             out = []
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for doc_id, ids in zip(batch.column(0).to_pylist(), words.encode(texts), strict=True):
