@@ -26,9 +26,9 @@ named by a 64-bit hash of its set.
 
 A null or empty text, or one without words, has the empty set and links with
 nothing. Fewer words than a shingle are one shingle. Repeated rows have the same
-component. A null doc_id is carried, but is never a component's id. Other columns
-are ignored; a set that only rows without a doc_id have links with nothing. An empty
-table gives no rows.
+component. A null doc_id is carried, but is never a component's id; its text links
+like any other, and a component without any doc_id has none. Other columns are
+ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -415,9 +415,10 @@ def sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def member_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(key, members) of the classes in wanted (key, doc_id): one row a class."""
-    named = wanted.select(F.col("key").alias("_key"), F.col("doc_id").alias("_id"))
+    """(key, members) of the classes in wanted (key, doc_id), a written table."""
+    named = wanted.filter("doc_id is not null").select(F.col("key").alias("_key"), F.col("doc_id").alias("_id"))
     texts = docs.select("doc_id", "text").join(sized(named), F.col("doc_id").cast("long") == F.col("_id"))
+    nameless = wanted.filter("doc_id is null").select("key")
 
     def run(batches):
         seen = set()
@@ -432,7 +433,22 @@ def member_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                     sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], ["key", "members"])
 
-    return texts.select("_key", "text").mapInArrow(run, "key long, members binary")
+    def run_nameless(batches):
+        seen = set()
+        for batch in chunks(batches, BLOCK):
+            every = shingle_sets(batch.column(0).to_pylist(), words)
+            new = {key: s for key, s in zip(class_keys(every), every, strict=True) if len(s) and key not in seen}
+            seen.update(new)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(new), pa.int64()), pa.array([s.tobytes() for s in new.values()], pa.binary())], ["key", "members"]
+            )
+
+    found = texts.select("_key", "text").mapInArrow(run, "key long, members binary")
+    if nameless.isEmpty():
+        return found
+    # Classes that only rows without an id have: their sets are found by the class of the text.
+    of_rows = docs.filter(F.col("doc_id").cast("long").isNull()).select("text").mapInArrow(run_nameless, "key long, members binary")
+    return found.union(of_rows.join(sized(nameless), "key", "left_semi").dropDuplicates(["key"]))
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -450,15 +466,17 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     dealt = rows.repartition("a", "lot").sortWithinPartitions("a", "lot", F.col("b").asc_nulls_first())
 
     def run(batches):
-        head = None
+        head, group = None, None
         for batch in chunks(batches):
             found = []
-            columns = (batch.column(k).to_pylist() for k in (0, 2, 3))
-            for a, b, members in zip(*columns, strict=True):
+            columns = (batch.column(k).to_pylist() for k in range(4))
+            for a, lot, b, members in zip(*columns, strict=True):
                 s = np.frombuffer(members, _U)
                 if b is None:
-                    head = s
+                    head, group = s, (a, lot)
                     continue
+                if group != (a, lot):
+                    raise RuntimeError(f"no members of the set {a}")
                 common = len(np.intersect1d(head, s, assume_unique=True))
                 if 100 * common >= percent * (len(head) + len(s) - common):
                     found.append((a, b))

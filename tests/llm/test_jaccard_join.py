@@ -149,3 +149,22 @@ def test_components_of_chains_stars_and_loops(spark):
     want = dict.fromkeys(range(61), 0) | dict.fromkeys([*range(900, 930), 1000], 900) | {200: 200, 300: 200}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("many", [12, 2])
+def test_near_copies_without_an_id(make_docs, many):
+    base = words(80, 1)
+    middle = words(80, 7)
+    docs = [(k, edited(base, k, 1)) for k in range(3)] + [(9, text(60, 9))]
+    # Two documents that only a text without an id links, and texts without ids that link with each other.
+    ends = [(20, " ".join(["one"] * 9 + middle)), (21, " ".join(middle + ["two"] * 9)), (None, " ".join(middle))]
+    alone = [(None, edited(words(70, 30), k, 1)) for k in range(4)]
+    every = [*docs, *ends, *alone, *((None, edited(base, 50 + k, 1)) for k in range(6)), (None, edited(base, 50, 1))]
+    # brute() needs an id for each; nulls get the largest ones.
+    named = [(k if k is not None else 1000 + i, t) for i, (k, t) in enumerate(every)]
+    want = {k: c if c < 1000 else None for k, _, c in brute(named)[0]}
+    assert want[21] == 20 and want[9] == 9 and None in want.values()
+    rows = jaccard_join.jaccard_join(make_docs(every), many=many).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows if r["doc_id"] is not None} == {k: c for k, c in want.items() if k < 1000}
+    got = sorted(str(r["component_id"]) for r in rows if r["doc_id"] is None)
+    assert got == sorted(str(c) for k, c in want.items() if k >= 1000)
