@@ -587,9 +587,10 @@ def _linked(docs: DataFrame, words: int, percent: int, many: int, every: bool) -
     return rows, link
 
 
-def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, many: int = MANY) -> DataFrame:
-    """doc_id, n_shingles, key (the class) and component_id, the smallest doc_id
-    reachable by links, per row of docs (doc_id, text)."""
+def grouped(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, many: int = MANY) -> DataFrame:
+    """doc_id, n_shingles, key (the class), component_id, the smallest doc_id
+    reachable by links, and component, its name among classes, per row of docs
+    (doc_id, text)."""
     rows, link = _linked(docs, words, percent, many, every=False)
     named = rows.withColumn("_c", F.col("key"))
     if link.labels is not None:
@@ -598,7 +599,26 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, ma
     lowest = named.filter("n_shingles > 0").groupBy(F.col("_c").alias("_k")).agg(F.min("doc_id").alias("_least"))
     out = named.join(lowest, (F.col("_c") == F.col("_k")) & (F.col("n_shingles") > 0), "left")
     reached = F.when(F.col("n_shingles") > 0, F.col("_least")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", "key", reached.alias("component_id"))
+    return out.select("doc_id", "n_shingles", "key", reached.alias("component_id"), F.col("_c").alias("component"))
+
+
+def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, many: int = MANY) -> DataFrame:
+    """doc_id, n_shingles, key and component_id of `grouped`."""
+    return grouped(docs, words, percent, many).drop("component")
+
+
+def with_class(docs: DataFrame, name: str, words: int = WORDS) -> DataFrame:
+    """Adds the class of the text, null for the empty set."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in chunks(batches, BLOCK):
+            sets = shingle_sets(batch.column(at).to_pylist(), words)
+            keys = [k if len(s) else None for k, s in zip(class_keys(sets), sets, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], schema.names)
+
+    return docs.mapInArrow(run, schema)
 
 
 def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, many: int = MANY) -> tuple[DataFrame, DataFrame]:

@@ -55,3 +55,13 @@ def test_filters_keep_rows_whole(spark, make_docs):
     assert good.columns == docs.columns
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, make_docs([]), DATA).count() == 0
+
+
+def test_deduplication_decides_by_row(spark, make_docs):
+    a, b, c = (words(80, k) for k in (1, 2, 3))
+    docs = [(1, " ".join(a)), (1, " ".join(b)), (2, edited(b, 1, 1)), (3, " ".join(c)), (4, edited(a, 2, 1))]
+    docs += [(None, " ".join(c)), (None, edited(c, 3, 1)), (None, None), (5, edited(c, 4, 1)), (5, text(50, 9)), (5, None)]
+    out = corpus_pipeline.deduplicated(spark, make_docs(docs), DATA).collect()
+    key = lambda r: (str(r[0]), str(r[1]))
+    want = [docs[0], docs[1], docs[3], docs[7], docs[9], docs[10]]
+    assert sorted(((r["doc_id"], r["text"]) for r in out), key=key) == sorted(want, key=key)
