@@ -16,6 +16,7 @@ from freshet.llm import (
     quality_rules,
     sentencepieces,
     sharding,
+    vector_dedup,
     wrapper,
 )
 from freshet.llm.shared import table
@@ -190,9 +191,36 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from judged
 """
 
+
+def op13_vector_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_dedup.near_groups(table(spark, sf, "embeddings"))
+
+
+OP13_SQL = """
+with recursive usable as materialized (
+  select vec_id, label, embedding::double[] as v from embeddings
+  where vec_id is not null and label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as materialized (
+  select a.vec_id as a, b.vec_id as b from usable a join usable b on a.label = b.label and a.vec_id <> b.vec_id
+  where len(a.v) = len(b.v)
+    and list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v)) / sqrt(list_dot_product(b.v, b.v)) >= 0.98
+), reach(vec_id, seen) as (
+  select vec_id, vec_id from embeddings union select reach.vec_id, links.b from reach join links on links.a = reach.seen
+), least as (
+  select vec_id, min(seen) as component_id from reach group by vec_id
+), counts as (
+  select a, count(*) as n from links group by a
+)
+select e.vec_id, coalesce(n, 0)::bigint as n_links, component_id::bigint as component_id, e.vec_id = component_id as kept
+from embeddings e join least using (vec_id) left join counts on a = e.vec_id
+"""
+
 _ALL = (
     op1_best_fit_packing, op2_nearest_neighbours, op3_quality_classifier, op4_sharding, op5_chat_perspectives,
     op6_html_extraction, op7_language_id, op8_jaccard_join, op9_sentencepiece, op10_quality_rules,
+    op13_vector_dedup,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-SQL = {"op5_chat_perspectives": OP5_SQL, "op8_jaccard_join": OP8_SQL, "op10_quality_rules": OP10_SQL}
+SQL = {"op5_chat_perspectives": OP5_SQL, "op8_jaccard_join": OP8_SQL, "op10_quality_rules": OP10_SQL, "op13_vector_dedup": OP13_SQL}
