@@ -11,6 +11,7 @@ from freshet.llm import (
     language_id,
     neighbours,
     packing,
+    periodic_runs,
     perspectives,
     quality_classifier,
     quality_rules,
@@ -192,6 +193,41 @@ from judged
 """
 
 
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """Texts whose hash ends in 0 go on periodically from one of their words on."""
+    words = F.expr("array(regexp_extract_all(text, '[^\\\\x20\\\\x09-\\\\x0D]+', 0))")
+    g = F.floor(F.crc32(F.col("doc_id").cast("string")) / 10).cast("long")
+
+    def tail(w):
+        n = F.size(w)
+        a = F.try_mod(g, n)
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        places = F.sequence(F.lit(0).cast("long"), (n - 1).cast("long"))
+        return F.array_join(F.transform(places, lambda i: F.get(w, F.when(i < a, i).otherwise(a + F.try_mod(i - a, p)).cast("int"))), " ")
+
+    made = F.get(F.transform(words, lambda w: F.when(F.size(w) > 0, tail(w))), F.lit(0))
+    changed = (F.crc32(F.col("doc_id").cast("string")) % 10 == 0) & F.col("text").isNotNull()
+    return docs.withColumn("text", F.when(changed, F.coalesce(made, F.col("text"))).otherwise(F.col("text")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = with_periodic_tails(table(spark, sf, "documents").select("doc_id", "text"))
+    found = periodic_runs.with_runs(docs, ["doc_id"])
+    # The longest run; of equally long ones the first, then the one of the shorter period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_vector_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return vector_dedup.near_groups(table(spark, sf, "embeddings"))
 
@@ -220,7 +256,7 @@ from embeddings e join least using (vec_id) left join counts on a = e.vec_id
 _ALL = (
     op1_best_fit_packing, op2_nearest_neighbours, op3_quality_classifier, op4_sharding, op5_chat_perspectives,
     op6_html_extraction, op7_language_id, op8_jaccard_join, op9_sentencepiece, op10_quality_rules,
-    op13_vector_dedup,
+    op12_periodic_runs, op13_vector_dedup,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 SQL = {"op5_chat_perspectives": OP5_SQL, "op8_jaccard_join": OP8_SQL, "op10_quality_rules": OP10_SQL, "op13_vector_dedup": OP13_SQL}
