@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.llm import (
+    collocations,
     jaccard_join,
     language_id,
     neighbours,
@@ -193,6 +194,49 @@ from judged
 """
 
 
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
+OP11_SQL = """
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
+  from documents
+), worded as (
+  select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces
+), grams as (
+  select lang, m, w[i : i + m - 1] as g
+  from (select lang, w, m, unnest(generate_series(1, len(w) - m + 1)) as i from worded, (values (1), (2), (3), (4)) as sizes(m) where len(w) >= m)
+), f as materialized (
+  select lang, m, g, count(*)::hugeint as f from grams group by lang, m, g
+), totals as (
+  select lang, sum(f) as n from f where m = 1 group by lang
+), asked as materialized (
+  select * from f where m >= 2 and f >= 30
+), parts as (
+  select lang, f, g[i : i + k - 1] as part
+  from asked, (values (2), (3)) as sizes(k), unnest(generate_series(1, m - k + 1)) as places(i) where m > k
+), gone as (
+  select distinct a.lang, a.g from asked a join parts p on p.lang = a.lang and p.part = a.g where 100 * p.f >= 80 * a.f
+), cuts as (
+  select a.lang, a.g, a.f as a, k, g[1 : k] as x, g[k + 1 : m] as y
+  from asked a anti join gone using (lang, g), unnest(generate_series(1, m - 1)) as c(k)
+), scored as (
+  select c.lang, c.g, a, k, p.f as l, q.f as r, 2000000 * a // (p.f + q.f) as score
+  from cuts c join f p on p.lang = c.lang and p.g = c.x join f q on q.lang = c.lang and q.g = c.y
+), best as (
+  select * from scored qualify row_number() over (partition by lang, g order by score, k) = 1
+), ranked as (
+  select *, array_to_string(g, ' ') as phrase from best
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a::bigint as a, l::bigint as l,
+  r::bigint as r, n::bigint as n, score::bigint as score
+from ranked join totals using (lang)
+qualify row_number() over (partition by lang order by score desc, a desc, phrase) <= 2000
+"""
+
+
 def with_periodic_tails(docs: DataFrame) -> DataFrame:
     """Texts whose hash ends in 0 go on periodically from one of their words on."""
     words = F.expr("array(regexp_extract_all(text, '[^\\\\x20\\\\x09-\\\\x0D]+', 0))")
@@ -256,7 +300,7 @@ from embeddings e join least using (vec_id) left join counts on a = e.vec_id
 _ALL = (
     op1_best_fit_packing, op2_nearest_neighbours, op3_quality_classifier, op4_sharding, op5_chat_perspectives,
     op6_html_extraction, op7_language_id, op8_jaccard_join, op9_sentencepiece, op10_quality_rules,
-    op12_periodic_runs, op13_vector_dedup,
+    op11_collocations, op12_periodic_runs, op13_vector_dedup,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-SQL = {"op5_chat_perspectives": OP5_SQL, "op8_jaccard_join": OP8_SQL, "op10_quality_rules": OP10_SQL, "op13_vector_dedup": OP13_SQL}
+SQL = {"op5_chat_perspectives": OP5_SQL, "op8_jaccard_join": OP8_SQL, "op10_quality_rules": OP10_SQL, "op11_collocations": OP11_SQL, "op13_vector_dedup": OP13_SQL}
