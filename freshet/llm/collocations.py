@@ -161,7 +161,7 @@ class Lot:
 
 
 def has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes & np.uint64(FILTER_BITS - 1)
+    at = hashes & np.uint64(8 * len(bits) - 1)
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
