@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from freshet.checks import views as V
+from freshet.checks.landing import write_exports
 from freshet.checks.registry import check
 from freshet.sources import exports, store
 
@@ -29,17 +30,9 @@ def csv_titled_scan(spark, sf):
 @check(V.query("""SELECT scenario, date, node, flow_cfs FROM node_flow
 WHERE node IN ('N1', 'N3', 'N5') AND year(date) BETWEEN 1996 AND 2000""", V.NODE_FLOW))
 def multi_file_scan(spark, sf):
-    """Node exports, one file per scenario, with header rows above the data."""
-    wide = V.wide_nodes(spark, sf)
-    values = [F.coalesce(F.col(n).cast("string"), F.lit("")) for n in V.NODES]
-    data = wide.select(
-        "scenario", F.concat_ws(",", F.lit("1"), F.date_format("date", "ddMMMyyyy"), *values).alias("line")
-    )
-    head = ["A,," + ",".join("MODEL" for _ in V.NODES), "B,," + ",".join(V.NODES), "Units,," + ",".join("CFS" for _ in V.NODES)]
-    header = spark.createDataFrame([(s, h) for s in V.SCENARIOS for h in head], "scenario string, line string")
+    """Node exports, some files per scenario, with header rows above the data."""
     path = f"{V.scratch(spark)}/exports"
-    # A fixed partition count keeps a scenario, and so its header, in one file.
-    header.unionByName(data).repartition(3, "scenario").write.partitionBy("scenario").text(path)
+    write_exports(V.node_flow(spark, sf), V.NODES, path)
     rows = exports.node_export(spark, path, ["N1", "N3", "N5"], 1996, 2000)
     tagged = exports.scenario_of_file(rows, {f"scenario={s}": s for s in V.SCENARIOS})
     return tagged.filter(F.col("flow_cfs").isNotNull()).select(*KEYS, "node", "flow_cfs")
