@@ -9,6 +9,7 @@ from freshet.checks.registry import check, sql_finite, sql_kind, sql_policy, sql
 from freshet.functions.missing import PULSE_KEEP, finite, kind
 from freshet.functions.units import ACRE_FEET_PER_MONTH_PER_CFS
 from freshet.operators import stats as S
+from freshet.operators.order_stats import exact_median
 from freshet.plans import functional as P
 from freshet.plans import maps
 from freshet.plans.flows import junction_ratio, propagate_delta
@@ -199,3 +200,13 @@ def junction_ratio_query(spark, sf):
         F.col("n_name").alias("place"), "junction"
     )
     return junction_ratio(V.place_flow(spark, sf), junctions, fixed=_FIXED)
+
+
+@check("""SELECT scenario, part, count(x) AS n, round(median(x), 4) AS median
+FROM (SELECT l_returnflag AS scenario, CASE WHEN l_linenumber <= 3 THEN 0 ELSE l_suppkey END AS part, l_extendedprice AS x FROM lineitem)
+GROUP BY 1, 2""")
+def median_hot_group(spark, sf):
+    """Medians of raw rows; one part holds those of most of the lines."""
+    part = F.when(F.col("l_linenumber") <= 3, F.lit(0)).otherwise(F.col("l_suppkey")).cast("long")
+    rows = V.shipped(spark, sf).select("scenario", part.alias("part"), F.col("l_extendedprice").alias("x"))
+    return exact_median(rows, ["scenario", "part"], "x", ranges=64, few=500).withColumn("median", F.round("median", 4))

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +18,7 @@ from freshet.functions.dates import in_years
 from freshet.operators.lookup import small_frame
 from freshet.operators.reshape import to_wide
 from freshet.plans import maps
+from freshet.steps import scratch  # noqa: F401
 
 NODES = [f"N{i}" for i in range(1, 8)]
 SCENARIOS = ["A", "N", "R"]
@@ -36,14 +36,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder below the one the session names in spark.checkpoint.dir or,
-    where that is unset, below the warehouse. Every session has a warehouse, and
-    all executors share both."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{shared.rstrip('/')}/freshet-{uuid.uuid4().hex}"
-
-
 def shipped(spark: SparkSession, sf: str, years: tuple[int, int] | None = None) -> DataFrame:
     """Line items with scenario and month end; a year window reaches the scan."""
     rows = table(spark, sf, "lineitem")
