@@ -210,3 +210,33 @@ def median_hot_group(spark, sf):
     part = F.when(F.col("l_linenumber") <= 3, F.lit(0)).otherwise(F.col("l_suppkey")).cast("long")
     rows = V.shipped(spark, sf).select("scenario", part.alias("part"), F.col("l_extendedprice").alias("x"))
     return exact_median(rows, ["scenario", "part"], "x", ranges=64, few=500).withColumn("median", F.round("median", 4))
+
+
+def _p(t: str) -> str:
+    """A two-sided p value of t with n - 2 degrees of freedom: Simpson's rule over the density."""
+    return f"""greatest(0, 1 - 2 * exp(lgamma((n - 1) / 2) - lgamma((n - 2) / 2)) / sqrt((n - 2) * pi()) * abs({t}) / 2000 / 3
+      * list_sum(list_transform(generate_series(0, 2000), lambda i:
+          (CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * pow(1 + pow(i * {t} / 2000, 2) / (n - 2), -(n - 1) / 2))))"""
+
+
+@check(f"""WITH m AS (
+  SELECT l_returnflag AS scenario, l_suppkey AS node, CAST(regr_count(y, x) AS BIGINT) AS n, regr_avgx(y, x) AS mx, regr_avgy(y, x) AS my,
+         regr_sxx(y, x) AS xx, regr_syy(y, x) AS yy, regr_sxy(y, x) AS xy
+  FROM (SELECT l_returnflag, l_suppkey, l_extendedprice AS y, l_tax * 100 + 1000 AS x FROM lineitem) GROUP BY 1, 2),
+f AS (SELECT *, xy / xx AS slope, my - xy / xx * mx AS intercept, sqrt((yy - xy / xx * xy) / (n - 2)) AS e, xy * xy / (xx * yy) AS r2 FROM m),
+s AS (SELECT *, e / sqrt(xx) AS slope_error, e * sqrt(1 / n + mx * mx / xx) AS intercept_error FROM f),
+t AS (SELECT *, slope / slope_error AS slope_t, intercept / intercept_error AS intercept_t FROM s)
+SELECT scenario, node, round(slope, 4) AS slope, round(slope_error, 4) AS slope_error, round(slope_t, 6) AS slope_t, round({_p('slope_t')}, 6) AS slope_p,
+  round(intercept, 2) AS intercept, round(intercept_error, 2) AS intercept_error, round(intercept_t, 6) AS intercept_t,
+  round({_p('intercept_t')}, 6) AS intercept_p, round(e, 4) AS residual_error, round(r2, 8) AS r2,
+  round(1 - (1 - r2) * (n - 1) / (n - 2), 8) AS adjusted_r2, round(slope * xy / (e * e), 6) AS f, n
+FROM t""")
+def regression_summary(spark, sf):
+    """The price against the tax rate of each supplier's lines: no relation, so p values of all sizes."""
+    lines = V.table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("scenario"), F.col("l_suppkey").alias("node"), F.col("l_extendedprice").alias("y"), (F.col("l_tax") * 100 + 1000).alias("x")
+    )
+    fit = S.fit_summary(lines, F.col("y"), F.col("x"), ["scenario", "node"])
+    digits = {"slope": 4, "slope_error": 4, "intercept": 2, "intercept_error": 2, "residual_error": 4, "r2": 8, "adjusted_r2": 8}
+    names = [c for c in fit.columns if c not in ("scenario", "node", "n")]
+    return fit.select("scenario", "node", *(F.round(c, digits.get(c, 6)).alias(c) for c in names), "n")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions.dates import in_months, in_years, month_end_of
+from freshet.functions.distribution import student_p
 from freshet.functions.missing import (
     PULSE_KEEP,
     RatioPolicy,
@@ -145,6 +146,39 @@ def fit_line(df: DataFrame, y: Column, x: Column, keys: Sequence[str] = ()) -> D
     )
 
 
+def fit_summary(df: DataFrame, y: Column, x: Column, keys: Sequence[str] = ()) -> DataFrame:
+    """A least-squares line with its errors, t and p values, one row per group.
+
+    ``slope, slope_error, slope_t, slope_p`` and the same of the intercept, then
+    ``residual_error, r2, adjusted_r2, f, n``. From centred moments, which merge, so
+    a hot group combines before its shuffle and values far from zero keep their
+    digits. Pairs with a missing value are left out. Without a spread of x nothing
+    is fitted; with two pairs a line has no errors.
+    """
+    rows = df.select(*keys, y.cast("double").alias("__y"), x.cast("double").alias("__x"))
+    m = rows.groupBy(*keys).agg(
+        F.regr_count("__y", "__x").alias("n"), F.regr_avgx("__y", "__x").alias("mx"), F.regr_avgy("__y", "__x").alias("my"),
+        F.regr_sxx("__y", "__x").alias("xx"), F.regr_syy("__y", "__x").alias("yy"), F.regr_sxy("__y", "__x").alias("xy"),
+    )
+    n, xx, yy, xy = (F.col(c) for c in ("n", "xx", "yy", "xy"))
+    free = n - 2
+    m = m.withColumn("slope", F.try_divide(xy, xx)).withColumn("intercept", F.col("my") - F.col("slope") * F.col("mx"))
+    rest = F.greatest(yy - F.col("slope") * xy, F.lit(0.0))
+    m = m.withColumn("residual_error", F.when(free > 0, F.sqrt(F.try_divide(rest, free))))
+    error = F.col("residual_error")
+    m = m.withColumn("slope_error", error * F.sqrt(F.try_divide(F.lit(1.0), xx)))
+    m = m.withColumn("intercept_error", error * F.sqrt(F.try_divide(F.lit(1.0), n) + F.try_divide(F.col("mx") * F.col("mx"), xx)))
+    m = m.withColumn("r2", F.try_divide(xy * xy, xx * yy))
+    out = [*keys]
+    for name in ("slope", "intercept"):
+        # An error of zero is an exact fit.
+        t = F.when(F.col(f"{name}_error") == 0, F.signum(name) * float("inf")).otherwise(F.try_divide(F.col(name), F.col(f"{name}_error")))
+        out += [name, f"{name}_error", t.alias(f"{name}_t"), student_p(t, free).alias(f"{name}_p")]
+    adjusted = 1 - (1 - F.col("r2")) * F.try_divide(n - 1, free)
+    f = F.try_divide(F.col("slope") * xy, error * error)
+    return m.select(*out, "residual_error", "r2", F.when(free > 0, adjusted).alias("adjusted_r2"), f.alias("f"), "n")
+
+
 def predict_line(df: DataFrame, fit: DataFrame, x: Column, threshold: float, out: str = "predicted") -> DataFrame:
     """Value on a fitted line from ``threshold`` on, 0 below; the fit is one scalar row."""
     line = fit.select(F.struct("slope", "intercept")).scalar()

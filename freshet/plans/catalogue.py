@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from freshet.functions.missing import PULSE_FILL
 from freshet.operators.lookup import splice_by_year
 from freshet.plans import delta, diversions, flows, functional, gates, maps
-from freshet.sources import store
+from freshet.sources import editions
+from freshet.steps import kept
 
 OLDER_RUNS = ("biop_2008_2009", "biop_itp_2018_2019", "run_of_river")
 BASE_OF_EFF = "biop_itp_2018_2019"
@@ -255,18 +256,22 @@ def build(r: Runs, dataset: str) -> DataFrame:
 
 
 def publish_all(r: Runs, root: str) -> None:
-    """Write every dataset. What several are built on is written first and read
-    back: the flows, the delta flows, and all one-place matrices from one scan."""
+    """Write every dataset as one edition: readers see all of it or that before.
+
+    What several datasets are built on is written first and read back: the flows,
+    the delta flows, and all one-place matrices from one scan.
+    """
     spark = r.node_flow.sparkSession
-    for name in ("flows_cfs", "delta_flows"):
-        store.publish(build(r, name), root, name)
-    columns = ["scenario", "date", "place", "flow_cfs"]
-    r = replace(
-        r,
-        places=store.lookup(spark, root, "flows_cfs").select(*columns),
-        deltas=store.lookup(spark, root, "delta_flows"),
-        matrices=store.read_snapshot(spark, store.snapshot(node_matrices(r), f"{root}/_node_matrices")),
-    )
-    for name in BUILDERS:
-        if name not in ("flows_cfs", "delta_flows"):
-            store.publish(build(r, name), root, name)
+    with editions.draft(spark, root) as draft:
+        for name in ("flows_cfs", "delta_flows"):
+            draft.write(name, build(r, name))
+        columns = ["scenario", "date", "place", "flow_cfs"]
+        r = replace(
+            r,
+            places=draft.read("flows_cfs").select(*columns),
+            deltas=draft.read("delta_flows"),
+            matrices=kept(node_matrices(r)),
+        )
+        for name in BUILDERS:
+            if name not in ("flows_cfs", "delta_flows"):
+                draft.write(name, build(r, name))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.plans.maps import AVAILABLE
+from freshet.sources import editions
 
 
 def publish(df: DataFrame, root: str, dataset: str) -> str:
@@ -31,7 +32,12 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def lookup(spark: SparkSession, root: str, dataset: str, scenario: str | None = None) -> DataFrame:
-    """A published dataset, or one scenario of it (only that partition is read)."""
+    """A published dataset, or one scenario of it (only that partition is read).
+
+    Where there are editions, of the last one.
+    """
+    if editions.numbers(spark, root):
+        return editions.lookup(spark, root, dataset, scenario)
     df = spark.read.parquet(f"{root}/{dataset}")
     return df if scenario is None else df.filter(F.col("scenario") == scenario)
 
@@ -45,4 +51,4 @@ def check_available(dataset: str, scenario: str) -> None:
 def register(spark: SparkSession, root: str, datasets=tuple(AVAILABLE)) -> None:
     """Make datasets available to SQL under their names."""
     for name in datasets:
-        spark.read.parquet(f"{root}/{name}").createOrReplaceTempView(name)
+        lookup(spark, root, name).createOrReplaceTempView(name)

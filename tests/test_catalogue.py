@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from freshet.checks.views import family_codes, tags
 from freshet.plans import catalogue, maps
+from freshet.sources import store
 
 FIRST, LAST = 1979, 2002
 FLOW = "scenario string, date date, node string, flow_cfs double"
@@ -47,7 +48,7 @@ def published(runs, spark, tmp_path_factory):
     """Every dataset written once; tests read them back."""
     root = str(tmp_path_factory.mktemp("published"))
     catalogue.publish_all(runs, root)
-    return lambda name: catalogue.store.lookup(spark, root, name)
+    return lambda name: store.lookup(spark, root, name)
 
 
 def scenarios(df):
