@@ -75,3 +75,39 @@ def digest_diff_equal(spark, sf):
     """A publication against itself, written in another order: told equal without a join of rows."""
     flows = V.supplier_flow(spark, sf)
     return compare_digests(flows, flows.orderBy(F.desc("node")), ["scenario", "date", "node"], ["flow_cfs"])
+
+
+_PLACES = {"P": ["N1", "N2"], "Q": ["N3"], "R": ["N2", "N3", "N5"], "S": ["N7"]}
+_TERMS = [("value", place, "num", node) for place, nodes in _PLACES.items() for node in nodes]
+_NEWER = """newer AS (
+  SELECT *, CASE WHEN scenario = 'N' AND node = 'N2' AND year(date) = 1996 AND month(date) IN (2, 3) THEN flow_cfs + 10
+                 WHEN scenario = 'A' AND node = 'N7' AND year(date) = 1993 THEN NULL ELSE flow_cfs END AS flow FROM node_flow)"""
+
+
+@check(V.query("""SELECT scenario, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, place,
+  CASE WHEN count(flow) = any_value(wanted) THEN sum(flow) END AS value
+FROM newer JOIN terms USING (node) GROUP BY scenario, year(date), month(date), place""", V.NODE_FLOW, _NEWER,
+               V.values_cte("terms", ["place", "node", "wanted"], [(p, n, len(ns)) for p, ns in _PLACES.items() for n in ns])))
+def revise_slice(spark, sf):
+    """A cube kept up to date with runs that were replaced in some months of two years."""
+    from freshet.operators.formula import formula_frame
+    from freshet.plans import revision
+
+    root = V.scratch(spark)
+    flows = V.node_flow(spark, sf).select(
+        "scenario", F.year("date").alias("year"), F.month("date").alias("month"), "node", "flow_cfs"
+    )
+    with editions.draft(spark, root) as draft:
+        draft.write("inputs", flows, revision.BY)
+        draft.write("cube", revision.cells(draft.read("inputs"), formula_frame(spark, _TERMS)), revision.BY)
+    first = editions.lookup(spark, root, "inputs")
+    more = (F.col("scenario") == "N") & (F.col("year") == 1996)
+    lost = (F.col("scenario") == "A") & (F.col("year") == 1993)
+    value = (
+        F.when(more & (F.col("node") == "N2") & F.col("month").isin(2, 3), F.col("flow_cfs") + 10)
+        .when(~(lost & (F.col("node") == "N7")), F.col("flow_cfs"))
+    )
+    with editions.draft(spark, root) as draft:
+        draft.write("inputs", first.filter(more | lost).withColumn("flow_cfs", value), revision.BY)
+    revision.revise_slice(spark, root, "cube", "inputs", 1, _TERMS)
+    return editions.lookup(spark, root, "cube").select("scenario", "year", "month", "place", "value")

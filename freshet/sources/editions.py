@@ -1,7 +1,8 @@
 """Several datasets published together: readers see all of an edition or none of it.
 
 Data goes to a folder of its own below ``_data``; an edition is a small file below
-``_editions`` that names, for every dataset and scenario, the folder that holds it.
+``_editions`` that names, for every dataset and partition, the folder that holds it.
+A partition is a scenario, or a scenario and year where a dataset is written by both.
 It is written aside and renamed to the next number, which fails where another writer
 was faster; then the changes are laid over that writer's edition and tried again.
 A run that fails on the way leaves data that no edition names, and readers go on
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Collection, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
@@ -20,7 +21,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: dataset -> scenario -> folder of the data.
+#: dataset -> partition, as its path -> folder of the data.
 Places = dict[str, dict[str, str]]
 
 TRIES = 20
@@ -91,15 +92,21 @@ class Draft:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root, self.id = spark, root, uuid.uuid4().hex
-        self.changes: Places = {}
+        #: As in an edition; a partition without a folder goes.
+        self.changes: dict[str, dict[str, str | None]] = {}
 
-    def write(self, dataset: str, df: DataFrame) -> None:
-        """Scenarios of a dataset, each in few files; they replace those of the edition before."""
+    def write(self, dataset: str, df: DataFrame, by: Sequence[str] = ("scenario",)) -> None:
+        """Partitions of a dataset, each in few files; they replace those of the edition before."""
         path = f"_data/{self.id}/{dataset}"
-        df.hint("rebalance", "scenario").write.partitionBy("scenario").parquet(f"{self.root}/{path}")
-        plain = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-        parts = [n.partition("=") for n in Folder(self.spark, self.root).names(path) if n.startswith("scenario=")]
-        self.changes.setdefault(dataset, {}).update({plain(value): self.id for _, _, value in parts})
+        df.hint("rebalance", *by).write.partitionBy(*by).parquet(f"{self.root}/{path}")
+        folder, parts = Folder(self.spark, self.root), [""]
+        for column in by:
+            parts = [f"{p}/{n}" for p in parts for n in folder.names(f"{path}{p}") if n.startswith(f"{column}=")]
+        self.changes.setdefault(dataset, {}).update({p[1:]: self.id for p in parts})
+
+    def drop(self, dataset: str, parts: Collection[str]) -> None:
+        """Takes partitions out of a dataset."""
+        self.changes.setdefault(dataset, {}).update(dict.fromkeys(parts))
 
     def read(self, dataset: str) -> DataFrame:
         """A dataset as written in this draft."""
@@ -110,8 +117,8 @@ class Draft:
         for _ in range(TRIES):
             known = numbers(self.spark, self.root)
             now = places(self.spark, self.root) or {}
-            for dataset, scenarios in self.changes.items():
-                now[dataset] = now.get(dataset, {}) | scenarios
+            for dataset, parts in self.changes.items():
+                now[dataset] = {p: i for p, i in (now.get(dataset, {}) | parts).items() if i}
             number = known[-1] + 1 if known else 1
             if folder.write_new(f"_editions/{number:08d}", json.dumps(now, indent=1, sort_keys=True)):
                 return number
@@ -133,21 +140,36 @@ def publish(spark: SparkSession, frames: Mapping[str, DataFrame], root: str) ->
             d.write(dataset, df)
 
 
-def lookup(spark: SparkSession, root: str, dataset: str, scenario: str | None = None, edition: int | None = None) -> DataFrame:
-    """A dataset of an edition, or one scenario of it; only its partitions are read."""
+def values(spark: SparkSession, part: str) -> dict[str, str]:
+    """The columns and values of a partition's path."""
+    plain = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    return {column: plain(value) for column, _, value in (p.partition("=") for p in part.split("/"))}
+
+
+def lookup(
+    spark: SparkSession, root: str, dataset: str, scenario: str | None = None, edition: int | None = None, parts: Collection[str] | None = None
+) -> DataFrame:
+    """A dataset of an edition, one scenario of it, or some of its partitions; no other files are read."""
     found = places(spark, root, edition)
     if found is None or dataset not in found:
         raise KeyError(f"{dataset} is not published")
-    wanted = {s: i for s, i in found[dataset].items() if scenario is None or s == scenario}
-    if not wanted:
-        raise KeyError(f"{dataset} is not published for {scenario}")
     by_folder: dict[str, list[str]] = {}
-    for s, i in wanted.items():
-        by_folder.setdefault(i, []).append(s)
-    parts = [
-        spark.read.parquet(f"{root}/_data/{i}/{dataset}").filter(F.col("scenario").isin(names)) for i, names in sorted(by_folder.items())
-    ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    for part, i in found[dataset].items():
+        if (parts is None or part in parts) and (scenario is None or values(spark, part).get("scenario") == scenario):
+            by_folder.setdefault(i, []).append(part)
+    if not by_folder:
+        raise KeyError(f"{dataset} is not published for {parts if scenario is None else scenario}")
+    frames = []
+    for i, own in sorted(by_folder.items()):
+        base = f"{root}/_data/{i}/{dataset}"
+        frames.append(spark.read.option("basePath", base).parquet(*(f"{base}/{p}" for p in sorted(own))))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def changed_parts(spark: SparkSession, root: str, dataset: str, since: int, edition: int | None = None) -> list[str]:
+    """Partitions that one edition has from another run than an earlier one did; by their names alone."""
+    before, now = ((places(spark, root, e) or {}).get(dataset, {}) for e in (since, edition))
+    return sorted(p for p in {*before, *now} if before.get(p) != now.get(p))
 
 
 def expire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
@@ -158,7 +180,7 @@ def expire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     folder, known = Folder(spark, root), numbers(spark, root)
     for n in known[:-keep]:
         folder.delete(f"_editions/{n:08d}")
-    used = {i for n in known[-keep:] for scenarios in places(spark, root, n).values() for i in scenarios.values()}
+    used = {i for n in known[-keep:] for parts in places(spark, root, n).values() for i in parts.values()}
     gone = sorted(set(folder.names("_data")) - used)
     for i in gone:
         folder.delete(f"_data/{i}")

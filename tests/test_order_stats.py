@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 import random
 
@@ -10,6 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from freshet.operators import order_stats
+from freshet.operators.intervals import interval_join
 from freshet.operators.sequence import accumulate_network, previous_entry
 
 NAN, INF = float("nan"), float("inf")
@@ -120,3 +122,21 @@ def test_networks_that_are_none(spark):
     none = spark.createDataFrame([], "node int, parent int")
     assert [r["accumulated"] for r in accumulate_network(df, none, ["scenario"]).collect()] == [1.0]
     assert math.isclose(accumulate_network(df, ring.limit(0), ["scenario"]).first()["accumulated"], 1.0)
+
+
+def test_intervals_of_all_lengths(spark, rows):
+    rng = random.Random(3)
+    start = dt.date(1900, 1, 1)
+    day = lambda n: start + dt.timedelta(n)
+    spans = [(rng.choice(["a", "b", None]), f"i{i}", rng.randrange(60000), rng.choice([0, 1, 7, 8, 9, 30, 400, 9000, 50000])) for i in range(150)]
+    intervals = [(k, n, day(a), day(a + b)) for k, n, a, b in spans] + [("a", "none", None, day(5)), ("a", "back", day(9), day(5)), ("a", "long", dt.date(1, 1, 1), dt.date(9999, 12, 31))]
+    dated = [(rng.choice(["a", "a", "b", "c", None]), i, day(rng.randrange(-5, 61000))) for i in range(400)] + [("a", -1, None)]
+    left = spark.createDataFrame(dated, "k string, id int, date date")
+    right = spark.createDataFrame(intervals, "k string, name string, first date, last date")
+    want = sorted((i, n) for k, i, d in dated for k2, n, a, b in intervals if k is not None and k == k2 and d and a and a <= d <= b)
+    joined = interval_join(left, right, "date", "first", "last", ["k"])
+    assert joined.columns == ["k", "id", "date", "name", "first", "last"]
+    assert sorted((r["id"], r["name"]) for r in joined.collect()) == want
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert interval_join(left, right.limit(0), "date", "first", "last", ["k"]).count() == 0

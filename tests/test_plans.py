@@ -12,7 +12,7 @@ from freshet.checks import QUERIES, SQL
 
 SMALL = "/root/testdata/sf0.001"
 # These write files before they return a frame.
-WRITING = {"land_exports", "land_tagged", "publish_all_roundtrip", "csv_titled_scan", "multi_file_scan", "partitioned_roundtrip", "scenario_lookup", "snapshot_roundtrip"}
+WRITING = {"land_exports", "land_tagged", "publish_all_roundtrip", "revise_slice", "csv_titled_scan", "multi_file_scan", "partitioned_roundtrip", "scenario_lookup", "snapshot_roundtrip"}
 
 
 @pytest.fixture(scope="module")
