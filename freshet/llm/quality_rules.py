@@ -20,6 +20,8 @@ Repeated rows are judged each on its own. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +31,8 @@ from freshet.llm.shared import WORD, WORD_GAP, written
 ALPHA = 0.04
 #: Chance that this fails anywhere.
 DELTA = 0.05
-#: Terms of a binomial tail that are summed one by one.
-EXACT_TERMS = 100_000
+#: Factorials whose remainders are listed; beyond, three terms of the series are exact to 1e-12.
+LISTED = 32
 WINDOW = 5
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
@@ -129,25 +131,37 @@ def stratum() -> Column:
     return out
 
 
+def _factorial_rest(n: Column) -> Column:
+    """What Stirling's formula leaves of ln n!: listed for small n, a series from there on."""
+    small = [math.lgamma(i + 1) - (0.5 * math.log(2 * math.pi * i) + i * math.log(i) - i) for i in range(1, LISTED)]
+    listed = F.get(F.array(F.lit(0.0), *map(F.lit, small)), F.least(n, F.lit(LISTED)).cast("int"))
+    return F.when(n < LISTED, listed).otherwise(1 / (12 * n) - 1 / (360 * n * n * n) + 1 / (1260 * n * n * n * n * n))
+
+
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
-    """P(X <= k) for X ~ Binomial(n, p), summed over the logarithms of its terms.
+    """P(X <= k) for X ~ Binomial(n, p), k at most the mean; exact for any n.
 
-    Beyond EXACT_TERMS terms the Chernoff bound, which is never less, stands in.
+    The term of k comes from Stirling's formula with what that leaves out. The
+    terms below it are made of it one by one, each smaller than the one before;
+    after twelve standard deviations they are under 1e-30 of it and end.
     """
-    step = F.log(F.lit(p / (1 - p)))
-    first = n * F.log(F.lit(1 - p))
-    exact = F.aggregate(
-        F.when(k.between(1, EXACT_TERMS), F.sequence(F.lit(1).cast("long"), k)).otherwise(F.array().cast("array<long>")),
-        F.struct(first.alias("term"), F.exp(first).alias("total")),
-        lambda a, i: F.struct(
-            (a["term"] + F.log((n - i + 1) / i) + step).alias("term"),
-            (a["total"] + F.exp(a["term"] + F.log((n - i + 1) / i) + step)).alias("total"),
-        ),
+    k, n, q = k.cast("double"), n.cast("double"), 1 - p
+    above = n - k
+    rest = _factorial_rest(n) - _factorial_rest(k) - _factorial_rest(above)
+    far = k * F.ln(k / (n * p)) + above * F.ln(above / (n * q))
+    largest = F.exp(rest - far) * F.sqrt(n / (2 * math.pi * k * above))
+    top = F.when(k == 0, F.exp(n * math.log1p(-p))).otherwise(largest)
+    count = F.least(k, F.ceil(12 * F.sqrt(n * p * q)) + 60).cast("long")
+
+    def smaller(a: Column, j: Column) -> Column:
+        return a["term"] * (k - j) / (n - k + j + 1) * (q / p)
+
+    return F.aggregate(
+        F.when(count > 0, F.sequence(F.lit(0).cast("long"), count - 1)).otherwise(F.array().cast("array<long>")),
+        F.struct(top.alias("term"), top.alias("total")),
+        lambda a, j: F.struct(smaller(a, j).alias("term"), (a["total"] + smaller(a, j)).alias("total")),
         lambda a: a["total"],
     )
-    q = k / n
-    divergence = q * F.log(q / p) + (1 - q) * F.log((1 - q) / (1 - p))
-    return F.when(k <= EXACT_TERMS, exact).otherwise(F.exp(-n * divergence))
 
 
 def cutoffs(based: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter
+from decimal import Decimal, localcontext
+from fractions import Fraction
 from math import comb
 
 import pytest
@@ -44,12 +47,31 @@ def test_binomial_tail(spark):
         assert one == pytest.approx(sum(comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1)), rel=1e-9)
 
 
-def test_the_bound_for_many_terms_is_never_less(spark, monkeypatch):
-    df = spark.createDataFrame([(k, 2000) for k in range(1, 40, 3)], "k long, n long")
-    exact = [r[0] for r in df.select(quality_rules.binomial_tail(F.col("k"), F.col("n"), 0.03)).collect()]
-    monkeypatch.setattr(quality_rules, "EXACT_TERMS", 0)
-    bound = [r[0] for r in df.select(quality_rules.binomial_tail(F.col("k"), F.col("n"), 0.03)).collect()]
-    assert all(b >= e for b, e in zip(bound, exact, strict=True))
+def test_the_tail_is_exact_at_all_sizes(spark):
+    """Against sums of fifty digits; at the mean and some deviations below."""
+    p = Fraction(1, 100)
+    cases = [(n, int(n * p) - int(d * math.sqrt(n * 0.0099))) for n in (40, 3000, 200_000, 1_000_000) for d in (0, 1, 4) if n * p >= d * math.sqrt(n * 0.0099)]
+    df = spark.createDataFrame(cases, "n long, k long")
+    got = {(r[0], r[1]): r[2] for r in df.select("n", "k", quality_rules.binomial_tail(F.col("k"), F.col("n"), 0.01)).collect()}
+    with localcontext() as c:
+        c.prec = 50
+        for n, k in cases:
+            term = Decimal(comb(n, k)) * Decimal(1) / Decimal(100) ** k * (Decimal(99) / Decimal(100)) ** (n - k)
+            total = Decimal(0)
+            for i in range(k, -1, -1):
+                total += term
+                if term < total * Decimal("1e-30"):
+                    break
+                term = term * i / (n - i + 1) * 99
+            assert got[n, k] == pytest.approx(float(total), rel=1e-8), (n, k)
+
+
+def test_the_tail_of_ten_billion_labels(spark):
+    df = spark.createDataFrame([(10**10, 10**8), (10**10, 10**8 - 50_000)], "n long, k long")
+    middle, low = (r[0] for r in df.select(quality_rules.binomial_tail(F.col("k"), F.col("n"), 0.01)).collect())
+    assert middle == pytest.approx(0.5, abs=1e-4)
+    deviations = 50_000 / math.sqrt(10**10 * 0.0099)
+    assert low == pytest.approx(0.5 * math.erfc(deviations / math.sqrt(2)), rel=1e-2)
 
 
 def marked(n_good, n_bad, bad_good=0):
