@@ -11,6 +11,7 @@ hold, so rounding can move a border but not a rank.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +25,9 @@ FEW = 4096
 
 INFINITE = float("inf")
 
+#: What is left of a group: no values, one value, few values to sort, or a bracket to count.
+NONE, SETTLED, FEW_LEFT, OPEN = 0, 1, 2, 3
+
 
 def _place(x: Column, lo: Column, hi: Column, ranges: int) -> Column:
     """The range of x between lo and hi.
@@ -65,59 +69,53 @@ def exact_median(
     rows = rows.withColumn("g", name)
     x = F.col("x")
     usual = ~F.isnan(x) & (F.abs(x) < INFINITE)
-    firsts = [F.first(r).alias(r) for r in renamed]
-    groups = kept(
-        rows.groupBy("g").agg(
-            *firsts, F.count("x").alias("n"), F.count_if(x.isNull()).alias("missing"), F.count_if(x == -INFINITE).alias("low"),
-            F.count_if(usual).alias("inside"), F.count_if(x == INFINITE).alias("high"),
-            F.min(F.when(usual, x)).alias("lo"), F.max(F.when(usual, x)).alias("hi"),
-        )
-    )
-    n, low, inside = F.col("n"), F.col("low"), F.col("inside")
-    first, second = F.floor((n - 1) / 2), F.floor(n / 2)
+    # Nothing is open of a group whose middle values are not among the usual ones.
+    n, low, inside = F.col("n"), F.col("below"), F.col("inside")
 
     def odd(rank: Column) -> Column:
         above = F.when(rank < low + inside + F.col("high"), INFINITE).otherwise(float("nan"))
         return F.when(rank < low, -INFINITE).when(rank < low + inside, 0.0).otherwise(above)
 
-    usable = (first >= low) & (second < low + inside)
-    skip = (F.col("missing") > 0) if strict else F.lit(False)
-    asked = groups.filter((n > 0) & ~skip)
-    done = [asked.filter(~usable).select("g", (odd(first) * 0.5 + odd(second) * 0.5).alias("median"))]
-    state = asked.filter(usable).select(
-        "g", (first - low).alias("first"), (second - low).alias("second"), "lo", "hi", inside.alias("size")
+    first, second = F.floor((n - 1) / 2), F.floor(n / 2)
+    known = F.when((first < low) | (second >= low + inside), odd(first) * 0.5 + odd(second) * 0.5)
+    none = (n == 0) | ((F.col("missing") > 0) & F.lit(strict))
+    groups = rows.groupBy("g").agg(
+        *(F.first(r).alias(r) for r in renamed), F.count("x").alias("n"), F.count_if(x.isNull()).alias("missing"),
+        F.count_if(x == -INFINITE).alias("below"), F.count_if(usual).alias("inside"), F.count_if(x == INFINITE).alias("high"),
+        F.min(F.when(usual, x)).alias("lo"), F.max(F.when(usual, x)).alias("hi"),
     )
+    ends = [F.when(~none, F.coalesce(known, F.col(c))).alias(c) for c in ("lo", "hi")]
+    state = F.when(none, NONE).when(known.isNotNull(), SETTLED).otherwise(_state(F.col("lo"), F.col("hi"), inside, few))
+    groups = kept(groups.select("g", *renamed, "n", "below", *ends, state.alias("state")), "state")
     rows = rows.filter(usual).select("g", "x")
-    settled = F.col("lo") == F.col("hi")
-    last = []
-    while True:
-        done.append(state.filter(settled).select("g", F.col("lo").alias("median")))
-        last.append(state.filter(~settled & (F.col("size") <= few)))
-        large = kept(state.filter(~settled & (F.col("size") > few)))
-        if large.isEmpty():
-            break
+    tables = [groups.select("g", "n", "below", "lo", "hi", "state")]
+    while not (large := tables[-1].filter(F.col("state") == OPEN)).isEmpty():
         met = spread_join(rows, large, ["g"], ["x"]).filter(x.between(F.col("lo"), F.col("hi")))
         counts = met.groupBy("g", _place(x, F.col("lo"), F.col("hi"), ranges).alias("place")).agg(
-            F.count("*").alias("size"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.first("first").alias("first"), F.first("second").alias("second")
+            F.count("*").alias("size"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.first("n").alias("n"), F.first("below").alias("below")
         )
         up = Window.partitionBy("g").orderBy("place")
         before = F.coalesce(F.sum("size").over(up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        counts = counts.withColumn("before", before).withColumn("after", F.lead("lo").over(up))
-        hit = kept(counts.filter((F.col("before") <= F.col("first")) & (F.col("first") < F.col("before") + F.col("size"))))
-        whole = F.col("second") < F.col("before") + F.col("size")
+        counts = counts.withColumn("below", F.col("below") + before).withColumn("after", F.lead("lo").over(up))
+        hit = counts.filter((F.col("below") <= first) & (first < F.col("below") + F.col("size")))
         # The two ranks are neighbours: in two ranges they are the ends that face each other.
-        done.append(hit.filter(~whole).select("g", (F.col("hi") * 0.5 + F.col("after") * 0.5).alias("median")))
-        state = hit.filter(whole).select("g", (F.col("first") - F.col("before")).alias("first"), (F.col("second") - F.col("before")).alias("second"), "lo", "hi", "size")
-    rest = last[0]
-    for part in last[1:]:
-        rest = rest.unionByName(part)
-    sorted_values = F.sort_array(F.collect_list("x"))
-    at = spread_join(rows, rest, ["g"], ["x"]).filter(x.between(F.col("lo"), F.col("hi"))).groupBy("g").agg(
-        sorted_values.alias("v"), F.first("first").alias("first"), F.first("second").alias("second")
+        split = F.when(second >= F.col("below") + F.col("size"), F.col("hi") * 0.5 + F.col("after") * 0.5)
+        state = F.when(split.isNotNull(), SETTLED).otherwise(_state(F.col("lo"), F.col("hi"), F.col("size"), few))
+        ends = [F.coalesce(split, F.col(c)).alias(c) for c in ("lo", "hi")]
+        tables.append(kept(hit.select("g", "n", "below", *ends, state.alias("state")), "state"))
+
+    def all_in(which: int) -> DataFrame:
+        return reduce(DataFrame.unionByName, [t.filter(F.col("state") == which) for t in tables])
+
+    at = spread_join(rows, all_in(FEW_LEFT), ["g"], ["x"]).filter(x.between(F.col("lo"), F.col("hi"))).groupBy("g").agg(
+        F.sort_array(F.collect_list("x")).alias("v"), F.first("n").alias("n"), F.first("below").alias("below")
     )
-    middle = F.get("v", F.col("first").cast("int")) * 0.5 + F.get("v", F.col("second").cast("int")) * 0.5
-    found = at.select("g", middle.alias("median"))
-    for part in done:
-        found = found.unionByName(part)
-    out = groups.join(found, "g", "left")
+    middle = [F.get("v", (rank - F.col("below")).cast("int")) * 0.5 for rank in (first, second)]
+    found = at.select("g", (middle[0] + middle[1]).alias("median"))
+    found = found.unionByName(all_in(SETTLED).select("g", F.col("lo").alias("median")))
+    out = groups.select("g", *renamed, "n").join(found, "g", "left")
     return out.select(*(F.col(r).alias(k) for k, r in zip(keys, renamed, strict=True)), "n", "median")
+
+
+def _state(lo: Column, hi: Column, size: Column, few: int) -> Column:
+    return F.when(lo == hi, SETTLED).when(size <= few, FEW_LEFT).otherwise(OPEN)

@@ -15,8 +15,8 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/freshet-{uuid.uuid4().hex}"
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """The rows as written: computed once, with no lineage left to repeat."""
+def kept(df: DataFrame, *by: str) -> DataFrame:
+    """The rows as written, with no lineage left to repeat; in partitions ``by`` some columns."""
     path = scratch(df.sparkSession)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
