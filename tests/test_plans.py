@@ -74,3 +74,10 @@ def test_filters_reach_the_scan(spark):
     assert "GreaterThanOrEqual(l_shipdate" in pushed and "LessThan(l_shipdate" in pushed
     plan = QUERIES["scenario_compare"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "In(l_returnflag" in plan or "l_returnflag" in re.search(r"PushedFilters: \[([^\]]*)", plan).group(1)
+
+
+@pytest.mark.parametrize("name", ["gate_intervals", "gate_days_open", "gate_month_stats", "previous_entry_hot_gate"])
+def test_one_scan_of_the_log(spark, name):
+    """The log is written in ranges; what follows reads those."""
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("events.parquet") <= 1
