@@ -4,21 +4,26 @@ The pages of a host share a template. A reference page stands for each host (its
 page of the smallest id with any markup); the DOM tree of every page is aligned
 with it by simple tree matching: two nodes match if their tags and classes are
 equal, and their children are matched in order for the largest number of matched
-nodes. Equal neighbours (a list's items, a text's paragraphs) are one run, whose
-members are matched one to one, so the work grows with the nodes and not with
-their square.
-
-A reference node is constant if nearly all pages that have it hold the same
-words there. A block is part of the template if its node is constant and it holds
-the reference's words itself; all others are content. Pages of the same blocks
-have one vote together, those of the reference's blocks none, and only with
-MIN_PAGES votes a node can be constant. Regions that are not the article by
-their tag, role or class are left out. What a page marks as article or main part
-is never template; text outside it is content like that of a page without marks.
+nodes. Children of equal shape at both ends of two lists are paired at once, which
+loses no match; what is left between them is matched by dynamic programming over
+rows, in memory linear in the lists, at every size and depth.
+
+The blocks that the pages of a host show at a reference node decide about it. A
+node is constant if nearly all pages that have it hold the same words there: these
+words are template wherever they stand, in articles too if those vary. Varying nodes are content,
+but for those outside of the host's content, the smallest part of the reference with
+CONTENT_SHARE percent of its varying text beside links, whose words are mostly links,
+or which nearly all pages have with fewer words than the content's blocks have on average. Pages of the same blocks have one vote
+together, those of the reference's blocks none, and only MIN_PAGES votes decide.
+
+Marks decide where the votes do not: regions that are not the article by their tag,
+role or class are left out, and article, main part and headings protect varying text.
+Inside of an article the vaguer names count only for regions of links. A form goes
+with its words unless it holds the page's article or most of its text; controls go.
 
 Null or empty html gives an empty text; a null or strange url puts a page with
-the pages of the empty host. Unclosed and cut markup is closed as browsers do;
-nesting over MAX_DEPTH is flattened. Repeated rows give equal rows. Other columns
+the pages of the empty host. Unclosed and cut markup is closed as browsers do.
+Very long pages are read whole. Repeated rows give equal rows. Other columns
 are ignored. An empty table gives no rows.
 """
 
@@ -28,6 +33,7 @@ import re
 from functools import lru_cache
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,12 +43,13 @@ from freshet.llm.shared import chunks, written
 
 MIN_PAGES = 5
 CONSTANT_PERCENT = 80
-MAX_DEPTH = 150
-#: Runs of children whose pairs are all tried; longer lists are matched in one walk.
-MAX_CELLS = 40_000
+#: A host's content is the smallest part of the template with this share of the varying text.
+CONTENT_SHARE = 90
+#: Cells of two child lists whose whole table is held; longer lists are halved until theirs fit.
+CELLS = 1 << 20
 #: References together up to so many characters are broadcast.
 BROADCAST_CHARS = 16 << 20
-#: Constant nodes of all hosts together up to this number are broadcast.
+#: Judged nodes of all hosts together up to this number are broadcast.
 BROADCAST_SLOTS = 500_000
 SALTS = 16
 
@@ -63,7 +70,7 @@ SCOPES = frozenset("html body div ul ol dl table article section main aside nav
 # What is never an article, by tag, and by class, id or role if these words make up a whole class or name. The words
 # do not count for the tags that hold content, nor around the page's largest article or main part.
 OUT_TAGS = frozenset(
-    "head nav footer aside form script style noscript template iframe button select textarea svg object menu dialog "
+    "head nav footer aside script style noscript template iframe button select textarea svg object menu dialog "
     "input label canvas audio video map title".split()
 )
 OUT_WORDS = frozenset(
@@ -74,7 +81,13 @@ OUT_WORDS = frozenset(
     "complementary contentinfo hidden".split()
 )
 
+# Out words that articles use for parts of their own as well.
+VAGUE_WORDS = frozenset("side aside related recommended notice notices notification alert search widget toolbar menu".split())
+# Words that go with out words in a name, as in comment-list, and mean nothing alone.
+WITH_WORDS = frozenset("area block box container form inner item items list page post reader section site thread user wrap wrapper".split())
+
 CONTENT_TAGS = frozenset("html body main article".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)", re.S
@@ -84,42 +97,54 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "symbol", "out", "said", "items", "place")
+    __slots__ = ("tag", "symbol", "out", "said", "items", "place", "chars", "links", "kids", "shape")
 
-    def __init__(self, tag: str, symbol: str, out: bool, said: bool):
-        # out: no article by its tag or as it is not shown; said: by a word only.
+    def __init__(self, tag: str, symbol: str, out: bool, said: int):
+        # out: no article by its tag or as it is not shown; said: by a name, 1 a vague one, 2 a plain one.
         self.tag, self.symbol, self.out, self.said = tag, symbol, out, said
         self.items: list[Node | str] = []
-        self.place = -1
+        self.place = self.shape = -1
+        # Characters in regions that are not out, and those in links.
+        self.chars = self.links = 0
 
 
-def _is_out(token: str) -> bool:
-    """Every word of the token is an out word: cookie-notice, but not no-sidebar."""
+def _said(token: str) -> int:
+    """2 if the words of a token are out words: comment-list, but not no-sidebar; 1 if only vague ones."""
     found = _WORD.findall(token)
-    return bool(found) and OUT_WORDS.issuperset(found)
+    outs = OUT_WORDS.intersection(found)
+    if not outs or not (OUT_WORDS | WITH_WORDS).issuperset(found):
+        return 0
+    return 1 if outs <= VAGUE_WORDS else 2
 
 
 def _node(tag: str, attributes: str) -> Node:
-    symbol, out, said = tag, tag in OUT_TAGS, False
+    symbol, out, said = tag, tag in OUT_TAGS, 2 * (tag == "form")
     if attributes.strip(" /\n\t"):
         for name, *values in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), next((v for v in values if v), "").lower()
             if name in ("class", "id", "role"):
                 if tag not in CONTENT_TAGS:
-                    said = said or any(_is_out(token) for token in value.split())
+                    said = max([said, *(_said(token) for token in value.split())])
                 if name == "class":
                     symbol += "." + ".".join(sorted(value.split()))
             elif name == "hidden" or (name == "style" and "display:none" in value.replace(" ", "")):
                 out = True
             elif name == "aria-hidden" and value == "true":
                 out = True
-    return Node(tag, symbol, out, said and not out)
+    return Node(tag, symbol, out, 0 if out else said)
 
 
 def parse(html: str) -> Node:
     """The tree of a page: elements, and text with character references decoded."""
-    root = Node("", "", False, False)
+    root = Node("", "", False, 0)
     stack, at = [root], 0
+    opened: dict[str, int] = {}  # open elements by tag: an end or a start that closes nothing looks for nothing
+
+    def close(k: int):
+        for node in stack[k:]:
+            opened[node.tag] -= 1
+        del stack[k:]
+
     while at < len(html):
         m = _TOKEN.search(html, at)
         if m is None:
@@ -132,31 +157,31 @@ def parse(html: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened.get(tag) else ():
                 if stack[k].tag == tag:
-                    del stack[k:]
+                    close(k)
                     break
                 if tag not in BLOCKS and stack[k].tag in BLOCKS:
                     break  # an inline end tag does not close a block
             continue
         if tag in BLOCKS:
             # A block ends an open paragraph.
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened.get("p") else ():
                 if stack[k].tag == "p":
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k].tag in SCOPES:
                     break
         if closed := CLOSED_BY.get(tag):
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if any(opened.get(t) for t in closed) else ():
                 if stack[k].tag in closed:
-                    del stack[k:]
+                    close(k)
                     if tag != "tr":
                         break
                 elif stack[k].tag in ("ul", "ol", "dl", "table", "select", "tbody", "thead", "tfoot", "tr", "menu"):
                     break
         if tag == "tr" and stack[-1].tag == "tr":
-            stack.pop()
+            close(len(stack) - 1)
         node = _node(tag, m[3])
         stack[-1].items.append(node)
         if tag in VOID:
@@ -167,51 +192,161 @@ def parse(html: str) -> Node:
             at = html.find(">", end.end()) + 1 if end else len(html)
             at = at or len(html)
             continue
-        if len(stack) < MAX_DEPTH:
-            stack.append(node)
-    _spare_article(root)
+        stack.append(node)
+        opened[tag] = opened.get(tag, 0) + 1
+    _spare(root)
     return root
 
 
-def _spare_article(root: Node) -> None:
-    """Takes the word marks from the nodes around the largest article or main part."""
-    best, around = 0, []
+def _nodes(root: Node) -> list[Node]:
+    """All nodes in document order."""
+    out, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        out.append(node)
+        todo += [c for c in reversed(node.items) if isinstance(c, Node)]
+    return out
 
-    def walk(node: Node, path: list[Node]) -> int:
-        nonlocal best, around
-        chars = 0
+
+def _spare(root: Node) -> None:
+    """Counts characters, and takes the name marks from the nodes around the largest
+    article or main part and from a form with most of the page's text."""
+    order, parent = _nodes(root), {}
+    for node in reversed(order):
         for c in node.items:
             if isinstance(c, str):
-                chars += len(c) - c.count(" ")
-            elif not c.out:
-                chars += walk(c, [*path, c] if c.said else path)
-        if node.tag in ("article", "main") and chars > best:
-            best, around = chars, path
-        return chars
-
-    walk(root, [])
-    for node in around:
-        node.said = False
+                node.chars += len(c) - c.count(" ")
+            else:
+                parent[id(c)] = node
+                if not c.out:
+                    node.chars += c.chars
+                    node.links += c.links
+        if node.tag == "a":
+            node.links = node.chars
+    for node in order:
+        if node.tag == "form" and 2 * node.chars > root.chars:
+            node.said = 0
+    marked = [node for node in order if node.tag in ("article", "main") and node.chars]
+    largest = max(marked, key=lambda node: node.chars, default=None)
+    # Marks inside of main part do not count around an article that is all of it.
+    while inner := [c for c in largest.items if isinstance(c, Node) and c.chars == largest.chars] if largest else []:
+        largest = inner[0]
+    while largest is not None:
+        largest.said = 0
+        largest = parent.get(id(largest))
 
 
 def numbered(root: Node) -> Node:
     """Places of the nodes in document order."""
-    todo, k = [root], 0
-    while todo:
-        node = todo.pop()
-        node.place, k = k, k + 1
-        todo += [c for c in reversed(node.items) if isinstance(c, Node)]
+    for k, node in enumerate(_nodes(root)):
+        node.place = k
     return root
 
 
-def _runs(node: Node) -> list[list[Node]]:
-    out: list[list[Node]] = []
-    for c in node.items:
-        if isinstance(c, Node):
-            if out and out[-1][0].symbol == c.symbol:
-                out[-1].append(c)
+class _Shapes:
+    """The different trees among the nodes of two pages, and the matches of pairs of them."""
+
+    def __init__(self, *roots: Node):
+        self.symbol: list[str] = []
+        self.kids: list[tuple[int, ...]] = []
+        self.size: list[int] = []
+        self.known: dict[tuple[int, int], int] = {}
+        ids: dict[tuple, int] = {}
+        for root in roots:
+            for node in reversed(_nodes(root)):
+                node.kids = [c for c in node.items if isinstance(c, Node)]
+                kids = tuple(c.shape for c in node.kids)
+                node.shape = ids.setdefault((node.symbol, kids), len(ids))
+                if node.shape == len(self.kids):
+                    self.symbol.append(node.symbol)
+                    self.kids.append(kids)
+                    self.size.append(1 + sum(self.size[k] for k in kids))
+
+    def of(self, x: int, y: int) -> int | None:
+        """Matched nodes of two trees, None if not yet counted."""
+        if x == y:
+            return self.size[x]
+        return self.known.get((x, y)) if self.symbol[x] == self.symbol[y] else 0
+
+    def count(self, x: int, y: int) -> int:
+        """Matched nodes of two trees, from the lower trees up."""
+        todo = [(x, y)]
+        while todo:
+            x, y = todo[-1]
+            if self.of(x, y) is not None:
+                todo.pop()
+                continue
+            xs, ys = self.kids[x], self.kids[y]
+            lead, tail = _ends(xs, ys)
+            left, right = xs[lead : len(xs) - tail], ys[lead : len(ys) - tail]
+            lacking = [(p, q) for p in set(left) for q in set(right) if self.of(p, q) is None]
+            if lacking:
+                todo += lacking
+                continue
+            equal = sum(self.size[k] for k in xs[:lead]) + sum(self.size[k] for k in xs[len(xs) - tail :])
+            between = int(_row(*self.table(left, right))[-1]) if left and right else 0
+            self.known[x, y] = 1 + equal + between
+            todo.pop()
+        return self.of(x, y)
+
+    def table(self, left, right):
+        """Matched nodes of the different trees of two lists, and the lists as places in it."""
+        rows, columns = {x: i for i, x in enumerate(dict.fromkeys(left))}, {y: j for j, y in enumerate(dict.fromkeys(right))}
+        table = np.array([[self.count(x, y) for y in columns] for x in rows], np.int64)
+        return table, np.array([rows[x] for x in left]), np.array([columns[y] for y in right])
+
+
+def _ends(xs, ys) -> tuple[int, int]:
+    """Lengths of the equal beginnings, and of the equal ends of the rest."""
+    shorter, lead, tail = min(len(xs), len(ys)), 0, 0
+    while lead < shorter and xs[lead] == ys[lead]:
+        lead += 1
+    while tail < shorter - lead and xs[-1 - tail] == ys[-1 - tail]:
+        tail += 1
+    return lead, tail
+
+
+def _rows(table, xs, ys):
+    """Row by row, the most nodes matched by the first members of xs and of ys."""
+    row = np.zeros(len(ys) + 1, np.int64)
+    yield row
+    for x in xs:
+        following = row.copy()
+        np.maximum(row[1:], row[:-1] + table[x][ys], out=following[1:])
+        row = np.maximum.accumulate(following)
+        yield row
+
+
+def _row(table, xs, ys):
+    for row in _rows(table, xs, ys):  # noqa: B007
+        pass
+    return row
+
+
+def _aligned(table, xs, ys) -> list[tuple[int, int]]:
+    """Places of the members that an alignment of the most matched nodes pairs."""
+    out, todo = [], [(0, len(xs), 0, len(ys))]
+    while todo:
+        a, b, c, d = todo.pop()
+        if a == b or c == d:
+            continue
+        if b - a > 1 and (b - a) * (d - c) > CELLS:
+            middle = (a + b) // 2
+            before = _row(table, xs[a:middle], ys[c:d])
+            after = _row(table, xs[a:b][: middle - a - 1 : -1], ys[c:d][::-1])[::-1]
+            cut = c + int(np.argmax(before + after))
+            todo += [(a, middle, c, cut), (middle, b, cut, d)]
+            continue
+        best = list(_rows(table, xs[a:b], ys[c:d]))
+        i, j = b - a, d - c
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
             else:
-                out.append([c])
+                i, j = i - 1, j - 1
+                out.append((a + i, c + j))
     return out
 
 
@@ -219,104 +354,85 @@ def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
     """Simple tree matching: the number of matched nodes, and the matched pairs."""
     if a.symbol != b.symbol:
         return 0, []
-    left, right = _runs(a), _runs(b)
-    pairs = [(a, b)]
-    if not left or not right:
-        return 1, pairs
-
-    def run(x, y):
-        count, found = 0, []
-        if x[0].symbol == y[0].symbol:
-            for p, q in zip(x, y, strict=False):
-                n, more = match(p, q)
-                count += n
-                found += more
-        return count, found
-
-    total = 1
-    if len(left) * len(right) > MAX_CELLS or len(left) == len(right) == 1:
-        k = 0
-        for x in left:
-            j = next((j for j in range(k, len(right)) if right[j][0].symbol == x[0].symbol), None)
-            if j is not None:
-                n, found = run(x, right[j])
-                total, k = total + n, j + 1
-                pairs += found
-        return total, pairs
-    cells = [[run(x, y) for y in right] for x in left]
-    best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
-    for i in range(len(left)):
-        for j in range(len(right)):
-            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + cells[i][j][0])
-    i, j = len(left), len(right)
-    total += best[i][j]
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            pairs += cells[i][j][1]
-    return total, pairs
+    shapes = _Shapes(a, b)
+    pairs, todo = [], [(a, b)]
+    while todo:
+        x, y = todo.pop()
+        pairs.append((x, y))
+        xs, ys = [c.shape for c in x.kids], [c.shape for c in y.kids]
+        lead, tail = _ends(xs, ys)
+        todo += zip(x.kids[:lead], y.kids[:lead], strict=True)
+        todo += zip(x.kids[len(xs) - tail :], y.kids[len(ys) - tail :], strict=True)
+        left, right = xs[lead : len(xs) - tail], ys[lead : len(ys) - tail]
+        if left and right:
+            todo += [(x.kids[lead + i], y.kids[lead + j]) for i, j in _aligned(*shapes.table(left, right))]
+    return len(pairs), pairs
 
 
-def blocks(root: Node, places: dict[int, int]) -> list[tuple[str, int]]:
-    """(text, reference node or -1) of the blocks that can be content, in page order.
+# What is known of a block without its host's votes.
+SAME, OWN, OUT, MARKED, HEADING, LINKED = 1, 2, 4, 8, 16, 32
+
 
-    places: of matched nodes, by id, the reference's places. What a page marks as
-    article or main part is no template; its blocks have no reference node.
+def regions(root: Node, places: dict[int, int]) -> list[tuple[str, int, int]]:
+    """(text, reference node, flags) of all blocks with words, in page order.
+
+    places: of matched nodes, by id, the reference's places. A block whose element is
+    not matched (OWN is not set) has the node of the nearest matched one around it.
     """
-    out: list[tuple[str, int]] = []
+    out: list[tuple[str, int, int]] = []
     held: list[str] = []
-    slot = -1
+    linked = 0
 
-    def close():
+    def close(slot: int, flags: int):
+        nonlocal linked
         words = " ".join("".join(held).split())
         if words:
-            out.append((words, slot))
+            out.append((words, slot, flags | (LINKED if 2 * linked >= len(words) - words.count(" ") else 0)))
         held.clear()
+        linked = 0
+
+    # (node, block's node and flags, in a link, its next item) of the open elements
+    stack = [(root, places.get(id(root), -1), OWN if id(root) in places else 0, False, iter(root.items))]
+    while stack:
+        node, slot, flags, link, items = stack[-1]
+        c = next(items, None)
+        if c is None:
+            stack.pop()
+            if node.tag in BLOCKS or not node.tag:
+                close(slot, flags)
+        elif isinstance(c, str):
+            held.append(c)
+            linked += (len("".join(c.split()))) if link else 0
+        elif c.tag == "br":
+            held.append(" ")
+        else:
+            inside = flags | MARKED if c.tag in ("article", "main") else flags
+            vague = c.said == 1 and inside & MARKED and 2 * c.links < c.chars
+            gone = c.out or (c.said and not vague) or (c.tag == "header" and not inside & MARKED)
+            if c.tag in BLOCKS:
+                close(slot, flags)
+                own = id(c) in places
+                inside = (inside & ~OWN) | (OWN if own else 0) | (OUT if gone else 0) | (HEADING if c.tag in HEADINGS else 0)
+                stack.append((c, places[id(c)] if own else slot, inside, link, iter(c.items)))
+            elif not gone:
+                stack.append((c, slot, inside, link or c.tag == "a", iter(c.items)))
+    return out
 
-    def walk(node: Node, marked: bool):
-        nonlocal slot
-        block = node.tag in BLOCKS or not node.tag
-        marked = marked or node.tag in ("article", "main")
-        place = -1 if marked else places.get(id(node), -1)
-        if block:
-            close()
-            slot = place
-        for c in node.items:
-            if isinstance(c, str):
-                held.append(c)
-            elif c.tag == "br":
-                held.append(" ")
-            elif c.out or c.said or (c.tag == "header" and not marked):
-                if c.tag in BLOCKS:
-                    close()
-            else:
-                walk(c, marked)
-                if c.tag in BLOCKS:
-                    slot = place
-        if block:
-            close()
 
-    walk(root, False)
-    return out
+def blocks(root: Node, places: dict[int, int]) -> list[tuple[str, int]]:
+    """(text, reference node) of the blocks that no mark leaves out."""
+    return [(text, slot) for text, slot, flags in regions(root, places) if not flags & OUT]
 
 
 @lru_cache(maxsize=64)
 def _reference(html: str) -> tuple[Node, dict[int, set[str]], frozenset[str]]:
-    """A reference page's tree, the words of its nodes by place, and all of them."""
+    """A reference page's tree, the words of its nodes by place, and all that no mark leaves out."""
     root = numbered(parse(html))
-    places, todo = {}, [root]
-    while todo:
-        node = todo.pop()
-        places[id(node)] = node.place
-        todo += [c for c in node.items if isinstance(c, Node)]
+    found = regions(root, {id(node): node.place for node in _nodes(root)})
     words: dict[int, set[str]] = {}
-    for text, slot in blocks(root, places):
+    for text, slot, _ in found:
         words.setdefault(slot, set()).add(text)
-    return root, words, frozenset().union(*words.values())
+    return root, words, frozenset(text for text, _, flags in found if not flags & OUT)
 
 
 PARTS = T.StructType(
@@ -326,22 +442,32 @@ PARTS = T.StructType(
         T.StructField("host", T.StringType()),
         T.StructField("differs", T.BooleanType()),
         T.StructField("texts", T.ArrayType(T.StringType())),
+        T.StructField("sizes", T.ArrayType(T.IntegerType())),
         T.StructField("slots", T.ArrayType(T.IntegerType())),
-        T.StructField("same", T.ArrayType(T.BooleanType())),
+        T.StructField("flags", T.ArrayType(T.IntegerType())),
     ]
 )
 
+_HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
+
+
+def with_host(pages: DataFrame) -> DataFrame:
+    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), _HOST, 1))
+    return pages.select("page_id", "url", "html", host.alias("host"))
 
-def aligned(pages: DataFrame) -> DataFrame:
-    """Blocks of every page with the reference nodes that they match, and
-    whether the reference has the same words there."""
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    rows = pages.select("page_id", "url", "html", host.alias("host"))
-    references = written(
+
+def references_of(rows: DataFrame) -> DataFrame:
+    """host, reference: the page that stands for each host, written."""
+    return written(
         rows.filter(F.length("html") > 0)
         .groupBy("host")
         .agg(F.min_by("html", F.struct("page_id", F.xxhash64("html"))).alias("reference"))
     )
+
+
+def aligned(rows: DataFrame, references: DataFrame) -> DataFrame:
+    """Blocks of every page with the reference nodes that they match, and what is
+    known of them. Blocks that a mark leaves out have their length and no text."""
     chars = references.agg(F.sum(F.length("reference"))).first()[0] or 0
     if chars <= BROADCAST_CHARS:
         both = rows.join(F.broadcast(references), "host", "left")
@@ -355,17 +481,18 @@ def aligned(pages: DataFrame) -> DataFrame:
         for batch in chunks(batches, 1 << 20):
             out = []
             for page_id, url, where, html, reference in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                texts, slots, same, differs = [], [], [], False
+                texts, sizes, slots, marks, differs = [], [], [], [], False
                 if html:
                     root = parse(html)
                     base, words, every = _reference(reference)
                     pairs = match(root, base)[1]
-                    for text, slot in blocks(root, {id(a): b.place for a, b in pairs}):
-                        texts.append(text)
+                    for text, slot, flags in regions(root, {id(a): b.place for a, b in pairs}):
+                        texts.append("" if flags & OUT else text)
+                        sizes.append(len(text))
                         slots.append(slot)
-                        same.append(text in words.get(slot, ()))
-                    differs = every != set(texts)
-                out.append((page_id, url, where, differs, texts, slots, same))
+                        marks.append(flags | SAME if flags & OWN and text in words.get(slot, ()) else flags)
+                    differs = every != {text for text in texts if text}
+                out.append((page_id, url, where, differs, texts, sizes, slots, marks))
             columns = [pa.array(c, f) for c, f in zip(zip(*out, strict=True), _ARROW, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, PARTS.names)
 
@@ -373,30 +500,125 @@ def aligned(pages: DataFrame) -> DataFrame:
 
 
 _ARROW = [
-    pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.bool_()),
+    pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()),
 ]
 
 
-def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, percent: int = CONSTANT_PERCENT) -> DataFrame:
-    """page_id, url, text, n_chars of every page (page_id, url, html)."""
-    parts = written(aligned(pages))
+def votes(parts: DataFrame) -> DataFrame:
+    """What the pages of a host show at a reference node: n pages that have it, k with the reference's words; chars and
+    blocks in it or nearest to it, and the chars of those that are mostly links."""
+
+    def has(flag: int):
+        return F.col("b.flags").bitwiseAND(F.lit(flag)) != 0
+
     # Pages of the same blocks, in any order, are copies and one vote; the sums are combined before the shuffle.
     content = F.xxhash64(F.array_sort(F.array_distinct("texts")))
-    votes = (
+    return (
         parts.filter("differs")
-        .select("host", content.alias("content"), F.explode(F.arrays_zip("slots", "same")).alias("b"))
+        .select("host", content.alias("content"), F.explode(F.arrays_zip("sizes", "slots", "flags")).alias("b"))
         .groupBy("host", "content", F.col("b.slots").alias("slot"))
-        .agg(F.min(F.col("b.same").cast("long")).alias("same"))
+        .agg(
+            F.max(has(OWN).cast("long")).alias("own"),
+            F.min(F.when(has(OWN), has(SAME).cast("long"))).alias("same"),
+            F.avg("b.sizes").alias("size"),
+            F.avg(has(LINKED).cast("long")).alias("linked"),
+        )
         .groupBy("host", "slot")
-        .agg(F.count("*").alias("n"), F.sum("same").alias("k"))
+        .agg(
+            F.count("*").alias("blocks"),
+            F.sum("own").alias("n"),
+            F.sum(F.coalesce("same", F.lit(0))).alias("k"),
+            F.sum("size").alias("chars"),
+            F.sum(F.col("size") * F.col("linked")).alias("links"),
+        )
     )
-    constant = votes.filter((F.col("slot") >= 0) & (F.col("n") >= min_pages) & (100 * F.col("k") >= percent * F.col("n")))
-    constant = written(constant.select("host", "slot"))
-    # A host's constant nodes are nodes of one page.
-    template = constant.groupBy("host").agg(F.collect_list("slot").alias("_template"))
-    if constant.count() <= BROADCAST_SLOTS:
+
+
+def judged(html: str, shown: list[dict], min_pages: int, percent: int) -> tuple[list[int], list[int]]:
+    """A host's constant nodes, and the varying ones that are no content."""
+    nodes = _nodes(numbered(parse(html)))
+    parent = {c.place: node.place for node in nodes for c in node.items if isinstance(c, Node)}
+    same = {s["slot"] for s in shown if s["slot"] >= 0 and s["n"] >= min_pages and 100 * s["k"] >= percent * s["n"]}
+    varying = {s["slot"]: s for s in shown if s["slot"] >= 0 and s["slot"] not in same}
+    # The vote takes blocks from an article, never a whole one.
+    article: dict[int, int] = {}
+    for node in nodes:
+        above = article.get(parent.get(node.place, -1), -1)
+        article[node.place] = node.place if node.tag in ("article", "main") else above
+    partly = {article[slot] for slot in varying}
+    constant = [slot for slot in same if article[slot] < 0 or article[slot] in partly]
+    # Text beside links below every node, and the smallest node of blocks with nearly all of it.
+    below = [0.0] * len(nodes)
+    for slot, s in varying.items():
+        below[slot] = max(s["chars"] - s["links"], 0.0)
+    for place in range(len(nodes) - 1, 0, -1):
+        below[parent[place]] += below[place]
+    content = nodes[0]
+    while below[0]:
+        inner = [c for c in content.items if isinstance(c, Node) and 100 * below[c.place] >= CONTENT_SHARE * below[0]]
+        if not inner or not any(isinstance(c, Node) and c.tag in BLOCKS for c in inner[0].items):
+            break
+        content = inner[0]
+    within, around = {node.place for node in _nodes(content)}, set()
+    place = content.place
+    while place in parent:
+        place = parent[place]
+        around.add(place)
+    texts = [s for slot, s in varying.items() if slot in within and 2 * s["links"] < s["chars"]]
+    mean = sum(s["chars"] for s in texts) / max(sum(s["blocks"] for s in texts), 1)
+    pages = max((s["n"] for s in shown), default=0)
+    outside = [
+        slot
+        for slot, s in varying.items()
+        if slot not in within
+        and slot not in around
+        and s["n"] >= min_pages
+        and (2 * s["links"] >= s["chars"] or (100 * s["n"] >= percent * pages and s["chars"] < mean * s["blocks"]))
+    ]
+    return sorted(constant), sorted(outside)
+
+
+TEMPLATE = "host string, constant array<int>, outside array<int>"
+
+
+def induced(parts: DataFrame, references: DataFrame, min_pages: int, percent: int) -> DataFrame:
+    """host, constant, outside of the hosts with nodes that are no content; they are nodes of one page a host."""
+    shown = votes(parts).groupBy("host").agg(F.collect_list(F.struct("slot", "n", "k", "chars", "links", "blocks")).alias("shown"))
+
+    def run(batches):
+        for batch in chunks(batches, 1 << 20):
+            out = [
+                (host, *judged(html, shown, min_pages, percent))
+                for host, html, shown in zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            ]
+            columns = [pa.array(c, f) for c, f in zip(zip(*out, strict=True), [pa.string(), *[pa.list_(pa.int32())] * 2], strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["host", "constant", "outside"])
+
+    both = references.join(shown, "host").select("host", "reference", "shown")
+    return both.mapInArrow(run, TEMPLATE).filter((F.size("constant") > 0) | (F.size("outside") > 0))
+
+
+def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, percent: int = CONSTANT_PERCENT) -> DataFrame:
+    """page_id, url, text, n_chars of every page (page_id, url, html)."""
+    rows = with_host(pages)
+    references = references_of(rows)
+    parts = written(aligned(rows, references))
+    template = written(induced(parts, references, min_pages, percent))
+    if (template.agg(F.sum(F.size("constant") + F.size("outside"))).first()[0] or 0) <= BROADCAST_SLOTS:
         template = F.broadcast(template)
-    known = F.coalesce("_template", F.array().cast("array<int>"))
-    kept = F.filter(F.arrays_zip("texts", "slots", "same"), lambda b: ~(b["same"] & F.array_contains(known, b["slots"])))
+    constant, outside = (F.coalesce(c, F.array().cast("array<int>")) for c in ("constant", "outside"))
+
+    def has(block, flag: int):
+        return block["flags"].bitwiseAND(F.lit(flag)) != 0
+
+    def stays(b):
+        spared = has(b, MARKED) | (has(b, HEADING) & ~has(b, LINKED))
+        return ~(
+            has(b, OUT)
+            | (has(b, SAME) & F.array_contains(constant, b["slots"]))
+            | (~spared & F.array_contains(outside, b["slots"]))
+        )
+
+    kept = F.filter(F.arrays_zip("texts", "slots", "flags"), stays)
     text = F.array_join(F.transform(kept, lambda b: b["texts"]), "\n")
     return parts.join(template, "host", "left").select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))

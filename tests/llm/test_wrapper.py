@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 from html import unescape
 
@@ -143,3 +144,89 @@ def test_text_outside_of_articles_is_content(spark):
     rows = [(k, f"http://h.example/{k}", page(k)) for k in range(8)]
     got = {r["page_id"]: r["text"] for r in wrapper.main_text(pages(spark, rows)).collect()}
     assert got == {k: f"T {k}\nThe text {k}\nTeaser\nMore {k}" for k in range(8)}
+
+
+def stripped(html):
+    """Without class names and with plain blocks for what HTML marks as a region."""
+    html = re.sub(r" (?:class|id|role)=\"[^\"]*\"", "", html)
+    return re.sub(r"<(/?)(?:nav|footer|aside|article|main|header|section)\b", r"<\1div", html)
+
+
+def test_the_induced_template_finds_articles_without_marks(spark):
+    given = sorted((r["page_id"], r["html"]) for r in spark.read.parquet(f"{DATA}/pages.parquet").collect())
+    rows = [(k, f"http://h{k % 2}.example/{k}", stripped(html)) for k, html in given]
+    want = {k: text_of(html) for k, html in given}
+
+    def near(percent, votes):
+        got = {r["page_id"]: r["text"] for r in wrapper.main_text(pages(spark, rows), votes, percent).collect()}
+        return sum(got[k] == text for k, text in want.items()) / len(want)
+
+    assert near(wrapper.CONSTANT_PERCENT, wrapper.MIN_PAGES) > 0.9
+    assert near(wrapper.CONSTANT_PERCENT, 10**9) < 0.1  # without votes menus, adverts and footers stay
+
+
+def test_the_vote_decides_on_marked_pages(spark):
+    def page(k):
+        return f"<body><article><h1>Title {k}</h1><p>Sign in to read on</p><p>Words {k}</p></article></body>"
+
+    rows = [(k, f"http://h.example/{k}", page(k)) for k in range(8)]
+    got = {r["page_id"]: r["text"] for r in wrapper.main_text(pages(spark, rows)).collect()}
+    assert got == {k: f"Title {k}\nWords {k}" for k in range(8)}
+    got = {r["page_id"]: r["text"] for r in wrapper.main_text(pages(spark, rows), percent=101).collect()}
+    assert got == {k: f"Title {k}\nSign in to read on\nWords {k}" for k in range(8)}
+
+
+def test_matching_of_any_trees():
+    rng = random.Random(5)
+
+    def tree(depth):
+        kids = "".join(tree(depth - 1) for _ in range(rng.randrange(5))) if depth else ""
+        tag = rng.choice(["div", "section", "ul"])
+        return f"<{tag}>{kids}</{tag}>"
+
+    for _ in range(150):
+        a, b = (wrapper.parse(f"<main>{tree(3)}{tree(2)}</main>") for _ in range(2))
+        count, pairs = wrapper.match(a, b)
+        assert count == len(pairs) == brute_match(a, b)
+        assert len({id(x) for x, _ in pairs}) == len({id(y) for _, y in pairs}) == count
+        assert all(x.symbol == y.symbol for x, y in pairs)
+
+
+def test_long_lists_are_matched_whole(monkeypatch):
+    for n in (180, 300, 3000):
+        runs = "<p></p><div></div>" * n
+        a, b = wrapper.parse(f"<main>{runs}<span></span></main>"), wrapper.parse(f"<main><span></span>{runs}</main>")
+        assert wrapper.match(a, b)[0] == 2 * n + 2
+    rng = random.Random(6)
+    a, b = (wrapper.parse("".join(rng.choice(["<p><i></i></p>", "<div></div>", "<ul><li></li><li></li></ul>"]) for _ in range(60))) for _ in range(2))
+    want = brute_match(a, b)
+    monkeypatch.setattr(wrapper, "CELLS", 10)
+    assert wrapper.match(a, b)[0] == want
+
+
+def test_one_inserted_item_shifts_no_other():
+    a = wrapper.parse("<ul><li><b>x</b></li><li><i>y</i></li><li><u>z</u></li></ul>")
+    b = wrapper.parse("<ul><li><em>new</em></li><li><b>x</b></li><li><i>y</i></li><li><u>z</u></li></ul>")
+    assert wrapper.match(a, b)[0] == 8
+
+
+def test_regions_at_any_depth():
+    deep = "<div>" * 3000 + "<p>text</p><aside>also</aside><nav><a>menu</a></nav>" + "</div>" * 3000 + "<p>end</p>"
+    root = wrapper.parse(deep)
+    assert text_of(deep) == "text\nend"
+    assert wrapper.match(root, wrapper.parse("<div>" + deep + "</div>"))[0] >= 3000
+
+
+def test_forms():
+    article = "<article><h1>A</h1><p>The words of it</p></article>"
+    assert text_of(f"<body><form action=x>{article}<input value=v><button>Go</button></form></body>") == "A\nThe words of it"
+    assert text_of("<body><form><h1>A</h1><p>All of the text is in a form</p><select><option>o</select></form></body>") == "A\nAll of the text is in a form"
+    assert text_of(f"<body>{article}<form>Your mail <input></form></body>") == "A\nThe words of it"
+
+
+def test_named_parts_of_an_article():
+    inner = "<p class=notice>Mind this</p><section id=related><p>Earlier work was of another kind</p></section><div class=side>By the side</div>"
+    assert text_of(f"<article><p>Text</p>{inner}</article>") == "Text\nMind this\nEarlier work was of another kind\nBy the side"
+    links = "<section id=related><a href=x>One page</a> <a href=y>Another page</a></section>"
+    comments = "".join(f"<div class='{c}'><p>Nice!</p></div>" for c in ("user-comments", "comment-list", "comments-area", "replies"))
+    assert text_of(f"<article><p>Text</p>{links}{comments}</article>") == "Text"
