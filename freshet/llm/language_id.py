@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freshet.llm.shared import chunks, flat_bytes
+from freshet.llm.shared import chunks, flat_bytes, fresh
 
 WINDOW = 256
 WIDTHS = (2, 3, 4, 5)
@@ -209,8 +209,10 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, windows_each: int = W
     return train(flat, np.array([place[v] for v in langs], np.int64), languages) if langs else Network([], *[np.zeros(0)] * 5)
 
 
-def with_language(docs: DataFrame, net: Network, lang: str = "lang_pred", score: str = "score", text: str = "text") -> DataFrame:
-    """The rows with language and score. The network, a few kilobytes, goes with the task."""
+def with_language(docs: DataFrame, net: Network, lang: str | None = None, score: str | None = None, text: str = "text") -> DataFrame:
+    """The rows with language and score, last: under the given names, which replace columns of theirs, or else
+    `lang_pred` and `score`, with underscores in front if docs has them. The network, a few kilobytes, goes with the task."""
+    lang, score = lang or fresh(docs, "lang_pred")[0], score or fresh(docs, "score")[0]
     kept = [f for f in docs.schema.fields if f.name not in (lang, score)]
     schema = T.StructType([*kept, T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())])
 

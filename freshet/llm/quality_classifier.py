@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freshet.llm.language_id import held_out
-from freshet.llm.shared import chunks
+from freshet.llm.shared import chunks, fresh
 
 PASSAGE = 512
 #: Longer texts are encoded in blocks, a whole number of passages.
@@ -231,8 +231,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, passages_each:
     return train(x, starts, (np.array(got.column("quality").to_pylist(), float) == 1).astype(float))
 
 
-def with_score(docs: DataFrame, model: Model, out: str = "score", text: str = "text") -> DataFrame:
-    """The rows with their score. The model, some kilobytes, goes with the task."""
+def with_score(docs: DataFrame, model: Model, out: str | None = None, text: str = "text") -> DataFrame:
+    """The rows with their score, last: `out`, which replaces a column of that name, or else `score`, with
+    underscores in front if docs has it. The model, some kilobytes, goes with the task."""
+    out = out or fresh(docs, "score")[0]
     kept = [f for f in docs.schema.fields if f.name != out]
     schema = T.StructType([*kept, T.StructField(out, T.DoubleType())])
 

@@ -12,7 +12,9 @@ Spans: starts are inclusive, ends exclusive, in bytes of the original UTF-8; the
 dummy space has the empty span at 0, the end id the empty span at the text's end.
 Several pieces of one source character (byte pieces, or a character that the map
 makes longer) may share its span. Null text is empty: the end id alone. Repeated
-rows are encoded each on its own; other columns are carried, whatever their names.
+rows are encoded each on its own; other columns are carried, whatever their names: a
+column is replaced only by an added one whose name is given. An empty table gives no
+rows. Very long texts are encoded whole, segment by segment.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freshet.llm.shared import chunks
+from freshet.llm.shared import chunks, fresh
 
 #: Segments kept with their pieces in a Python worker, and the bytes of both.
 CACHED = 300_000
@@ -216,8 +218,10 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32)))
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", out: str = "encoded") -> DataFrame:
-    """Adds a struct of ids (with the end id), starts and ends."""
+def encode(docs: DataFrame, path: str, text: str = "text", out: str | None = None) -> DataFrame:
+    """Adds a last column, a struct of ids (with the end id), starts and ends: `out`, which
+    replaces one of that name, or else `encoded`, with underscores in front if docs has it."""
+    out = out or fresh(docs, "encoded")[0]
     schema = T.StructType([*(f for f in docs.schema.fields if f.name != out), T.StructField(out, ENCODED)])
     kept = [f.name for f in docs.schema.fields if f.name != out]
 
@@ -232,11 +236,15 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "encoded")
     return docs.mapInArrow(run, schema)
 
 
-def decode(encoded: DataFrame, path: str, ids: str = "encoded.ids", out: str = "decoded") -> DataFrame:
-    """Adds the text that the ids stand for; null where the ids are null."""
-    df = encoded.withColumn("_ids", F.col(ids))
-    schema = T.StructType([*encoded.schema.fields, T.StructField(out, T.StringType())])
-    n = len(encoded.columns)
+def decode(encoded: DataFrame, path: str, ids: str = "encoded.ids", out: str | None = None) -> DataFrame:
+    """Adds a last column, the text that the ids stand for, null where they are null: `out`,
+    which replaces one of that name, or else `decoded`, with underscores in front if it is taken."""
+    out = out or fresh(encoded, "decoded")[0]
+    kept = [f for f in encoded.schema.fields if f.name != out]
+    schema = T.StructType([*kept, T.StructField(out, T.StringType())])
+    n = len(kept)
+    (wanted,) = fresh(encoded, "_ids")
+    df = encoded.withColumn(wanted, F.col(ids)).select(*(F.col(f"`{f.name}`") for f in kept), wanted)
 
     def run(batches):
         processor = _model(path).processor

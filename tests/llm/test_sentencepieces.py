@@ -83,3 +83,15 @@ def test_compiled_character_map_against_the_library(squeeze):
     plain, places = model.normalized("x㌔y")
     at = plain.encode().index(b"y")
     assert plain == " xキロy" and places[at] == 4 and places[2] == 1  # the whole sign stands for its letters
+
+
+def test_columns_of_the_same_names_are_kept(spark):
+    docs = spark.createDataFrame([(1, "one text", "a", "b", "c"), (2, None, "d", "e", "f")], "doc_id long, text string, _ids string, encoded string, decoded string")
+    encoded = sentencepieces.encode(docs, PATH)
+    assert encoded.columns == [*docs.columns, "_encoded"]
+    rows = sentencepieces.decode(encoded, PATH, "_encoded.ids").orderBy("doc_id").collect()
+    assert rows[0].__fields__ == [*encoded.columns, "_decoded"]
+    assert [(r["_ids"], r["encoded"], r["decoded"]) for r in rows] == [("a", "b", "c"), ("d", "e", "f")]
+    assert [r["_decoded"] for r in rows] == ["one text", ""]
+    again = sentencepieces.decode(encoded, PATH, "_encoded.ids", "decoded")
+    assert again.columns == ["doc_id", "text", "_ids", "encoded", "_encoded", "decoded"]
