@@ -7,7 +7,9 @@ and read again as the next one's docs. Rows are kept or dropped whole.
 Null and empty texts: the quality classifier scores them like any text; language
 identification rejects what has no letter. Repeated rows of one document, and
 rows without a doc_id, are judged each on its own by the two filters; of a
-group's rows deduplication keeps one, if any has a doc_id.
+group's rows deduplication keeps one, one without a doc_id only if none has one.
+Other columns are carried, whatever their names. Very long texts are read whole.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -44,13 +46,15 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates: of the smallest id, then class.
 
-    Rows without words stay, and so do all rows of a group in which none has an id.
+    Rows without an id come last; of a group in which none has one, one row of the
+    smallest class stays. Rows without words stay.
     """
     groups = written(jaccard_join.grouped(docs.withColumn("doc_id", F.col("doc_id").cast("long"))))
     full = groups.filter("n_shingles > 0")
-    first = full.filter("doc_id is not null").groupBy(F.col("component").alias("_c")).agg(F.min(F.struct("doc_id", "key")).alias("_s"))
-    ranked = full.join(first, F.col("component") == F.col("_c"), "left")
-    stays = F.col("_s").isNull() | (F.col("doc_id").eqNullSafe(F.col("_s.doc_id")) & (F.col("key") == F.col("_s.key")))
+    last = F.col("doc_id").isNull().alias("last")
+    first = full.groupBy(F.col("component").alias("_c")).agg(F.min(F.struct(last, "doc_id", "key")).alias("_s"))
+    ranked = full.join(first, F.col("component") == F.col("_c"))
+    stays = F.col("doc_id").eqNullSafe(F.col("_s.doc_id")) & (F.col("key") == F.col("_s.key"))
     judged = written(ranked.select("doc_id", "key", stays.alias("stays")))
     key, name = fresh(docs, "copy", "class")
     per_id = groups.filter("doc_id is not null").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("_n"))
@@ -58,13 +62,15 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     gone = judged.filter(~F.col("stays"))
     copies = written(gone.filter("doc_id is not null").select(F.col("doc_id").alias(key)).union(again).distinct())
     # What an id alone does not tell, rows without one and of repeated ones, is told by the text's class.
-    nameless = not gone.filter("doc_id is null").isEmpty()
+    nameless = not judged.filter("doc_id is null").isEmpty()
     by_id = docs.filter("doc_id is not null") if nameless else docs
     parts = [by_id.join(jaccard_join.sized(copies), F.col("doc_id") == F.col(key), "left_anti")]
     if nameless:
         rows = jaccard_join.with_class(docs.filter("doc_id is null"), name)
-        lost = written(gone.filter("doc_id is null").select(F.col("key").alias(key)).distinct())
-        parts.append(rows.join(jaccard_join.sized(lost), F.col(name) == F.col(key), "left_anti").select(*docs.columns))
+        one = written(judged.filter("stays and doc_id is null").select(F.col("key").alias(key)).distinct())
+        found = rows.join(jaccard_join.sized(one), F.col(name) == F.col(key), "left_semi")
+        parts.append(found.dropDuplicates([name]).select(*docs.columns))
+        parts.append(rows.filter(F.col(name).isNull()).select(*docs.columns))
     if not again.isEmpty():
         side = jaccard_join.sized(again)
         rows = jaccard_join.with_class(docs.join(side, F.col("doc_id") == F.col(key), "left_semi"), name)
