@@ -40,7 +40,7 @@ def test_deduplication_keeps_one_of_a_group_and_all_columns(spark, make_docs):
     docs = make_docs([(4, edited(base, 1, 1)), (2, " ".join(base)), (2, " ".join(base)), (9, text(50, 5)), (7, None), (8, None), (None, "own text here"), (None, "own text here")])
     out = corpus_pipeline.deduplicated(spark, docs, DATA)
     assert out.columns == docs.columns
-    assert sorted((str(r["doc_id"]) for r in out.collect())) == ["2", "7", "8", "9", "None", "None"]
+    assert sorted((str(r["doc_id"]) for r in out.collect())) == ["2", "7", "8", "9", "None"]
 
 
 def test_filters_keep_rows_whole(spark, make_docs):
@@ -65,3 +65,11 @@ def test_deduplication_decides_by_row(spark, make_docs):
     key = lambda r: (str(r[0]), str(r[1]))
     want = [docs[0], docs[1], docs[3], docs[7], docs[9], docs[10]]
     assert sorted(((r["doc_id"], r["text"]) for r in out), key=key) == sorted(want, key=key)
+
+
+def test_deduplication_without_ids(spark, make_docs):
+    a, b = words(80, 11), words(80, 12)
+    docs = [(None, " ".join(a)), (None, edited(a, 1, 1)), (None, " ".join(a).upper()), (None, " ".join(b)), (None, edited(b, 2, 1)), (6, edited(b, 3, 1)), (None, ""), (None, None), (None, "lone words")]
+    out = [(r["doc_id"], r["text"]) for r in corpus_pipeline.deduplicated(spark, make_docs(docs), DATA).collect()]
+    assert len(out) == 5 and out.count((None, "")) == out.count((None, None)) == out.count((None, "lone words")) == 1
+    assert (6, docs[5][1]) in out and sum((r in docs[:3]) for r in out) == 1
