@@ -7,9 +7,14 @@ and then perturbed ones, a hash one up or down, in the order of estimated
 success: the sum of the squared distances to the borders that would have to be
 crossed. The candidates of all tables are merged and ranked by exact cosine.
 
-The number of buckets visited is fitted: the smallest of PROBES with a recall of
-at least RECALL on a bounded sample of vectors, whose neighbours are farther and
-so harder to find than those among all vectors. Every vector is indexed.
+Functions a table, their width and the number of buckets visited are fitted: of
+SETTINGS and PROBES with a recall of at least RECALL on a bounded sample of vectors,
+whose neighbours are farther and so harder to find than those among all vectors, the
+ones that meet fewest. If none has that recall all queries are compared with all
+vectors, a block of queries at a time. Every vector is indexed.
+
+Buckets are put together in groups of a bounded size by their names' hash. A vector
+and a query are sent once to a group, with the list of their buckets in it.
 
 Of equal vectors the k + 1 smallest ids are indexed: no query can return others.
 A bucket with more than LOT vectors is dealt to several tasks, and its probes to
@@ -33,13 +38,17 @@ from pyspark.sql import functions as F
 from freshet.llm.shared import mixed, written
 
 TABLES = 8
-FUNCTIONS = 8
-WIDTH = 2.0
+#: Functions a table and width; the first are taken where probes are given.
+SETTINGS = ((8, 2.0), (4, 1.0), (6, 2.0), (8, 1.0), (12, 2.0))
 PROBES = (16, 32, 64, 96, 128, 192, 256)
 RECALL = 0.97
 SAMPLE = 2000
 SAMPLE_QUERIES = 200
+#: Queries that compare the settings; the others of the sample confirm the choice.
+SETTING_QUERIES = 40
 LOT = 4096
+#: Components of the vectors of a group of buckets.
+GROUP_NUMBERS = 1 << 20
 #: Queries compared with all vectors at a time.
 BLOCK = 4096
 SEED = 5
@@ -50,7 +59,7 @@ FOUND = "query_id long, vec_id long, score double"
 class Hashes:
     """The hash functions of all tables for vectors of one dimension."""
 
-    def __init__(self, dimension: int, tables: int = TABLES, functions: int = FUNCTIONS, width: float = WIDTH, seed: int = SEED):
+    def __init__(self, dimension: int, tables: int = TABLES, functions: int = SETTINGS[0][0], width: float = SETTINGS[0][1], seed: int = SEED):
         rng = np.random.default_rng(seed)
         self.tables, self.functions, self.width = tables, functions, width
         self.a = rng.normal(size=(dimension, tables * functions))
@@ -119,10 +128,12 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(1) / length
 
 
-def nearest(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int):
-    """(query, row of x) pairs that hold every query's k nearest, ties included."""
+def nearest(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, met: np.ndarray | None = None):
+    """(query, row of x) pairs that hold every query's k nearest of the rows it met, ties included."""
     scores = unit(queries) @ unit(x).T
     scores[query_ids[:, None] == ids[None, :]] = -np.inf
+    if met is not None:
+        scores[~met] = -np.inf
     if len(ids) > k:
         # Rounding here may order near ties differently; they all go on.
         least = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k] - 1e-9
@@ -131,25 +142,42 @@ def nearest(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.n
     return np.nonzero((scores >= least[:, None]) & np.isfinite(scores))
 
 
-def fitted_probes(hashes: Hashes, x: np.ndarray, k: int, wanted: float = RECALL) -> int:
-    """The smallest of PROBES with the wanted recall on the rows of x."""
+def visits(hashes: Hashes, x: np.ndarray, queries: int) -> np.ndarray:
+    """(queries, rows of x): the first probe of any table, from 0, by which a query meets a row."""
+    buckets, visited = hashes.buckets(x), hashes.probes(x[:queries], PROBES[-1])
+    first = np.full((queries, len(x)), PROBES[-1])
+    for t in range(hashes.tables):
+        for q in range(queries):
+            names, at = np.unique(visited[q, t], return_index=True)
+            place = np.minimum(np.searchsorted(names, buckets[:, t]), len(names) - 1)
+            first[q] = np.where(names[place] == buckets[:, t], np.minimum(first[q], at[place]), first[q])
+    return first
+
+
+def fitted(x: np.ndarray, k: int, wanted: float) -> tuple[Hashes, int] | None:
+    """The functions and the number of probes that meet fewest of the rows of x at the
+    wanted recall, None if no setting has it."""
     if len(x) <= k + 1:
-        return PROBES[0]
+        return Hashes(x.shape[1]), PROBES[0]
     x = unit(x)
-    some = x[:SAMPLE_QUERIES]
-    ids = np.arange(len(x))
-    scores = some @ x.T
-    scores[ids[: len(some)], ids[: len(some)]] = -np.inf
+    queries = min(len(x), SAMPLE_QUERIES)
+    scores = x[:queries] @ x.T
+    scores[np.arange(queries), np.arange(queries)] = -np.inf
     best = np.argsort(-scores, axis=1)[:, :k]
-    buckets, visited = hashes.buckets(x), hashes.probes(some, PROBES[-1])
-    first = np.full((len(some), k), PROBES[-1])
-    for q in range(len(some)):
-        for j, row in enumerate(best[q]):
-            for t in range(hashes.tables):
-                hit = np.flatnonzero(visited[q, t] == buckets[row, t])
-                if len(hit):
-                    first[q, j] = min(first[q, j], hit[0])
-    return next((p for p in PROBES if (first < p).mean() >= wanted), PROBES[-1])
+
+    def least(hashes: Hashes, n: int) -> tuple[float, int] | None:
+        first = visits(hashes, x, n)
+        found = np.take_along_axis(first, best[:n], 1)
+        count = next((p for p in PROBES if (found < p).mean() >= wanted), None)
+        # Work of a query: rows met, and buckets looked up.
+        return None if count is None else ((first < count).sum() / n + count * hashes.tables, count)
+
+    few = min(queries, SETTING_QUERIES)
+    tried = [(least(h, few), h) for h in (Hashes(x.shape[1], functions=f, width=w) for f, w in SETTINGS)]
+    for _, hashes in sorted(((at[0], h) for at, h in tried if at), key=lambda t: t[0]):
+        if at := least(hashes, queries):
+            return hashes, at[1]
+    return None
 
 
 def _vectors(column) -> np.ndarray:
@@ -166,6 +194,30 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return rows.filter(F.size("v") == (top["size"] if top else -1)).dropDuplicates(["id", "v"])
 
 
+class Held:
+    """The vectors of a group, and by bucket which of them are in it."""
+
+    def __init__(self, dimension: int):
+        self.x, self.ids = np.zeros((0, dimension)), np.zeros(0, np.int64)
+        self.buckets, self.rows = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, x: np.ndarray, ids: np.ndarray, buckets: np.ndarray, sizes: np.ndarray) -> None:
+        rows = np.repeat(np.arange(len(ids)) + len(self.ids), sizes)
+        self.x, self.ids = np.concatenate([self.x, x]), np.concatenate([self.ids, ids])
+        buckets, rows = np.concatenate([self.buckets, buckets]), np.concatenate([self.rows, rows])
+        order = np.argsort(buckets, kind="stable")
+        self.buckets, self.rows = buckets[order], rows[order]
+
+    def met(self, buckets: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """(queries, vectors): whether they share one of the queries' buckets."""
+        low, high = (np.searchsorted(self.buckets, buckets, side) for side in ("left", "right"))
+        n = high - low
+        places = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        out = np.zeros((len(sizes), len(self.ids)), bool)
+        out[np.repeat(np.repeat(np.arange(len(sizes)), sizes), n), self.rows[places]] = True
+        return out
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding", probes: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every query row.
 
@@ -177,12 +229,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_
     if not sample.num_rows:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     some = _vectors(sample.column("v").combine_chunks())
-    hashes = Hashes(some.shape[1])
-    count = probes or fitted_probes(hashes, some, k)
+    dimension = some.shape[1]
+    chosen = (Hashes(dimension), probes) if probes else fitted(some, k, RECALL)
 
     copies = Window.partitionBy("v").orderBy("id")
     index = rows.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= k + 1).drop("_copy")
     queries = rows.filter(is_query)
+    if chosen is None:
+        found = _against_all(written(queries), index, k)
+        return top(spark.createDataFrame([], FOUND) if found is None else found, k)
+    hashes, count = chosen
 
     def hashed(visit: int):
         def run(batches):
@@ -203,35 +259,49 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_
 
     stored = written(index.mapInArrow(hashed(1), "bucket long, id long"))
     asked = queries.mapInArrow(hashed(count), "bucket long, id long")
-    # Lots of buckets that are too large for one task; the others have one.
-    lots = stored.groupBy("bucket").agg(F.ceil(F.count("*") / LOT).cast("long").alias("lots"))
-    kept = stored.join(lots, "bucket").select("bucket", F.pmod(F.xxhash64("id"), F.col("lots")).alias("lot"), "id")
-    sent = asked.join(lots, "bucket").select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots") - 1)).alias("lot"), "id")
-    met = kept.join(rows, "id").select("bucket", "lot", F.lit(0).alias("kind"), "id", "v").union(
-        sent.join(queries, "id").select("bucket", "lot", F.lit(1).alias("kind"), "id", "v")
+    sizes = written(stored.groupBy("bucket").agg(F.count("*").alias("n")))
+    entries = max(1, GROUP_NUMBERS // dimension)
+    groups = -(-(sizes.agg(F.sum("n")).first()[0] or 0) // entries) or 1
+    # A bucket that is too large for one task is a group of its own, dealt to lots; the others share groups.
+    lots = sizes.select(
+        "bucket",
+        F.ceil(F.col("n") / LOT).cast("long").alias("lots"),
+        F.when(F.col("n") <= LOT, F.pmod(F.col("bucket"), F.lit(groups))).otherwise(F.col("bucket")).alias("group"),
+        (F.col("n") > LOT).alias("large"),
     )
-    dealt = met.repartition("bucket", "lot").sortWithinPartitions("bucket", "lot", "kind")
+    kept = stored.join(lots, "bucket").select("group", "large", F.pmod(F.xxhash64("id"), F.col("lots")).alias("lot"), "bucket", "id")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots") - 1))
+    sent = asked.join(lots, "bucket").select("group", "large", every.alias("lot"), "bucket", "id")
+
+    def parcels(part: DataFrame, vectors: DataFrame, kind: int) -> DataFrame:
+        once = part.groupBy("group", "large", "lot", "id").agg(F.collect_list("bucket").alias("buckets"))
+        return once.join(vectors, "id").select("group", "large", "lot", F.lit(kind).alias("kind"), "id", "buckets", "v")
+
+    met = parcels(kept, index, 0).union(parcels(sent, queries, 1))
+    dealt = met.repartition("group", "large", "lot").sortWithinPartitions("group", "large", "lot", "kind")
 
     def rank(batches):
-        name, held_x, held_ids = None, [], []
+        name, held = None, Held(dimension)
         for batch in batches:
-            bucket, lot, kind, ids = (batch.column(c).to_numpy() for c in range(4))
-            x = _vectors(batch.column(4))
-            new = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (lot[1:] != lot[:-1])]))
+            group, lot, kind, ids = (batch.column(c).to_numpy() for c in (0, 2, 3, 4))
+            large = batch.column(1).to_numpy(zero_copy_only=False)
+            x, lists = _vectors(batch.column(6)), batch.column(5)
+            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+            flat = lists.flatten().to_numpy()
+            changed = (group[1:] != group[:-1]) | (lot[1:] != lot[:-1]) | (large[1:] != large[:-1])
+            new = np.flatnonzero(np.concatenate([[True], changed]))
             out = []
             for a, b in zip(new, np.append(new[1:], len(ids)), strict=True):
-                if (bucket[a], lot[a]) != name:
-                    name, held_x, held_ids = (bucket[a], lot[a]), [], []
+                if (group[a], large[a], lot[a]) != name:
+                    name, held = (group[a], large[a], lot[a]), Held(dimension)
                 split = a + int(np.searchsorted(kind[a:b], 1))
                 if split > a:
-                    held_x.append(x[a:split])
-                    held_ids.append(ids[a:split])
-                if split < b and held_ids:
-                    held_x, held_ids = [np.concatenate(held_x)], [np.concatenate(held_ids)]
-                    for c in range(split, b, 256):
-                        d = min(b, c + 256)
-                        q, r = nearest(x[c:d], ids[c:d], held_x[0], held_ids[0], k)
-                        out.append((ids[c:d][q], held_ids[0][r], cosines(x[c:d][q], held_x[0][r])))
+                    held.add(x[a:split], ids[a:split], flat[ends[a] : ends[split]], np.diff(ends[a : split + 1]))
+                for c in range(split, b, 256):
+                    d = min(b, c + 256)
+                    seen = held.met(flat[ends[c] : ends[d]], np.diff(ends[c : d + 1]))
+                    q, r = nearest(x[c:d], ids[c:d], held.x, held.ids, k, seen)
+                    out.append((ids[c:d][q], held.ids[r], cosines(x[c:d][q], held.x[r])))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
 

@@ -75,3 +75,37 @@ def test_large_buckets_are_dealt_out(spark, monkeypatch):
     got = neighbours.search(spark.createDataFrame(rows, VECTORS), F.col("id") % 50 == 0, k=5, probes=256).collect()
     want = brute([r[:2] for r in rows], range(0, 400, 50), 5)
     assert sum(r["vec_id"] in want[r["query_id"]] for r in got) >= 0.95 * 40
+
+
+def test_without_the_wanted_recall_all_vectors_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "RECALL", 1.1)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=32).tolist(), 0, 1, 2) for i in range(300)]
+    assert neighbours.fitted(np.array([r[1] for r in rows]), 5, 1.1) is None
+    got = neighbours.search(spark.createDataFrame(rows, VECTORS), F.col("id") % 50 == 0, k=5).collect()
+    want = brute([r[:2] for r in rows], range(0, 300, 50), 5)
+    assert {q: [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] for q in want} == want
+
+
+def test_the_fit_takes_the_cheapest_setting():
+    rng = np.random.default_rng(7)
+    near = np.repeat(rng.normal(size=(80, 32)), 10, axis=0) + 0.01 * rng.normal(size=(800, 32))
+    x = neighbours.unit(near[rng.permutation(800)])
+    hashes, count = neighbours.fitted(x, 5, 0.97)
+    met = (neighbours.visits(hashes, x, 100) < count).mean()
+    assert met < 0.25  # groups of ten are found among a few vectors
+    first = neighbours.visits(hashes, x[:50], 20)
+    own, asked = hashes.buckets(x[:50]), hashes.probes(x[:20], neighbours.PROBES[-1])
+    for q in range(20):
+        for r in range(50):
+            places = [int(np.flatnonzero(asked[q, t] == own[r, t])[0]) for t in range(hashes.tables) if own[r, t] in asked[q, t]]
+            assert first[q, r] == min(places, default=neighbours.PROBES[-1])
+
+
+def test_groups_of_buckets(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=8).tolist(), 0, 1, 2) for i in range(500)]
+    table = spark.createDataFrame(rows, VECTORS)
+    want = sorted(map(tuple, neighbours.search(table, F.col("id") % 50 == 0, k=5, probes=32).collect()))
+    monkeypatch.setattr(neighbours, "GROUP_NUMBERS", 200)
+    assert sorted(map(tuple, neighbours.search(table, F.col("id") % 50 == 0, k=5, probes=32).collect())) == want
