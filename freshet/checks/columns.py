@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from freshet.checks import views as V
 from freshet.checks.registry import check, sql_finite, sql_kind, sql_policy, sql_quotient
 from freshet.functions import dates as D
-from freshet.functions.missing import POLICIES, clamp_nonneg, finite, kind, quotient, settle
+from freshet.functions.missing import POLICIES, clamp_nonneg, finite, quotient, settle_all
 from freshet.functions.units import CMS_PER_CFS, LOWER_MID_REACHES, cfs_to_cms, weighted_blend
 from freshet.operators.lookup import clip_to_range
 from freshet.operators.reshape import fill_missing, mutate, take_prefix, to_long
@@ -112,11 +112,9 @@ def _sides(spark, sf):
 ) + " FROM quotients)", V.BASIN_WIDE, _SIDES))
 def ratio_policies(spark, sf):
     rows = _sides(spark, sf).withColumn("x", quotient("n", "d"))
-    values = rows.select(
-        "scenario", "basin", "date", *[settle("x", p).alias(name) for name, p in POLICIES.items()]
-    )
-    out = [c for name in POLICIES for c in (finite(name).alias(name), kind(name).alias(f"{name}_kind"))]
-    return values.select("scenario", "basin", "date", *out)
+    settled = settle_all("x", POLICIES)
+    out = [c for name, (value, of) in settled.items() for c in (value.alias(name), of.alias(f"{name}_kind"))]
+    return rows.select("scenario", "basin", "date", *out)
 
 
 @check("""SELECT DISTINCT l_returnflag AS scenario, last_day(l_shipdate) AS date, l_suppkey AS node,

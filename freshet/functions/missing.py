@@ -6,6 +6,7 @@ datasets keep, so every ratio names what becomes of them.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
@@ -111,6 +112,48 @@ def settle(x: Column | str, policy: RatioPolicy) -> Column:
     return out if policy.on_null is None else F.coalesce(out, F.lit(float(policy.on_null)))
 
 
+def outcome(policy: RatioPolicy, x: float | None) -> float | None:
+    """A policy applied to a value that is missing or not finite."""
+    special = None
+    if x is not None:
+        special = policy.on_nan if x != x else policy.on_inf if x > 0 else policy.on_neg_inf
+        if special == KEEP:
+            special = x if policy.cap is None or not x > policy.cap else policy.cap
+    special = policy.on_null if special is None else special
+    return None if special is None else float(special)
+
+
+def settle_all(x: Column | str, policies: Mapping[str, RatioPolicy]) -> dict[str, tuple[Column, Column]]:
+    """Each policy's result where it is finite, and the name of its class.
+
+    The value's class is told once. What a policy makes of a missing or infinite value is
+    looked up by it in a literal list, so that many policies in one projection stay a
+    small piece of generated code.
+    """
+    x = col(x)
+    place = F.when(x.isNull(), 0).when(F.isnan(x), 1).when(x == -INF, 2).when(x == INF, 3).otherwise(4)
+    out = {}
+    for name, policy in policies.items():
+        results = [outcome(policy, v) for v in (None, NAN, -INF, INF)]
+        y = x if policy.digits is None else F.round(x, policy.digits)
+        y = y if policy.cap is None else F.least(y, F.lit(float(policy.cap)))
+        known = [r if r is not None and abs(r) < INF else None for r in results]
+        kinds = [class_of(r) for r in results]
+        special = F.get(F.array(*(F.lit(r).cast("double") for r in known)), place)
+        out[name] = (
+            F.when(place == 4, y).otherwise(special),
+            F.get(F.array(*(F.lit(k) for k in [*kinds, "finite"])), place),
+        )
+    return out
+
+
+def class_of(value: float | None) -> str:
+    """The name that ``kind`` gives a value."""
+    if value is None:
+        return "missing"
+    return "nan" if value != value else "inf" if value == INF else "-inf" if value == -INF else "finite"
+
+
 def cap(x: Column | str, limit: float) -> Column:
     """Upper bound that keeps missing values missing and NaN as NaN."""
     x = col(x)

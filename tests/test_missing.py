@@ -91,3 +91,15 @@ def test_strict_aggregates(spark, values, total, mean, sd, median):
 def test_strict_sum_of_zero_denominators_does_not_raise(spark):
     df = spark.createDataFrame([(1.0, 0.0), (0.0, 0.0)], "n double, d double")
     assert df.filter(F.isnan(M.quotient("n", "d"))).count() == 1
+
+
+def test_policies_settled_together_agree_with_each_alone(spark):
+    policies = M.POLICIES | {"capped_inf": M.RatioPolicy(cap=2.0), "kept_null": M.RatioPolicy(on_nan=None, on_neg_inf=INF)}
+    df = spark.createDataFrame([(i, n, d) for i, (n, d) in enumerate(SIDES)], "i int, n double, d double")
+    x = df.withColumn("x", M.quotient("n", "d"))
+    columns = []
+    for name, (value, of) in M.settle_all("x", policies).items():
+        alone = M.settle("x", policies[name])
+        columns += [(value.eqNullSafe(M.finite(alone)) & of.eqNullSafe(M.kind(alone))).alias(name)]
+    for row in x.select("i", *columns).collect():
+        assert all(row[name] for name in policies), (SIDES[row["i"]], row)
