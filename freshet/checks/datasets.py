@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from freshet.checks import views as V
 from freshet.checks.registry import check, sql_finite, sql_kind, sql_policy, sql_quotient
+from freshet.functions.dates import in_years
 from freshet.functions.missing import (
     BYPASS_CAPPED,
     DELTA_NORTH,
@@ -293,15 +294,11 @@ def _with_moke(inner: str, column: str) -> str:
 FROM ({inner}) c LEFT JOIN moke m ON m.year = c.year AND m.month = c.month"""
 
 
-def _east_nodes(spark, sf):
-    return V.coded_flow(spark, sf, "calsim2", V.YEARS).filter(F.col("scenario") == "A").drop("scenario")
-
-
 @check(V.query(_with_moke(_total_sql("calsim2"), "volume"), *_base("calsim2"), _grid(maps.PLACES), _MOKE_CTE,
                f"series AS ({_total_series('calsim2')})"))
 def total_diverted_calsim2(spark, sf):
     flows = V.coded_flow(spark, sf, "calsim2", V.YEARS)
-    return D.total_diverted(flows, "calsim2", FIRST, LAST, _east_nodes(spark, sf))
+    return D.total_diverted(flows, "calsim2", FIRST, LAST, flows, east_scenario="A")
 
 
 def _share_series(family: str) -> str:
@@ -342,7 +339,7 @@ _register_shares()
                _MOKE_CTE, f"series AS ({_share_series('calsim2')})"))
 def proportion_diverted_calsim2(spark, sf):
     flows = V.coded_flow(spark, sf, "calsim2", V.YEARS)
-    return _classed(D.proportion_diverted(flows, "calsim2", FIRST, LAST, _east_nodes(spark, sf)))
+    return _classed(D.proportion_diverted(flows, "calsim2", FIRST, LAST, flows, east_scenario="A"))
 
 
 _UPPER = next(n for p, n, _ in _div_rows("calsim3") if p == maps.UPPER_SACRAMENTO)
@@ -764,7 +761,9 @@ FROM sides WHERE place IN (SELECT place FROM sides GROUP BY place HAVING count(l
                *V.once(*_base("calsim2"), _grid(T.PLANES), f"series AS ({_DELTA_LONG})", _COMPARED, _SIDES)))
 def unified_comparison(spark, sf):
     """A cube, a matrix and a series of two scenarios, stacked and compared."""
-    flows = V.coded_flow(spark, sf, "calsim2", V.YEARS)
+    # The same rows for all three, so that one shuffle of the nodes' sums serves them.
+    chosen = ((F.col("scenario") == "A") | (F.col("scenario") == "N")) & in_years("date", FIRST, LAST)
+    flows = V.coded_flow(spark, sf, "calsim2", V.YEARS).filter(chosen)
     cube = T.delta_inflow(T.delta_flows(flows, "calsim2"), FIRST, LAST)
     matrix = P.node_matrices(flows, "calsim2", FIRST, LAST, ["freeport_flow", "vernalis_flow"])
     places = P.watershed_flows(flows, "calsim2").filter(F.col("place") != maps.MOKELUMNE)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from freshet.checks import views as V
@@ -16,7 +14,7 @@ from freshet.operators.reshape import (
     split_list,
     to_long,
     to_wide,
-    union_named,
+    union_rules,
     year_month_matrix,
 )
 from freshet.operators.skew import year_list
@@ -144,14 +142,14 @@ def node_map_crosswalk(spark, sf):
 
 @check(V.query("""SELECT coalesce(a.scenario, b.scenario) AS scenario, coalesce(a.date, b.date) AS date,
   coalesce(a.node, b.node) AS node, CASE WHEN a.node IS NULL THEN b.flow_cfs ELSE a.flow_cfs END AS flow_cfs
-FROM (SELECT * FROM node_flow WHERE node <= 'N4' AND date >= DATE '1996-01-01') a
+FROM (SELECT * FROM node_flow WHERE node <= 'N3' OR (node <= 'N5' AND flow_cfs >= 800)) a
 FULL JOIN (SELECT scenario, date, node, flow_cfs + 1000 AS flow_cfs FROM node_flow WHERE node >= 'N4') b
   ON a.scenario = b.scenario AND a.date = b.date AND a.node = b.node""", V.NODE_FLOW))
 def full_merge_by_date(spark, sf):
-    flows = V.node_flow(spark, sf)
-    first = flows.filter((F.col("node") <= "N4") & (F.col("date") >= dt.date(1996, 1, 1)))
-    second = flows.filter(F.col("node") >= "N4").withColumn("flow_cfs", F.col("flow_cfs") + 1000)
-    return L.merge_sources([first, second], [*KEYS, "node"])
+    """Two runs that share two nodes; the first has gaps there, which the second fills."""
+    node, flow = F.col("node"), F.col("flow_cfs")
+    first = (node <= "N3") | ((node <= "N5") & (flow >= 800))
+    return L.merge_rules(V.node_flow(spark, sf), [(first, flow), (node >= "N4", flow + 1000)], [*KEYS, "node"])
 
 
 @check(V.query("""SELECT scenario, date, node, flow_cfs FROM node_flow
@@ -187,10 +185,8 @@ def calendar_remap_query(spark, sf):
 @check(V.query("""SELECT scenario, date, node, flow_cfs, CASE WHEN scenario = 'N' THEN flow_cfs * 2 END AS doubled
 FROM node_flow WHERE scenario IN ('A', 'N')""", V.NODE_FLOW))
 def union_scenarios(spark, sf):
-    flows = V.node_flow(spark, sf)
-    a = flows.filter(F.col("scenario") == "A")
-    n = flows.filter(F.col("scenario") == "N").withColumn("doubled", F.col("flow_cfs") * 2)
-    return union_named(a, n)
+    a, n = (F.col("scenario") == s for s in ("A", "N"))
+    return union_rules(V.node_flow(spark, sf), [(a, {}), (n, {"doubled": F.col("flow_cfs") * 2})])
 
 
 @check("""WITH kept AS (SELECT l_partkey AS place, l_returnflag AS scenario FROM lineitem),

@@ -155,11 +155,13 @@ def override_slice(
     error. One join over one scan of the cube.
     """
     on = [*keys, "year", "month"]
-    source = one_row(source.select(*on, value), on, "month")
+    source = one_row(source.select(*on, value, F.col("year").alias("__year"), F.col("month").alias("__month")), on, "month")
     if not keys:
-        # Calendar months bound these rows: twelve for each year up to 9999.
-        source = F.broadcast(source.filter(F.col("year").between(1, 9999) & F.col("month").between(1, 12)))
-    new = source.select(*on, F.lit(place).alias("place"), F.col(value).alias("__new"))
+        # Calendar months bound these rows: twelve for each year up to 9999. The aggregated columns
+        # keep the bound and the join's conditions above the scan, which stays the same as that of the cube.
+        source = F.broadcast(source.filter(F.col("__year").between(1, 9999) & F.col("__month").between(1, 12)))
+    months = [F.col("__year").alias("year"), F.col("__month").alias("month")]
+    new = source.select(*keys, *months, F.lit(place).alias("place"), F.col(value).alias("__new"))
     taken = F.when(F.col("place") == place, F.col("__new")).otherwise(F.col("value"))
     return cube.join(new, [*on, "place"], "left").withColumn("value", taken).select(*cube.columns)
 

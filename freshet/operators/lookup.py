@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.operators.single import one_row
@@ -100,6 +100,18 @@ def merge_sources(sources: Sequence[DataFrame], keys: Sequence[str], value: str
     return stacked.groupBy(*keys).agg(F.min_by(value, "__rank").alias(value))
 
 
+def merge_rules(df: DataFrame, sources: Sequence[tuple[Column, Column]], keys: Sequence[str], value: str = "flow_cfs") -> DataFrame:
+    """The same for sources that are rules over one frame, ``(which rows, their value)``: one scan.
+
+    A row of several sources counts for the earliest.
+    """
+    rank, taken = F.lit(None).cast("int"), F.lit(None)
+    for i, (rows, expr) in reversed(list(enumerate(sources))):
+        rank, taken = F.when(rows, F.lit(i)).otherwise(rank), F.when(rows, expr).otherwise(taken)
+    ranked = df.select(*keys, taken.alias(value), rank.alias("__rank")).filter(F.col("__rank").isNotNull())
+    return ranked.groupBy(*keys).agg(F.min_by(value, "__rank").alias(value))
+
+
 def full_merge(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join on the keys; a clashing column gets ``_x`` and ``_y``."""
     clash = (set(left.columns) & set(right.columns)) - set(keys)

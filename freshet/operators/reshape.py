@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from freshet.functions.dates import in_years
 from freshet.operators.single import BITS, position_mark, refuse, repeated_marks
 
 
@@ -56,8 +57,16 @@ def month_year_matrix(
     date: str = "date",
 ) -> DataFrame:
     """Twelve rows per key, one column ``y<year>`` per year."""
-    cells = df.select(*keys, F.month(date).alias("month"), F.year(date).alias("year"), F.col(value))
-    return to_wide(cells.filter(F.col("year").isin(list(years))), [*keys, "month"], "year", value, years, "y")
+    cells = _of_years(df, years, date).select(*keys, F.month(date).alias("month"), F.year(date).alias("year"), F.col(value))
+    return to_wide(cells, [*keys, "month"], "year", value, years, "y")
+
+
+def _of_years(df: DataFrame, years: Sequence[int], date: str) -> DataFrame:
+    """Rows of the years; of consecutive ones by two bounds of the date, which reach a scan."""
+    years = list(years)
+    if years and years == list(range(years[0], years[-1] + 1)):
+        return df.filter(in_years(date, years[0], years[-1]))
+    return df.filter(F.year(date).isin(years))
 
 
 def year_month_matrix(
@@ -68,10 +77,8 @@ def year_month_matrix(
     date: str = "date",
 ) -> DataFrame:
     """The transpose: one row per year, one column ``m<month>`` per month."""
-    cells = df.select(*keys, F.month(date).alias("month"), F.year(date).alias("year"), F.col(value))
-    return to_wide(
-        cells.filter(F.col("year").isin(list(years))), [*keys, "year"], "month", value, range(1, 13), "m"
-    )
+    cells = _of_years(df, years, date).select(*keys, F.month(date).alias("month"), F.year(date).alias("year"), F.col(value))
+    return to_wide(cells, [*keys, "year"], "month", value, range(1, 13), "m")
 
 
 def split_list(df: DataFrame, column: str, out: str, separator: str = ",") -> DataFrame:
@@ -104,3 +111,24 @@ def union_named(*frames: DataFrame) -> DataFrame:
     for frame in frames[1:]:
         out = out.unionByName(frame, allowMissingColumns=True)
     return out
+
+
+def union_rules(df: DataFrame, parts: Sequence[tuple[Column, Mapping[str, Column]]]) -> DataFrame:
+    """Stack parts of one frame, ``(which rows, columns to add or replace)``, in one scan.
+
+    A row appears once for each part that it is of; a column one part lacks is missing
+    there. A frame column of the same name keeps its value in parts that do not name it.
+    """
+    added = list(dict.fromkeys(name for _, columns in parts for name in columns))
+    names = [*df.columns, *(n for n in added if n not in df.columns)]
+    wanted = F.lit(False)
+    for rows, _ in parts:
+        wanted = wanted | rows
+
+    def row(columns: Mapping[str, Column]) -> Column:
+        own = {c: F.col(f"`{c}`") for c in df.columns} | dict(columns)
+        return F.struct(*(own.get(n, F.lit(None)).alias(n) for n in names))
+
+    copies = F.filter(F.array(*(F.when(rows, row(columns)) for rows, columns in parts)), lambda r: r.isNotNull())
+    stacked = df.filter(wanted).select(F.explode(copies).alias("__row"))
+    return stacked.select(*(F.col(f"__row.`{n}`").alias(n) for n in names))

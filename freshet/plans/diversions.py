@@ -29,19 +29,24 @@ def shared_diversions(node_flow: DataFrame) -> DataFrame:
     return apportion(node_flow, [tuple(r) for r in maps.SHARED_2])
 
 
-def east_side_diversion(east_side: DataFrame, first: int, last: int, over_flow: bool = False) -> DataFrame:
+def east_side_diversion(
+    east_side: DataFrame, first: int, last: int, over_flow: bool = False, scenario: str | None = None
+) -> DataFrame:
     """Mokelumne diversion of the separate run per (year, month), or its share of the flow.
 
-    Shares are summed like volumes and neither capped nor filled.
+    Shares are summed like volumes and neither capped nor filled. ``scenario`` takes
+    the run that is one scenario of a table. It is told apart in the aggregate and not
+    by a filter, so that a table of which other scenarios are needed too is read once.
     """
     chosen = east_side.filter(in_years("date", first, last))
+    here = F.lit(True) if scenario is None else F.col("scenario") == scenario
     # One missing node makes the sum missing; several rows of one node are an error.
     total = None
     for node in maps.MOKELUMNE_DIVERSIONS:
-        part = only(F.col("flow_cfs"), F.col("node") == node, "node")
+        part = only(F.col("flow_cfs"), here & (F.col("node") == node), "node")
         total = part if total is None else total + part
-    flow = only(F.col("flow_cfs"), F.col("node") == maps.MOKELUMNE_FLOW, "node")
-    keys = _run_keys(east_side)
+    flow = only(F.col("flow_cfs"), here & (F.col("node") == maps.MOKELUMNE_FLOW), "node")
+    keys = _run_keys(east_side) if scenario is None else []
     dated = chosen.groupBy(*keys, "date").agg(total.alias("diverted"), flow.alias("flow"))
     value = quotient("diverted", "flow") if over_flow else cfs_to_cms("diverted")
     return dated.groupBy(*keys, F.year("date").alias("year"), F.month("date").alias("month")).agg(
@@ -66,9 +71,13 @@ def total_diverted(
     last: int = 2000,
     east_side: DataFrame | None = None,
     compat: bool = False,
+    east_scenario: str | None = None,
 ) -> DataFrame:
     """Cube of diverted volume in cms; missing is 0.
 
+    ``east_side`` is the separate run of the Mokelumne: for all scenarios, one for each,
+    or the one scenario ``east_scenario`` of it for all.
+
     ``compat`` gives the newer family's Upper Sacramento the grand total of all
     months instead of each month's sum.
     """
@@ -84,7 +93,7 @@ def total_diverted(
         series.withColumn("value", cfs_to_cms("value")), maps.PLACES, first, last, fill=0.0
     )
     if east_side is not None:
-        cube = with_east_side(cube, east_side_diversion(east_side, first, last))
+        cube = with_east_side(cube, east_side_diversion(east_side, first, last, scenario=east_scenario))
     return cube
 
 
@@ -101,6 +110,7 @@ def proportion_diverted(
     last: int = 2000,
     east_side: DataFrame | None = None,
     compat: bool = False,
+    east_scenario: str | None = None,
 ) -> DataFrame:
     """Cube of diversion over flow, under the family's policy.
 
@@ -131,5 +141,5 @@ def proportion_diverted(
         series = formula_ratio(rows, formulas, DIVERTED_CAPPED, special).select(*CELL)
     cube = model_cube(series, maps.PLACES, first, last, fill=0.0)
     if east_side is not None:
-        cube = with_east_side(cube, east_side_diversion(east_side, first, last, over_flow=True))
+        cube = with_east_side(cube, east_side_diversion(east_side, first, last, True, east_scenario))
     return cube

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshet.functions.dates import in_years
@@ -22,8 +22,8 @@ from freshet.operators.cube import model_cube
 from freshet.operators.formula import formula_frame, formula_sums
 from freshet.operators.lookup import lookup_label, map_nodes, replace_series, small_frame
 from freshet.operators.reshape import month_year_matrix, to_long, to_wide
-from freshet.operators.single import only
-from freshet.operators.skew import per_date, spread_join
+from freshet.operators.single import only, refuse
+from freshet.operators.skew import per_date
 from freshet.operators.stats import monthly_median, pulse_ratio, seasonal_mean
 from freshet.plans import maps
 
@@ -275,23 +275,45 @@ def junction_ratio(
     month: int = 10,
     fixed: Sequence[str] = maps.NATAL_FIXED,
     policy: RatioPolicy = NATAL,
+    salts: int = 8,
 ) -> DataFrame:
     """One month's flow over the flow at the receiving junction.
 
-    ``junctions(place, junction)``; places without a junction get the fill value.
+    ``junctions(place, junction)``; places without a junction get the fill value. Several
+    rows of one junction in a month are an error.
+
+    Flows are read once: a row goes to its junction, and if it is one itself also to each
+    of the ``salts`` parts into which the places of a junction are dealt, so a junction of
+    many places is not one task. Places without a junction need no part in common.
     """
     chosen = flows.filter(F.month("date") == month)
-    hubs = junctions.select(F.col("junction").alias("place")).distinct()
-    at_junction = chosen.join(hubs, "place", "left_semi").select(
-        *KEYS, F.col("place").alias("junction"), F.col("flow_cfs").alias("junction_flow")
+    known = junctions.filter(F.col("place").isNotNull() & F.col("junction").isNotNull())
+    ends = F.array(
+        F.struct("place", F.col("junction").alias("to"), F.lit(False).alias("hub")),
+        F.struct(F.col("junction").alias("place"), F.lit(None).alias("to"), F.lit(True).alias("hub")),
     )
-    placed = chosen.join(junctions, "place", "left")
-    # Many places may share a junction, so its row is spread.
-    joined = spread_join(placed, at_junction, [*KEYS, "junction"], ["place"], "left")
+    ends = known.select(F.explode(ends).alias("e")).select("e.*")
+    links = ends.groupBy("place").agg(F.collect_list("to").alias("__to"), F.max("hub").alias("__hub"))
+    linked = chosen.join(links, "place", "left")
+
+    def entry(at: Column, salt: Column, hub: bool) -> Column:
+        return F.struct(at.cast(place_type).alias("at"), salt.cast("long").alias("salt"), F.lit(hub).alias("hub"))
+
+    place_type = flows.schema["place"].dataType
+    lone = F.array(entry(F.lit(None), F.xxhash64("place"), False))
+    own = F.transform("__to", lambda to: entry(to, F.pmod(F.xxhash64("place"), F.lit(salts)), False))
+    own = F.when(F.size("__to") > 0, own).otherwise(lone)
+    spread = F.transform(F.sequence(F.lit(0), F.lit(salts - 1)), lambda i: entry(F.col("place"), i, True))
+    entries = F.when(F.col("__hub"), F.concat(own, spread)).otherwise(own)
+    rows = linked.select(*KEYS, "place", "flow_cfs", F.explode(entries).alias("e")).select(*KEYS, "place", "flow_cfs", "e.*")
+    part = Window.partitionBy(*KEYS, "at", "salt")
+    hub_flow = F.max(F.when(F.col("hub"), F.col("flow_cfs"))).over(part)
+    repeated = F.count(F.when(F.col("hub"), 1)).over(part) > 1
+    rows = rows.withColumn("junction_flow", refuse(repeated, "junction", hub_flow)).filter(~F.col("hub"))
     value = F.when(F.col("place").isin(list(fixed)), F.lit(1.0)).otherwise(
         ratio("flow_cfs", "junction_flow", policy)
     )
-    return joined.select(*KEYS, "place", F.year("date").alias("year"), value.alias("value"))
+    return rows.select(*KEYS, "place", F.year("date").alias("year"), value.alias("value"))
 
 
 def proportion_flow_natal(flows: DataFrame, first: int = 1979, last: int = 2000) -> DataFrame:

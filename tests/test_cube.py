@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions.dates import month_ends
 from freshet.operators import cube as C
-from freshet.operators.reshape import month_year_matrix, split_list, take_prefix, union_named, year_month_matrix
+from freshet.operators.reshape import month_year_matrix, split_list, take_prefix, union_named, union_rules, year_month_matrix
 
 PLACES = ["b", "a", "none"]
 SCHEMA = "scenario string, place string, date date, value double"
@@ -108,3 +108,12 @@ def test_small_reshapes(spark, rows):
     assert take_prefix(wide, "div_", ["k"]).columns == ["k", "Upper-mid River"]
     both = union_named(spark.createDataFrame([(1,)], "a int"), spark.createDataFrame([(2, 3)], "a int, b int"))
     assert rows(both) == [(1, None), (2, 3)]
+
+
+def test_parts_of_one_frame(spark, rows):
+    df = spark.createDataFrame([("A", 1.0), ("N", 2.0), ("R", None), (None, 4.0)], "s string, v double")
+    parts = [(F.col("s") != "R", {}), (F.col("v") >= 2, {"w": F.col("v") * 2, "v": F.col("v") + 1})]
+    assert rows(union_rules(df, parts), "s", "v", "w") == [
+        ("A", 1.0, None), ("N", 2.0, None), ("N", 3.0, 4.0), (None, 5.0, 8.0),
+    ]
+    assert union_rules(df.limit(0), parts).columns == ["s", "v", "w"]

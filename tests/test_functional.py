@@ -147,3 +147,31 @@ def test_node_crosswalk(spark):
     assert found["diversions"]["Deer Creek"][0] == "C11309 / (C11307 + C11309 + C11308) * D11305"
     assert found["diversions"]["Mokelumne River"][0] is None
     assert len(found["bypass"]) == 6 and len(found["delta"]) == 4 and len(found["routing"]) == 7
+
+
+def test_merge_of_rules_over_one_frame(spark, rows):
+    df = spark.createDataFrame([("x", 1.0), ("y", 2.0), ("y", None), ("z", 3.0)], "node string, flow_cfs double")
+    flow = F.col("flow_cfs")
+    merged = L.merge_rules(df, [(F.col("node") == "x", flow), (flow >= 1, flow + 10)], ["node"])
+    assert rows(merged) == [("x", 1.0), ("y", 12.0), ("z", 13.0)]
+
+
+FLOWS = "scenario string, date date, place string, flow_cfs double"
+
+
+def test_junction_ratio(spark, rows):
+    """Hubs of hubs, a place with two junctions, unknown junctions, nulls, other months, every salting."""
+    d, other = dt.date(1990, 10, 31), dt.date(1990, 11, 30)
+    data = [("S", d, "a", 1.0), ("S", d, "b", 3.0), ("S", d, "hub", 4.0), ("S", d, "sea", 8.0), ("S", d, "lone", 5.0),
+            ("S", d, "dry", 1.0), ("S", d, "c", None), ("T", d, "a", 2.0), ("S", other, "a", 9.0), ("S", d, None, 7.0), ("S", d, "set", 0.0)]
+    pairs = [("a", "hub"), ("b", "hub"), ("b", "sea"), ("hub", "sea"), ("dry", "nowhere"), ("c", "hub"), ("set", "hub"), (None, "hub"), ("lone", None)]
+    flows, junctions = spark.createDataFrame(data, FLOWS), spark.createDataFrame(pairs, "place string, junction string")
+    want = [("S", "a", 0.25), ("S", "b", 0.375), ("S", "b", 0.75), ("S", "c", 0.0), ("S", "dry", 0.0), ("S", "hub", 0.5),
+            ("S", "lone", 0.0), ("S", "sea", 0.0), ("S", "set", 1.0), ("S", None, 0.0), ("T", "a", 0.0)]
+    for salts in (1, 8):
+        out = P.junction_ratio(flows, junctions, fixed=["set"], salts=salts)
+        assert rows(out, "scenario", "place", "value") == sorted(want, key=lambda r: tuple(str(v) for v in r))
+    assert P.junction_ratio(flows.limit(0), junctions).count() == 0
+    again = spark.createDataFrame([("S", d, "hub", 1.0)], FLOWS)
+    with pytest.raises(Exception, match="several rows"):
+        P.junction_ratio(flows.unionByName(again), junctions).collect()

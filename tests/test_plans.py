@@ -81,3 +81,32 @@ def test_one_scan_of_the_log(spark, name):
     """The log is written in ranges; what follows reads those."""
     plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("events.parquet") <= 1
+
+
+def run_time_plan(spark, name):
+    """The plan as adaptive execution finished it."""
+    df = QUERIES[name](spark, SMALL)
+    df.collect()
+    executed = df._jdf.queryExecution().executedPlan()
+    return executed, executed.toString().split("== Initial Plan ==")[0]
+
+
+ONE_SCAN = [
+    "full_merge_by_date", "junction_ratio", "month_year_matrix", "proportion_diverted_calsim2", "ratio_policies",
+    "total_diverted_calsim2", "unified_comparison", "union_scenarios",
+]
+
+
+@pytest.mark.parametrize("name", ONE_SCAN)
+def test_line_items_are_read_once(spark, name):
+    _, plan = run_time_plan(spark, name)
+    assert plan.count("lineitem.parquet") == 1
+
+
+@pytest.mark.parametrize("name", ["ratio_policies", "junction_ratio", "formula_ratio", "proportion_diverted_calsim2"])
+def test_generated_methods_can_be_compiled(spark, name):
+    """The virtual machine only interprets methods of more than 8,000 bytes."""
+    executed, _ = run_time_plan(spark, name)
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    stages = debug.codegenStringSeq(executed)
+    assert 0 < max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) <= 8000
