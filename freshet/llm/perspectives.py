@@ -6,8 +6,10 @@ roles in INSTRUCTIONS) are nobody's perspective and stand as such in all. The ma
 covers what the assistant is to learn: its words and the end mark behind them.
 
 One row per perspective and turn, with its place in the rendering: a dialogue is
-never gathered in one task. Offsets are sums in two steps, over CHUNK turns and
-over the chunks before. `dialogues` joins the rows to whole strings.
+never gathered in one task. Offsets are sums in two steps, over CHUNK turn numbers and
+over the chunks before, which are found from lengths alone; texts are shuffled once.
+Turns without a number, or of equal ones, are one chunk. `dialogues` joins the rows to
+whole strings.
 
 A null text is empty. A null role is a user named `unknown` and has no
 perspective. Turns sort by number, then role, then text; null numbers come last.
@@ -18,7 +20,7 @@ are ignored. An empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 INSTRUCTIONS = ("system",)
@@ -35,43 +37,24 @@ def rotated(turns: DataFrame, instructions: tuple[str, ...] = INSTRUCTIONS) -> D
     rows = turns.select(
         F.col("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").alias("said_by"),
         F.coalesce("text", F.lit("")).alias("text"),
-    )
-    speakers = (
-        rows.filter(F.col("said_by").isNotNull() & ~F.col("said_by").isin(*instructions))
-        .select(F.col("conv_id").alias("_conv"), F.col("said_by").alias("speaker"))
-        .distinct()
-    )
-    views = rows.join(speakers, F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv")
+    ).withColumn("_key", F.struct("conv_id", F.floor(F.col("turn") / CHUNK).alias("chunk")))
+    instruction = F.coalesce(F.col("said_by").isin(*instructions), F.lit(False))
+    role = F.when(instruction, F.lit("system")).otherwise(F.lit("user"))
+    bodies = rows.select("_key", "said_by", (F.length(_head(role, "said_by")) + F.length("text") + len(END)).alias("n"))
+    parts = bodies.groupBy("_key", "said_by").agg(F.sum("n").alias("_n"), F.count("*").alias("_t"))
+    starts = _starts(parts, instructions)
+    # A turn's text is shuffled here once, to the place of its chunk. All its perspectives arise and
+    # are ordered there, which a broadcast join would undo.
+    views = rows.repartition("_key").join(starts.hint("merge"), "_key")
     own = F.coalesce(F.col("said_by") == F.col("speaker"), F.lit(False))
-    role = (
-        F.when(own, F.lit("assistant"))
-        .when(F.coalesce(F.col("said_by").isin(*instructions), F.lit(False)), F.lit("system"))
-        .otherwise(F.lit("user"))
-    )
-    views = views.withColumns({"role": role, "name": F.coalesce("said_by", F.lit(UNKNOWN))})
-    head = F.when(F.col("role") == "user", F.concat(F.lit("<|user name="), "name", F.lit("|>\n"))).otherwise(
-        F.concat(F.lit("<|"), "role", F.lit("|>\n"))
-    )
-    views = views.withColumns({"_head": head}).withColumns(
-        {
-            "segment": F.concat("_head", "text", F.lit(END)),
-            "_chunk": F.floor(F.col("turn") / CHUNK),
-        }
-    )
+    views = views.withColumns({"role": F.when(own, F.lit("assistant")).otherwise(role), "name": F.coalesce("said_by", F.lit(UNKNOWN))})
+    views = views.withColumn("_head", _head(F.col("role"), "said_by"))
+    views = views.withColumn("segment", F.concat("_head", "text", F.lit(END)))
     views = views.withColumn("n_chars", F.length("segment").cast("long"))
     order = [F.col("turn").asc_nulls_last(), F.col("said_by").asc_nulls_last(), F.col("text")]
-    inside = Window.partitionBy("conv_id", "speaker", "_chunk").orderBy(*order)
-    before = Window.partitionBy("_c", "_s").orderBy(F.col("_k").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    sums = (
-        views.groupBy(F.col("conv_id").alias("_c"), F.col("speaker").alias("_s"), F.col("_chunk").alias("_k"))
-        .agg(F.sum("n_chars").alias("_chars"), F.count("*").alias("_turns"))
-        .select("_c", "_s", "_k", F.sum("_chars").over(before).alias("_chars"), F.sum("_turns").over(before).alias("_turns"))
-    )
+    inside = Window.partitionBy("_key", "speaker").orderBy(*order)
     to_here = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = views.withColumns({"_end": F.sum("n_chars").over(to_here), "_nth": F.row_number().over(inside)}).join(
-        sums,
-        F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("speaker").eqNullSafe(F.col("_s")) & F.col("_chunk").eqNullSafe(F.col("_k")),
-    )
+    placed = views.withColumns({"_end": F.sum("n_chars").over(to_here), "_nth": F.row_number().over(inside)})
     start = F.coalesce("_chars", F.lit(0)) + F.col("_end") - F.col("n_chars")
     placed = placed.withColumn("start", start.cast("long"))
     learned = F.col("role") == "assistant"
@@ -83,6 +66,29 @@ def rotated(turns: DataFrame, instructions: tuple[str, ...] = INSTRUCTIONS) -> D
     )
 
 
+def _head(role: Column, said_by: str) -> Column:
+    named = F.concat(F.lit("<|user name="), F.coalesce(said_by, F.lit(UNKNOWN)), F.lit("|>\n"))
+    return F.when(role == "user", named).otherwise(F.concat(F.lit("<|"), role, F.lit("|>\n")))
+
+
+def _starts(parts: DataFrame, instructions: tuple[str, ...]) -> DataFrame:
+    """_key, speaker, _chars, _turns: what lies before each chunk in each speaker's rendering.
+
+    ``parts`` counts the characters and turns of everyone in a chunk, all as others.
+    The speaker's own turns have another head.
+    """
+    conv = F.struct(F.col("_key")["conv_id"].alias("conv_id")).alias("_conv")
+    chunks = parts.groupBy("_key").agg(F.sum("_n").alias("_n"), F.sum("_t").alias("_t")).withColumn("_conv", conv)
+    said = parts.filter(F.col("said_by").isNotNull() & ~F.col("said_by").isin(*instructions)).withColumnRenamed("said_by", "speaker")
+    longer = F.length(_head(F.lit("assistant"), "speaker")) - F.length(_head(F.lit("user"), "speaker"))
+    own = said.select("_key", "speaker", (F.col("_t") * longer).alias("_more"))
+    all_chunks = chunks.join(said.select(conv, "speaker").distinct(), "_conv").join(own, ["_key", "speaker"], "left")
+    before = Window.partitionBy("_conv", "speaker").orderBy(F.col("_key")["chunk"].asc_nulls_last())
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    chars = F.sum(F.col("_n") + F.coalesce("_more", F.lit(0))).over(before)
+    return all_chunks.select("_key", "speaker", chars.alias("_chars"), F.sum("_t").over(before).alias("_turns"))
+
+
 def dialogues(rows: DataFrame) -> DataFrame:
     """conv_id, speaker, text, masks: whole renderings, for dialogues that fit in memory."""
     turns = F.sort_array(F.collect_list(F.struct("start", "segment", "mask_start", "mask_end")))

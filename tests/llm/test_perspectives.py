@@ -53,3 +53,30 @@ def test_empty_table(spark):
 def test_plan_has_no_python_and_no_cross_join(spark):
     plan = perspectives.rotated(turns(spark, ROWS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_long_texts_and_long_dialogues(spark):
+    """Three hundred turns of one dialogue in many chunks, texts of up to a million characters."""
+    rows = [(7, i, ("ann", "bob", "cy", "system", None)[i % 5], "é" * (1_000_000 if i == 150 else i)) for i in range(300)]
+    want = brute(rows)
+    before = perspectives.CHUNK
+    try:
+        perspectives.CHUNK = 16
+        out = perspectives.rotated(turns(spark, rows)).select("speaker", "turn", "place", "start", "segment", "mask_start", "mask_end").collect()
+    finally:
+        perspectives.CHUNK = before
+    assert len(out) == 3 * 300
+    for r in out:
+        whole, masks = want[7, r["speaker"]]
+        assert r["place"] == r["turn"] and whole[r["start"] : r["start"] + len(r["segment"])] == r["segment"]
+        assert r["mask_start"] is None or (r["mask_start"], r["mask_end"]) in masks
+
+
+def test_texts_are_shuffled_once(spark):
+    df = perspectives.rotated(turns(spark, ROWS))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("REPARTITION_BY_COL") == 1 and "SortMergeJoin [_key" in plan
+    # From there to the result nothing is exchanged.
+    above = plan[: plan.index("SortMergeJoin [_key")]
+    assert "Exchange" not in above and "Window [" in above
