@@ -38,8 +38,8 @@ PER_LANGUAGE = 400
 WINDOWS_EACH = 16
 EPOCHS = 6
 SEED = 7
-#: Lots in which a language's ids are ranked before all of them are.
-LOTS = 64
+#: Slots for each id that is wanted, from which the smallest hashes are taken.
+SLOTS = 64
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -170,20 +170,28 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))
 
 
+def few_ids(rows: DataFrame, per_language: int) -> DataFrame:
+    """doc_id, lang: at most per_language ids of a language, those with the smallest hashes.
+
+    Another hash deals the ids to SLOTS slots for each that is wanted, and each slot keeps its
+    smallest. So tasks send no more than the slots, whatever the input and however often an id
+    is repeated. An id is missed where a smaller one has its slot, of the smallest hashes about
+    one in 2 * SLOTS.
+    """
+    slot = F.pmod(F.hash("doc_id"), F.lit(SLOTS * per_language))
+    hashed = rows.select("doc_id", "lang", slot.alias("_slot"), F.xxhash64("doc_id").alias("_hash"))
+    least = [F.min("_hash").alias("_hash"), F.min_by("doc_id", "_hash").alias("doc_id")]
+    slots = hashed.groupBy("lang", "_slot").agg(*least)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_hash", "doc_id"))
+    return slots.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).select("doc_id", "lang")
+
+
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, windows_each: int = WINDOWS_EACH) -> Network:
     """A network from the rows of docs (doc_id, text, lang) that are not held out."""
     rows = docs.select("doc_id", "text", "lang").filter(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0)
     )
-    # At most per_language ids of a language reach the join. They are ranked in lots
-    # first, so that no task reads more than LOTS times as many, whatever the input.
-    by_hash = [F.xxhash64("_id"), "_id"]
-    chosen = rows.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
-    chosen = chosen.withColumn("_lot", F.pmod(F.xxhash64("_lang", "_id"), F.lit(LOTS)))
-    for keys in (["_lang", "_lot"], ["_lang"]):
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*by_hash))
-        chosen = chosen.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).drop("_rank")
-    chosen = chosen.drop("_lot")
+    chosen = few_ids(rows, per_language).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
     # However often an id is repeated, one of its texts is learned from.
     sample = (
         rows.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")

@@ -112,3 +112,22 @@ def test_pooling_is_the_largest_answer_of_every_filter():
     assert np.allclose(net.pooled(windows)[0], np.maximum(want + net.bias, 0), atol=1e-5)
     for k, w in enumerate(language_id.WIDTHS):
         assert not net.filters[w * e :, k * language_id.FILTERS : (k + 1) * language_id.FILTERS].any()
+
+
+def test_few_ids_of_a_language(spark):
+    """Bounded for a hot id and a hot language, nearly all the smallest hashes, whole where there are few."""
+    rows = spark.range(20_000).selectExpr("id AS doc_id", "if(id % 10 = 0, 'b', 'a') AS lang").unionByName(
+        spark.range(10_000).selectExpr("7L AS doc_id", "'a' AS lang")
+    )
+    got = language_id.few_ids(rows, 100).collect()
+    by_lang = {lang: {r["doc_id"] for r in got if r["lang"] == lang} for lang in ("a", "b")}
+    assert len(got) == 200 and all(len(ids) == 100 for ids in by_lang.values())
+    hashes = {r["doc_id"]: r["h"] for r in rows.distinct().selectExpr("doc_id", "xxhash64(doc_id) AS h").collect()}
+    for lang, ids in by_lang.items():
+        best = sorted((i for i in hashes if (i % 10 == 0) == (lang == "b")), key=hashes.get)[:100]
+        assert len(ids & set(best)) >= 95
+    few = language_id.few_ids(rows.filter("doc_id < 40").distinct(), 100)
+    assert few.count() >= 38
+    assert language_id.few_ids(rows.limit(0), 100).count() == 0
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan and "SortAggregate" not in plan
