@@ -56,7 +56,7 @@ LEFT JOIN supplier_flow f ON f.scenario = g.scenario AND f.node = g.place
   AND year(f.date) = g.year AND month(f.date) = g.month""", V.SUPPLIER_FLOW))
 def supplier_cube(spark, sf):
     """A cube whose places are a growing table."""
-    flows = V.supplier_flow(spark, sf, V.YEARS).withColumnRenamed("node", "place")
+    flows = V.supplier_flow(spark, sf, V.YEARS, lots=True).withColumnRenamed("node", "place")
     places = V.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("place"))
     return C.table_cube(flows, places, V.SCENARIOS, FIRST, LAST, 0.0, "flow_cfs")
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, FloatType
 
 from freshet.functions.dates import in_years
+from freshet.operators.lots import deal
 from freshet.operators.single import one_row, only
 from freshet.operators.skew import year_list
 
@@ -63,10 +64,17 @@ def _dense(
     cells: DataFrame, seeds: DataFrame, keys: Sequence[str], first: int, last: int, fill: float | bool | None, kind: DataType
 ) -> DataFrame:
     """All months of the seeds' keys; cells of other keys are left out."""
-    months = F.explode(F.sequence(F.lit(0), F.lit((last - first + 1) * 12 - 1)))
-    empty = seeds.select(*keys, months.alias("cell"), F.lit(None).cast(kind).alias("value"), F.lit(True).alias("__seed"))
+    empty = seeds.select(*keys, _months(first, last).alias("cell"), F.lit(None).cast(kind).alias("value"), F.lit(True).alias("__seed"))
     both = cells.select(*keys, "cell", "value", F.lit(False).alias("__seed")).unionByName(empty)
     rows = both.groupBy(*keys, "cell").agg(F.max("value").alias("value"), F.max("__seed").alias("__seed")).filter("__seed")
+    return _filled(rows, keys, first, fill, kind)
+
+
+def _months(first: int, last: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit((last - first + 1) * 12 - 1)))
+
+
+def _filled(rows: DataFrame, keys: Sequence[str], first: int, fill: float | bool | None, kind: DataType) -> DataFrame:
     found = F.col("value")
     if fill is not None:
         known = F.nanvl(found, F.lit(None).cast(kind)) if isinstance(kind, (DoubleType, FloatType)) else found
@@ -92,13 +100,23 @@ def table_cube(
     """The same for a place table that grows, and given scenarios.
 
     Every (scenario, place) of the grid contributes its empty cells; places and
-    scenarios that are not in it are left out.
+    scenarios that are not in it are left out. Rows of the series and places are dealt to
+    lots of about as many cells each, whatever the places are; the empty cells are made there and
+    not before. Several rows of one cell are an error.
     """
+    keys, kind = ["scenario", "place"], series.schema[value].dataType
     seeds = places.select("place", F.explode(F.array(*[F.lit(s) for s in scenarios])).alias("scenario"))
     chosen = series.filter(in_years(date, first, last) & F.col("scenario").isin(list(scenarios)))
-    cells = _cells(chosen, ["scenario", "place"], first, value, date)
-    dense = _dense(cells, seeds, ["scenario", "place"], first, last, fill, series.schema[value].dataType)
-    return dense.select("scenario", "place", "month", "year", "value")
+    cell = ((F.year(date) - first) * 12 + F.month(date) - 1).alias("cell")
+    given = chosen.select(*keys, F.array(cell).alias("cells"), F.col(value).alias("value"), F.lit(False).alias("__seed"))
+    months = (last - first + 1) * 12
+    empty = seeds.select(*keys, F.lit(None).cast("array<int>").alias("cells"), F.lit(None).cast(kind).alias("value"), F.lit(True).alias("__seed"))
+    dealt = deal(given.unionByName(empty), keys, places.count() * len(scenarios) * months)
+    cells = F.coalesce("cells", F.sequence(F.lit(0), F.lit(months - 1)))
+    both = dealt.select(*keys, F.explode(cells).alias("cell"), "value", "__seed")
+    found = only(F.col("value"), ~F.col("__seed"), "cell").alias("value")
+    rows = both.groupBy(*keys, "cell").agg(found, F.max("__seed").alias("__seed")).filter("__seed")
+    return _filled(rows, keys, first, fill, kind).select("scenario", "place", "month", "year", "value")
 
 
 def nest(cube: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

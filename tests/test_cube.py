@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions.dates import month_ends
 from freshet.operators import cube as C
+from freshet.operators import lots
 from freshet.operators.reshape import month_year_matrix, split_list, take_prefix, union_named, union_rules, year_month_matrix
 
 PLACES = ["b", "a", "none"]
@@ -117,3 +118,16 @@ def test_parts_of_one_frame(spark, rows):
         ("A", 1.0, None), ("N", 2.0, None), ("N", 3.0, 4.0), (None, 5.0, 8.0),
     ]
     assert union_rules(df.limit(0), parts).columns == ["s", "v", "w"]
+
+
+def test_a_growing_place_table_is_dealt_to_bounded_lots(spark, monkeypatch):
+    """However few partitions the places have, no task holds much more than a lot of cells."""
+    monkeypatch.setattr(lots, "PER_LOT", 1000)
+    places = spark.range(2000).select(F.col("id").alias("place")).coalesce(1)
+    series = spark.createDataFrame([("A", dt.date(2000, 1, 31), 5, 7.0), ("A", dt.date(2000, 2, 29), 9999, 1.0)], "scenario string, date date, place long, value double")
+    cube = C.table_cube(series, places, ["A"], 2000, 2000, 0.0)
+    tasks = [r["count"] for r in cube.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(tasks) == 24000 and max(tasks) <= 3000
+    assert [tuple(r) for r in cube.filter("value <> 0").collect()] == [("A", 5, 1, 2000, 7.0)]
+    with pytest.raises(Exception, match="several rows"):
+        C.table_cube(series.union(series), places, ["A"], 2000, 2000).collect()
