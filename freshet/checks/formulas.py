@@ -53,7 +53,7 @@ def _low(spark, sf):
     """Sparse flows per basin; 20 is taken off so that zeros occur."""
     low = F.when(F.col("l_flow") > 20, F.col("l_flow") - 20).otherwise(F.lit(0.0))
     sums = (
-        V.shipped(spark, sf)
+        V.dealt(spark, sf)
         .groupBy("scenario", F.col("l_suppkey").alias("basin"), "date", "l_linenumber")
         .agg(F.sum("l_quantity").alias("l_flow"))
     )

@@ -70,7 +70,8 @@ def formula_sums(
     otherwise the nodes that are present are summed. Nodes are compared by their
     marks, not counted. A node with several rows is an error; in a formula table,
     whose marks are hashes, it is found once there are as many rows as terms, and
-    until then a strict sum is missing.
+    until then a strict sum is missing. Flows that ``lots.deal`` dealt by ``keys`` are
+    not shuffled again, and a task holds the sums of its lot.
     """
     joined = flows.join(formulas, "node")
     columns = []

@@ -110,3 +110,10 @@ def test_generated_methods_can_be_compiled(spark, name):
     debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
     stages = debug.codegenStringSeq(executed)
     assert 0 < max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) <= 8000
+
+
+@pytest.mark.parametrize("name", ["formula_sum", "formula_sum_present", "formula_ratio", "delta_flows", "bypass_ratio", "overtopped"])
+def test_formulas_of_a_growing_map_stay_in_bounded_lots(spark, name):
+    """One shuffle, whose lots follow from the number of lines and are not put together again."""
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == plan.count("REPARTITION_BY_NUM") == 1
