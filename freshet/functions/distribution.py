@@ -12,17 +12,25 @@ TERMS = 200
 
 
 def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
-    """The continued fraction of the incomplete beta function, by Lentz's method."""
+    """The continued fraction of the incomplete beta function, from its last term back.
 
-    def step(s: Column, k: Column) -> Column:
-        m = F.floor(k / 2)
-        even = m * (b - m) * x / ((a + k - 1) * (a + k))
-        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        term = F.when(k % 2 == 0, even).otherwise(odd)
-        return F.struct((1 + term / s["c"]).alias("c"), (1 / (1 + term * s["d"])).alias("d"), (s["h"] * (1 + term / s["c"]) / (1 + term * s["d"])).alias("h"))
+    The arguments are bound to a variable of a row: steps read them and do not evaluate them again.
+    """
+
+    def fraction(s: Column) -> Column:
+        a, b, x = s["a"], s["b"], s["x"]
+
+        def step(h: Column, m: Column) -> Column:
+            # Term 2 m, then term 2 m - 1.
+            back = m - 1
+            even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+            odd = (a + back) * (a + b + back) * x / ((a + 2 * back) * (a + 2 * back + 1))
+            return 1 - odd / (1 + even / h)
+
+        pairs = F.sequence(F.lit(TERMS // 2), F.lit(1), F.lit(-1)).cast("array<double>")
+        return 1 / F.aggregate(pairs, F.lit(1.0), step)
 
-    start = F.struct(F.lit(1e300).alias("c"), F.lit(1.0).alias("d"), F.lit(1.0).alias("h"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), start, step, lambda s: s["h"])
+    return F.transform(F.array(F.struct(a.alias("a"), b.alias("b"), x.alias("x"))), fraction)[0]
 
 
 def _half_step(z: Column) -> Column:

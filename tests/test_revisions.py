@@ -133,6 +133,12 @@ def test_p_values(spark):
     assert got[:5] == [1.0, 0.0, None, None, None] and 0 < got[5] < 1e-25
 
 
+def test_steps_of_the_fraction_do_not_evaluate_its_arguments(spark):
+    frame = spark.createDataFrame([(0.5, 7.0)], "t double, df double").select(student_p(F.col("t"), F.col("df")))
+    steps = frame._jdf.queryExecution().analyzed().toString().split("aggregate(")[1:]
+    assert steps and all("t#" not in s.split("lambdafunction(")[1] for s in steps)
+
+
 def test_summary_of_an_ill_conditioned_fit(spark):
     """Values that lie far from zero, against a fit of centred values."""
     rng = np.random.default_rng(2)
