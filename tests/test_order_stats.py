@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from freshet.operators import order_stats
+from freshet.operators import order_stats, sequence
 from freshet.operators.intervals import interval_join
 from freshet.operators.sequence import accumulate_network, previous_entry
 
@@ -140,3 +140,21 @@ def test_intervals_of_all_lengths(spark, rows):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert interval_join(left, right.limit(0), "date", "first", "last", ["k"]).count() == 0
+
+
+def test_steps_of_a_long_way_move_a_few_times_the_flows(spark, monkeypatch):
+    moved, kept = [], sequence.kept
+
+    def counted(df):
+        out = kept(df)
+        if "sum" in out.columns:
+            moved.append(out.count())
+        return out
+
+    monkeypatch.setattr(sequence, "kept", counted)
+    n = 300
+    flows = spark.range(n).select(F.col("id").alias("node"), F.lit(1.0).alias("flow_cfs"))
+    edges = spark.range(1, n).select(F.col("id").alias("node"), (F.col("id") - 1).alias("parent"))
+    got = accumulate_network(flows, edges, []).collect()
+    assert {r["node"]: r["accumulated"] for r in got} == {i: float(n - i) for i in range(n)}
+    assert sum(moved) <= 4 * n
