@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from freshet.operators import order_stats, sequence
-from freshet.operators.intervals import interval_join
+from freshet.operators.intervals import _looked, interval_join
 from freshet.operators.sequence import accumulate_network, previous_entry
 
 NAN, INF = float("nan"), float("inf")
@@ -142,6 +142,13 @@ def test_intervals_of_all_lengths(spark, rows):
     assert interval_join(left, right.limit(0), "date", "first", "last", ["k"]).count() == 0
 
 
+def test_rows_before_and_after_all_intervals_are_not_shuffled(spark):
+    binned = spark.createDataFrame([(0, 100), (0, 110), (4, 6)], "__level int, __bin long")
+    dated = spark.createDataFrame([(d,) for d in (0, 700, 768, 799, 800, 850, 888, 896, 9999)], "day int").select(F.date_from_unix_date("day").alias("date"))
+    got = sorted((r["day"], r["__level"], r["__bin"]) for r in _looked(dated, binned, "date").withColumn("day", F.unix_date("date")).collect())
+    assert got == [(768, 4, 6), (799, 4, 6), (800, 0, 100), (800, 4, 6), (850, 0, 106), (850, 4, 6), (888, 4, 6)]
+
+
 def test_steps_of_a_long_way_move_a_few_times_the_flows(spark, monkeypatch):
     moved, kept = [], sequence.kept
 
