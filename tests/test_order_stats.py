@@ -10,9 +10,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from freshet.operators import order_stats, sequence
-from freshet.operators.intervals import _looked, interval_join
+from freshet.operators import intervals, order_stats, sequence
+from freshet.operators.intervals import PER_LOT, _looked, _lots, interval_join
 from freshet.operators.sequence import accumulate_network, previous_entry
+from freshet.operators.skew import spread_join
 
 NAN, INF = float("nan"), float("inf")
 
@@ -149,6 +150,56 @@ def test_rows_before_and_after_all_intervals_are_not_shuffled(spark):
     assert got == [(768, 4, 6), (799, 4, 6), (800, 0, 100), (800, 4, 6), (850, 0, 106), (850, 4, 6), (888, 4, 6)]
 
 
+def test_lots_are_whole_and_bounded(spark, rows):
+    """Copies, nulls and days of one row or of many."""
+    data = [(i % 2, dt.datetime(2020, 1, 1 + (0 if i < 900 else i % 9), i % 24), None if i % 7 == 0 else i // 3) for i in range(1000)]
+    frame = spark.createDataFrame(data, "k int, at timestamp, v int")
+    lots = _lots(frame, ["k"], "at", 2).select("k", "__day", "__lot", "__rows").collect()
+    assert sorted(map(str, (tuple(r) for lot in lots for r in lot["__rows"]))) == sorted(map(str, data))
+    assert all(r["k"] == lot["k"] and r["at"].date() == lot["__day"] for lot in lots for r in lot["__rows"])
+    assert len({lot["__lot"] for lot in lots}) > 1 and max(len(lot["__rows"]) for lot in lots) <= PER_LOT
+    assert len(lots) < 60  # 900 rows of two keys and one day, 100 of eighteen groups
+
+
+def test_intervals_of_many_rows_a_day(spark, tmp_path, monkeypatch):
+    """Each row of a day meets the same intervals: rows are looked up, and intervals written, once a lot and not once a row."""
+    looked = []
+
+    def counted(rows, *others, **named):
+        looked.append(rows.count())
+        return spread_join(rows, *others, **named)
+
+    monkeypatch.setattr(intervals, "spread_join", counted)
+    n_rows, n_spans, day = 80, 25_000, F.lit(dt.date(2020, 5, 17))
+    left = spark.range(n_rows).select(F.lit(1).alias("k"), day.alias("date"), "id")
+    number = F.col("id").cast("int")
+    right = spark.range(n_spans).select(
+        F.lit(1).alias("k"), (F.col("id") * 7919 % 1_000_003).alias("n"), F.date_sub(day, number % 40).alias("first"), F.date_add(day, number % 37).alias("last")
+    )
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        interval_join(left, right, "date", "first", "last", ["k"]).write.parquet(str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.agg(F.count("*"), F.countDistinct("id", "n")).first() == (n_rows * n_spans, n_rows * n_spans)
+    # Eight lots, five levels.
+    assert looked[0] <= 40
+    written = sum(p.stat().st_size for p in (tmp_path / "out").glob("*.parquet"))
+    assert written < 0.75 * n_rows * n_spans, written
+
+
+def test_intervals_without_keys_and_with_keys_of_any_kind(spark):
+    dated = spark.createDataFrame([(dt.datetime(2020, 1, 2, 5),), (dt.datetime(2020, 1, 2, 5),), (dt.datetime(2021, 1, 1),), (None,)], "at timestamp")
+    spans = spark.createDataFrame([(dt.date(2020, 1, 1), dt.date(2020, 1, 2), "a")], "first date, last date, n string")
+    got = interval_join(dated, spans, "at", "first", "last").collect()
+    assert [tuple(r) for r in got] == [(dt.datetime(2020, 1, 2, 5), dt.date(2020, 1, 1), dt.date(2020, 1, 2), "a")] * 2
+    keyed = dated.crossJoin(spark.createDataFrame([(NAN,), (-0.0,), (None,), (2.0,)], "k double"))
+    spans = spans.crossJoin(spark.createDataFrame([(NAN,), (0.0,), (None,), (3.0,)], "k double"))
+    assert sorted(str(r["k"]) for r in interval_join(keyed, spans, "at", "first", "last", ["k"]).collect()) == ["-0.0", "-0.0", "nan", "nan"]
+
+
 def test_steps_of_a_long_way_move_a_few_times_the_flows(spark, monkeypatch):
     moved, kept = [], sequence.kept
 
